@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewell.functions.numeric import fill_prior, log_count, purchased_flag, votes_filled, votes_log
-from ratewell.operators.joins import HOT_MIN_ROWS, HOT_SHARE, hot_lookup, lookup_join, spread_hot_rows
+from ratewell.operators.joins import HOT_MIN_ROWS, HOT_SHARE, hot_and_cold, lookup_join, spread_hot_rows
 from ratewell.operators.stats import prior_of
 from ratewell.schemas import KEY_PREFIXES
 
@@ -51,7 +51,8 @@ def loo_encode(
     """
     source = rows if source is None else source
     prior = prior_of(source, target) if prior is None else prior
-    joined = lookup_join(rows, _key_totals(source, key, target), key, "_rows", share, min_rows)
+    totals = _key_totals(source, key, target)
+    joined = lookup_join(rows, totals, key, "_rows", source, share, min_rows)
     encoded = _loo_columns(F.col("_sum"), F.col("_cnt"), target, prior, prefix or key)
     return joined.select(*rows.columns, *encoded)
 
@@ -75,16 +76,16 @@ def loo_encode_window(
     source = rows if source is None else source
     prior = prior_of(source, target) if prior is None else prior
     totals = _key_totals(source, key, target)
-    probe = spread_hot_rows(rows, hot_lookup(rows, totals, key, "_rows", share, min_rows), key)
-    window = Window.partitionBy("_cold_key", "_slot")
+    hot, _ = hot_and_cold(source, totals, key, "_rows", share, min_rows)
+    probe = spread_hot_rows(rows, hot, key)
+    window = Window.partitionBy("_is_cold", "_probe_key")
     if full_frame:
         window = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     framed = probe.withColumn("_wsum", F.sum(target).over(window)).withColumn(
         "_wcnt", F.count(target).over(window)
     )
-    cold = F.col("_cold_key").isNotNull()
-    total = F.when(cold, F.col("_wsum")).otherwise(F.col("_hot")["_sum"])
-    count = F.when(cold, F.col("_wcnt")).otherwise(F.col("_hot")["_cnt"])
+    total = F.when(F.col("_is_cold"), F.col("_wsum")).otherwise(F.col("_hot")["_sum"])
+    count = F.when(F.col("_is_cold"), F.col("_wcnt")).otherwise(F.col("_hot")["_cnt"])
     return framed.select(*rows.columns, *_loo_columns(total, count, target, prior, prefix or key))
 
 
@@ -109,12 +110,14 @@ def apply_stats(
     key: str,
     prefix: str,
     prior: Column,
+    source: DataFrame | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
-    """Attach ``(key, {prefix}_avg, {prefix}_cnt)``: unseen and null keys get the prior and 0."""
+    """Attach ``(key, {prefix}_avg, {prefix}_cnt)``: unseen and null keys get the prior and 0.
+    ``source`` is the same rows before earlier lookups."""
     avg, cnt = F.col(f"{prefix}_avg"), F.coalesce(F.col(f"{prefix}_cnt"), F.lit(0).cast("bigint"))
-    joined = lookup_join(rows, stats, key, share=share, min_rows=min_rows)
+    joined = lookup_join(rows, stats, key, None, source, share, min_rows)
     return joined.select(
         *rows.columns,
         fill_prior(avg, prior).alias(f"{prefix}_avg"),
@@ -127,9 +130,10 @@ def apply_all_stats(
     rows: DataFrame, stats: dict[str, DataFrame], prior: Column, keys: dict[str, str] = KEY_PREFIXES
 ) -> DataFrame:
     """``apply_stats`` for every key; ``stats`` maps a key to its lookup table."""
+    applied = rows
     for key, prefix in keys.items():
-        rows = apply_stats(rows, stats[key], key, prefix, prior)
-    return rows
+        applied = apply_stats(applied, stats[key], key, prefix, prior, source=rows)
+    return applied
 
 
 def distinct_lookup(encoded: DataFrame, key: str, prefix: str) -> DataFrame:

@@ -44,11 +44,11 @@ def standardize(
     fit = fitted.select(F.struct(*fitted.columns)).scalar()
 
     def scaled(name: str) -> Column:
-        std = fit[f"{name}_std"]
+        mean, std = F.col("_fit")[f"{name}_mean"], F.col("_fit")[f"{name}_std"]
         divisor = F.when(std == 0, 1.0).otherwise(std) if epsilon is None else std + F.lit(epsilon)
-        return ((F.col(name) - fit[f"{name}_mean"]) / divisor).alias(name)
+        return (F.col(name) - mean) / divisor
 
-    return rows.withColumns({name: scaled(name) for name in columns})
+    return rows.withColumn("_fit", fit).withColumns({name: scaled(name) for name in columns}).drop("_fit")
 
 
 def feature_array(columns: tuple[str, ...], embedding: str | None = None) -> Column:

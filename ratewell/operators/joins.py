@@ -2,8 +2,8 @@
 
 A plain left join hashes all rows of a key, and all rows with a null key, into one task.
 Here keys above a share of the rows count as hot. At most ``1 / share`` keys can reach that
-share, so their lookup rows are broadcast with a proven bound. Rows with a hot or null key are
-then spread by a hash of the whole row in the shuffle join, which serves the remaining keys.
+share, so their lookup rows are broadcast with a proven bound. In the shuffle join that serves
+all other keys, rows with a hot or null key travel under a hash of their id instead.
 """
 
 from __future__ import annotations
@@ -20,51 +20,54 @@ def rows_per_key(rows: DataFrame, key: str, name: str = "key_rows") -> DataFrame
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def hot_limit(rows: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> Column:
+    """Rows from which a key is hot: a share of all rows, but never fewer than ``min_rows``.
+
+    The row count is one scan without columns, shared by all keys of a query.
+    """
+    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return F.greatest(total * F.lit(share), F.lit(float(min_rows)))
+
+
 def _packed(table: DataFrame, key: str, key_name: str, value_name: str) -> DataFrame:
     values = [F.col(c) for c in table.columns if c != key]
     return table.select(F.col(key).alias(key_name), F.struct(*values).alias(value_name))
 
 
-def _hot_only(counts: DataFrame, key: str, weight: str, share: float, min_rows: int) -> DataFrame:
-    """The at most ``1 / share`` keys that hold at least that share of the rows."""
-    limit = counts.agg(F.greatest(F.sum(weight) * F.lit(share), F.lit(float(min_rows)))).scalar()
-    return counts.filter(F.col(key).isNotNull() & (F.col(weight) >= limit))
-
+def hot_and_cold(
+    rows: DataFrame, table: DataFrame, key: str, weight: str | None, share: float, min_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """``(_hot_key, _hot)``, at most ``1 / share`` hot keys of ``rows`` with their row of ``table``,
+    and ``(_cold_key, _cold)``, the other rows of ``table``.
 
-def hot_lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    weight: str | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
-) -> DataFrame:
-    """``(_hot_key, _hot)``: hot keys of ``rows`` with their row of ``table`` (null if it has none).
-
-    ``weight`` names the column of ``table`` that holds the number of ``rows`` per key. Without
-    it, the keys of ``rows`` are counted.
+    ``weight`` names the column of ``table`` that holds the number of ``rows`` per key; both
+    results then read one aggregation. Without it, the keys of ``rows`` are counted.
     """
+    limit = hot_limit(rows, share, min_rows)
+    table = table.filter(F.col(key).isNotNull())
     if weight:
-        return _packed(_hot_only(table, key, weight, share, min_rows), key, "_hot_key", "_hot")
-    keys = _hot_only(rows_per_key(rows, key), key, "key_rows", share, min_rows).select(key)
-    known = _packed(table.join(F.broadcast(keys), key, "left_semi"), key, "_known_key", "_hot")
-    return keys.join(F.broadcast(known), F.col(key) == F.col("_known_key"), "left").select(
-        F.col(key).alias("_hot_key"), "_hot"
-    )
+        hot = _packed(table.filter(F.col(weight) >= limit), key, "_hot_key", "_hot")
+        return hot, _packed(table.filter(F.col(weight) < limit), key, "_cold_key", "_cold")
+    counts = rows_per_key(rows.filter(F.col(key).isNotNull()), key)
+    hot_keys = counts.filter(F.col("key_rows") >= limit).select(key)
+    known = _packed(table.join(F.broadcast(hot_keys), key, "left_semi"), key, "_known_key", "_hot")
+    # Hot keys that the table lacks stay in the list: their rows must be spread as well.
+    hot = hot_keys.join(F.broadcast(known), F.col(key) == F.col("_known_key"), "left")
+    return hot.select(F.col(key).alias("_hot_key"), "_hot"), _packed(table, key, "_cold_key", "_cold")
 
 
-def spread_hot_rows(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Join the hot rows' lookup as ``_hot`` and add the balanced shuffle key.
+def spread_hot_rows(rows: DataFrame, hot: DataFrame, key: str, row_id: str = "id") -> DataFrame:
+    """Add ``_hot``, ``_is_cold`` and the balanced shuffle key ``_probe_key``.
 
-    ``(_cold_key, _slot)`` is ``(key, hash(key))`` for ordinary keys. For hot and null keys it is
-    ``(null, hash(row))``: it matches nothing and lands in any task.
+    The probe key is the key itself for cold rows. Hot and null keys get a hash of the row id: it
+    may equal some key by chance, so what it finds is to be ignored where ``_is_cold`` is false.
     """
     is_cold = F.col(key).isNotNull() & F.col("_hot_key").isNull()
-    row_hash = F.xxhash64(*[F.col(c) for c in rows.columns])
+    spread = F.hash(F.col(row_id)).cast(rows.schema[key].dataType)
     return (
         rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-        .withColumn("_cold_key", F.when(is_cold, F.col(key)))
-        .withColumn("_slot", F.when(is_cold, F.xxhash64(F.col(key))).otherwise(row_hash))
+        .withColumn("_is_cold", is_cold)
+        .withColumn("_probe_key", F.when(F.col("_is_cold"), F.col(key)).otherwise(spread))
     )
 
 
@@ -73,24 +76,25 @@ def lookup_join(
     table: DataFrame,
     key: str,
     weight: str | None = None,
+    source: DataFrame | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
+    row_id: str = "id",
 ) -> DataFrame:
     """All ``rows``, with the other columns of ``table`` (unique on ``key``); null where unknown.
 
-    A null key matches nothing.
+    A null key matches nothing. ``source`` is the same rows before earlier lookups: hot keys are
+    found there without repeating those joins.
     """
-    probe = spread_hot_rows(rows, hot_lookup(rows, table, key, weight, share, min_rows), key)
-    cold = _packed(table.filter(F.col(key).isNotNull()), key, "_table_key", "_cold").withColumn(
-        "_table_slot", F.xxhash64(F.col("_table_key"))
-    )
-    same = (F.col("_cold_key") == F.col("_table_key")) & (F.col("_slot") == F.col("_table_slot"))
-    found = [_either(c) for c in table.columns if c != key]
-    return probe.join(cold, same, "left").select(*rows.columns, *found)
-
-
-def _either(name: str) -> Column:
-    return F.coalesce(F.col("_hot")[name], F.col("_cold")[name]).alias(name)
+    hot, cold = hot_and_cold(rows if source is None else source, table, key, weight, share, min_rows)
+    probe = spread_hot_rows(rows, hot, key, row_id)
+    joined = probe.join(cold, F.col("_probe_key") == F.col("_cold_key"), "left")
+    found = [
+        F.when(F.col("_is_cold"), F.col("_cold")[c]).otherwise(F.col("_hot")[c]).alias(c)
+        for c in table.columns
+        if c != key
+    ]
+    return joined.select(*rows.columns, *found)
 
 
 def join_on_id(left: DataFrame, right: DataFrame, row_id: str = "id") -> DataFrame:

@@ -115,7 +115,8 @@ def encode_token_ids(
     """
     tokens = rows.select(row_id, F.posexplode_outer(truncate_tokens(word_tokens(text), max_len)))
     tokens = tokens.withColumnsRenamed({"pos": "_pos", "col": "token"})
-    found = lookup_join(tokens, vocab.select("token", "token_id"), "token", share=share, min_rows=min_rows)
+    known = vocab.select("token", "token_id")
+    found = lookup_join(tokens, known, "token", share=share, min_rows=min_rows, row_id=row_id)
     entry = F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint")).alias("token_id"))
     gathered = found.groupBy(row_id).agg(
         F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), entry))).alias("_entries")

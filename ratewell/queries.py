@@ -178,16 +178,14 @@ def _train_features(spark, folder, **options):
 
 def standardize(spark, folder):
     """All eight numeric features; val rows are scaled by training moments."""
-    train, val = training.encoded_splits(source.reviews(spark, folder), keep=("id",))
-    fitted = features.moments(train, features.NUMERIC_COLUMNS)
-    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
-    scaled = features.standardize(both, features.NUMERIC_COLUMNS, fitted)
+    scaled = training.feature_table(source.reviews(spark, folder), keep=("id",))
     return _rounded(scaled, 6, *features.NUMERIC_COLUMNS)
 
 
 def standardize_unbounded(spark, folder):
     """Only the log counts, purchased and log votes; averages stay on the rating scale."""
-    rows = _train_features(spark, folder, log_votes=True)
+    encoded = _train_features(spark, folder, log_votes=True)
+    rows = tables.write_table(encoded, scratch_path(spark, "features"), "raw.parquet")
     fitted = features.moments(rows, features.UNBOUNDED_COLUMNS)
     scaled = features.standardize(rows, features.UNBOUNDED_COLUMNS, fitted, epsilon=None)
     return _rounded(scaled, 6, *features.NUMERIC_COLUMNS)

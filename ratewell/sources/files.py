@@ -42,7 +42,10 @@ def read_reviews_csv(
 
 
 def write_reviews_csv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    """CSV that ``read_reviews_csv`` restores exactly, with spaces at the ends of texts."""
+    rows.write.mode("overwrite").options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def convert_reviews(
