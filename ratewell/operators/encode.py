@@ -13,14 +13,12 @@ from pyspark.sql import functions as F
 
 from ratewell.functions.numeric import fill_prior, log_count, purchased_flag, votes_filled, votes_log
 from ratewell.operators.joins import HOT_MIN_ROWS, HOT_SHARE, hot_and_cold, lookup_join, spread_hot_rows
-from ratewell.operators.stats import prior_of
+from ratewell.operators.stats import key_totals, prior_of
 from ratewell.schemas import KEY_PREFIXES
 
 
-def _key_totals(rows: DataFrame, key: str, target: str) -> DataFrame:
-    return rows.groupBy(key).agg(
-        F.sum(target).alias("_sum"), F.count(target).alias("_cnt"), F.count(F.lit(1)).alias("_rows")
-    )
+def _needed(totals: DataFrame, key: str) -> DataFrame:
+    return totals.select(key, "rating_sum", "rating_count", "row_count")
 
 
 def _loo_columns(total: Column, count: Column, target: str, prior: Column, prefix: str) -> list[Column]:
@@ -40,6 +38,7 @@ def loo_encode(
     prior: Column | None = None,
     prefix: str | None = None,
     source: DataFrame | None = None,
+    totals: DataFrame | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
@@ -47,13 +46,14 @@ def loo_encode(
 
     Only ``(key, sum, count)`` partials and the columns of ``rows`` shuffle; project ``rows`` to
     ids, keys and numbers first, so that texts stay where they are. ``source`` is the same rows
-    before earlier encodings, so that the totals' scan reads the key and the target alone.
+    before earlier encodings, so that the totals' scan reads the key and the target alone;
+    ``totals`` are their ``key_totals`` where those are written already.
     """
     source = rows if source is None else source
     prior = prior_of(source, target) if prior is None else prior
-    totals = _key_totals(source, key, target)
-    joined = lookup_join(rows, totals, key, "_rows", source, share, min_rows)
-    encoded = _loo_columns(F.col("_sum"), F.col("_cnt"), target, prior, prefix or key)
+    totals = _needed(key_totals(source, key, target) if totals is None else totals, key)
+    joined = lookup_join(rows, totals, key, "row_count", source, share, min_rows)
+    encoded = _loo_columns(F.col("rating_sum"), F.col("rating_count"), target, prior, prefix or key)
     return joined.select(*rows.columns, *encoded)
 
 
@@ -64,6 +64,7 @@ def loo_encode_window(
     prior: Column | None = None,
     prefix: str | None = None,
     source: DataFrame | None = None,
+    totals: DataFrame | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
     full_frame: bool = False,
@@ -75,8 +76,8 @@ def loo_encode_window(
     """
     source = rows if source is None else source
     prior = prior_of(source, target) if prior is None else prior
-    totals = _key_totals(source, key, target)
-    hot, _ = hot_and_cold(source, totals, key, "_rows", share, min_rows)
+    totals = _needed(key_totals(source, key, target) if totals is None else totals, key)
+    hot, _ = hot_and_cold(source, totals, key, "row_count", share, min_rows)
     probe = spread_hot_rows(rows, hot, key)
     window = Window.partitionBy("_is_cold", "_probe_key")
     if full_frame:
@@ -84,8 +85,8 @@ def loo_encode_window(
     framed = probe.withColumn("_wsum", F.sum(target).over(window)).withColumn(
         "_wcnt", F.count(target).over(window)
     )
-    total = F.when(F.col("_is_cold"), F.col("_wsum")).otherwise(F.col("_hot")["_sum"])
-    count = F.when(F.col("_is_cold"), F.col("_wcnt")).otherwise(F.col("_hot")["_cnt"])
+    total = F.when(F.col("_is_cold"), F.col("_wsum")).otherwise(F.col("_hot")["rating_sum"])
+    count = F.when(F.col("_is_cold"), F.col("_wcnt")).otherwise(F.col("_hot")["rating_count"])
     return framed.select(*rows.columns, *_loo_columns(total, count, target, prior, prefix or key))
 
 
@@ -94,13 +95,15 @@ def loo_all_keys(
     keys: dict[str, str] = KEY_PREFIXES,
     target: str = "rating",
     prior: Column | None = None,
+    totals: dict[str, DataFrame] | None = None,
     encoder: Callable[..., DataFrame] = loo_encode,
 ) -> DataFrame:
-    """Leave-one-out columns of every key on each row, by either encoder."""
+    """Leave-one-out columns of every key on each row, by either encoder; ``totals`` maps a key to
+    its ``key_totals`` where those are written already."""
     prior = prior_of(rows, target) if prior is None else prior
     encoded = rows
     for key, prefix in keys.items():
-        encoded = encoder(encoded, key, target, prior, prefix, source=rows)
+        encoded = encoder(encoded, key, target, prior, prefix, rows, totals and totals[key])
     return encoded
 
 

@@ -86,18 +86,28 @@ class RidgeModel:
     alpha: float
     coefficients: np.ndarray
     intercept: float
+    name: str = "all"
 
 
-def solve_ridge(matrix: np.ndarray, alpha: float) -> RidgeModel:
-    """Closed form from one Gram matrix: centre, penalise, solve, recover the intercept."""
-    n, sums = matrix[0, 0], matrix[0, 1:]
-    if len(sums) - 1 > MAX_FEATURES:
+def solve_ridge(
+    matrix: np.ndarray, alpha: float, places: np.ndarray | None = None, name: str = "all"
+) -> RidgeModel:
+    """Closed form from one Gram matrix: centre, penalise, solve, recover the intercept.
+
+    ``places`` restricts the fit to some features; the others get coefficient 0.
+    """
+    width = len(matrix) - 2
+    if width > MAX_FEATURES:
         raise ValueError(f"at most {MAX_FEATURES} features")
-    centred = matrix[1:, 1:] - np.outer(sums, sums) / n
-    penalised = centred[:-1, :-1] + alpha * np.eye(len(sums) - 1)
-    coefficients = np.linalg.solve(penalised, centred[:-1, -1])
-    intercept = (sums[-1] - sums[:-1] @ coefficients) / n
-    return RidgeModel(float(alpha), coefficients, float(intercept))
+    places = np.arange(width) if places is None else places
+    n, means, target = matrix[0, 0], matrix[0, 1:-1][places] / matrix[0, 0], matrix[0, -1] / matrix[0, 0]
+    products = matrix[1:-1, 1:-1][np.ix_(places, places)]
+    centred = products - n * np.outer(means, means)
+    with_target = matrix[1:-1, -1][places] - n * means * target
+    solved = np.linalg.solve(centred + alpha * np.eye(len(places)), with_target)
+    coefficients = np.zeros(width)
+    coefficients[places] = solved
+    return RidgeModel(float(alpha), coefficients, float(target - means @ solved), name)
 
 
 def ridge_fit(
@@ -152,10 +162,14 @@ def predict(
 def score_models(
     rows: DataFrame, models: list[RidgeModel], features: str = "features", target: str = "rating"
 ) -> DataFrame:
-    """``(alpha, rmse)`` of every model in one pass over the rows."""
+    """``(name, alpha, rmse)`` of every model in one pass over the rows."""
     scored = rows.select(linear_scores(models, features).alias("_scores"), F.col(target))
     entries = [
-        F.struct(F.lit(m.alpha).alias("alpha"), rmse_of(F.col("_scores")[i], target).alias("rmse"))
+        F.struct(
+            F.lit(m.name).alias("name"),
+            F.lit(m.alpha).alias("alpha"),
+            rmse_of(F.col("_scores")[i], target).alias("rmse"),
+        )
         for i, m in enumerate(models)
     ]
     return scored.agg(F.array(*entries).alias("grid")).select(F.inline("grid"))
@@ -180,6 +194,6 @@ def ridge_alpha_grid(
     """
     matrices = gram_matrices(gram(rows, features, target, split))
     models = [solve_ridge(matrices["train"], alpha) for alpha in alphas]
-    scores = score_models(rows.filter(F.col(split) == "val"), models, features, target)
+    scores = score_models(rows.filter(F.col(split) == "val"), models, features, target).drop("name")
     best = best_by_rmse(scores, "alpha").first()["alpha"]
     return GridResult(scores, solve_ridge(matrices["train"] + matrices["val"], best))

@@ -21,15 +21,30 @@ def prior_of(rows: DataFrame, target: str = "rating") -> Column:
     return global_mean(rows, target).scalar()
 
 
-def group_stats(rows: DataFrame, key: str, target: str = "rating") -> DataFrame:
-    """Sum, count of non-null targets and mean per key."""
+def key_totals(rows: DataFrame, key: str, target: str = "rating") -> DataFrame:
+    """Sum, count of non-null targets, mean, and number of rows per key.
+
+    One such table serves training rows (``encode.loo_encode``) and others (``lookup_of``).
+    """
     return rows.groupBy(key).agg(
         F.sum(target).alias("rating_sum"),
         F.count(target).alias("rating_count"),
         F.avg(target).alias("rating_mean"),
+        F.count(F.lit(1)).alias("row_count"),
     )
 
 
+def group_stats(rows: DataFrame, key: str, target: str = "rating") -> DataFrame:
+    """Sum, count of non-null targets and mean per key."""
+    return key_totals(rows, key, target).drop("row_count")
+
+
+def lookup_of(totals: DataFrame, key: str, prefix: str) -> DataFrame:
+    """``key_totals`` as the mean and number of rows per key, as ``group_mean_count`` gives them."""
+    mean = F.when(F.col("rating_count") > 0, F.col("rating_sum") / F.col("rating_count"))
+    return totals.select(key, mean.alias(f"{prefix}_avg"), F.col("row_count").alias(f"{prefix}_cnt"))
+
+
 def group_mean_count(rows: DataFrame, key: str, prefix: str, target: str = "rating") -> DataFrame:
     """Mean target and number of rows per key; rows with a null target count as rows."""
     return rows.groupBy(key).agg(

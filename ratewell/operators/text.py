@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,7 @@ from ratewell.schemas import MAX_TOKENS
 
 PAD_ID, UNKNOWN_ID, FIRST_TOKEN_ID = 0, 1, 2
 BUCKET_DIGITS = 4
+BROADCAST_BYTES = 64 << 20
 
 
 def text_length_profile(rows: DataFrame, text: str = "text") -> DataFrame:
@@ -105,25 +109,56 @@ def encode_token_ids(
     row_id: str = "id",
     text: str = "text",
     max_len: int = MAX_TOKENS,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(id, input_ids, attention_mask)`` of fixed length; tokens outside the vocabulary get 1.
 
-    Tokens are cut to ``max_len`` before they shuffle, frequent words take the hot-key path of the
-    lookup join, and a text is gathered again from at most ``max_len`` rows.
+    ``vocab`` is a written ``vocabulary``. Its size is checked: up to ``broadcast_bytes`` it goes
+    to every task and texts stay where they are; a larger one is joined.
     """
-    tokens = rows.select(row_id, F.posexplode_outer(truncate_tokens(word_tokens(text), max_len)))
-    tokens = tokens.withColumnsRenamed({"pos": "_pos", "col": "token"})
-    known = vocab.select("token", "token_id")
-    found = lookup_join(tokens, known, "token", share=share, min_rows=min_rows, row_id=row_id)
-    entry = F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint")).alias("token_id"))
-    gathered = found.groupBy(row_id).agg(
-        F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), entry))).alias("_entries")
-    )
-    ids = F.transform("_entries", lambda e: e["token_id"])
-    return gathered.select(
+    tokens = truncate_tokens(word_tokens(text), max_len)
+    size = vocab.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0)).alias("bytes"))
+    if size.first()["bytes"] <= broadcast_bytes:
+        ids = rows.select(row_id, _ids_by_broadcast(vocab)(tokens).alias("_ids"))
+    else:
+        ids = ids_by_join(rows.select(row_id, tokens.alias("_tokens")), vocab, row_id)
+    return ids.select(
         row_id,
-        pad_tokens(ids, max_len, PAD_ID).alias("input_ids"),
-        attention_mask(ids, max_len).alias("attention_mask"),
+        pad_tokens("_ids", max_len, PAD_ID).alias("input_ids"),
+        attention_mask("_ids", max_len).alias("attention_mask"),
     )
+
+
+def _ids_by_broadcast(vocab: DataFrame):
+    known = vocab.select("token", "token_id").toPandas()
+    spark = vocab.sparkSession
+    shared = spark.sparkContext.broadcast((known["token"].tolist(), known["token_id"].tolist()))
+
+    @F.arrow_udf("array<bigint>")
+    def look_up(tokens: pa.Array) -> pa.Array:
+        words, ids = (pa.array(part) for part in shared.value)
+        found = pc.take(ids, pc.index_in(tokens.flatten(), words))
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy()
+        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pc.fill_null(found, UNKNOWN_ID).cast(pa.int64()))
+
+    return look_up
+
+
+def ids_by_join(
+    rows: DataFrame,
+    vocab: DataFrame,
+    row_id: str = "id",
+    tokens: str = "_tokens",
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_MIN_ROWS,
+) -> DataFrame:
+    """``(id, _ids)`` for a vocabulary of any size. Frequent words take the hot-key path of the
+    lookup join, and a text is gathered again from its own tokens, at most ``max_len``."""
+    exploded = rows.select(row_id, F.posexplode_outer(tokens).alias("_pos", "token"))
+    known = vocab.select("token", "token_id")
+    found = lookup_join(exploded, known, "token", share=share, min_rows=min_rows, row_id=row_id)
+    token_id = F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint")).alias("token_id")
+    entry = F.when(F.col("token").isNotNull(), F.struct("_pos", token_id))
+    gathered = found.groupBy(row_id).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    return gathered.select(row_id, F.transform("_entries", lambda e: e["token_id"]).alias("_ids"))

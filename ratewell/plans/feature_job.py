@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ratewell.operators.encode import apply_all_stats, distinct_lookup, loo_all_keys
-from ratewell.operators.stats import global_mean, group_mean_count, group_stats
+from ratewell.operators.stats import global_mean, key_totals, lookup_of
 from ratewell.schemas import KEY_PREFIXES
 from ratewell.sources.tables import read_prior, read_table, write_prior, write_table
 
 
 def build_lookup_tables(train: DataFrame, folder: str) -> tuple[dict[str, DataFrame], Column]:
-    """Write ``{prefix}_stats.parquet`` (sum, count, mean) per key, and the prior."""
+    """Write ``{prefix}_stats.parquet`` (sum, count, mean, rows) per key, and the prior."""
     written = {
-        key: write_table(group_stats(train, key), folder, f"{prefix}_stats.parquet")
+        key: write_table(key_totals(train, key), folder, f"{prefix}_stats.parquet")
         for key, prefix in KEY_PREFIXES.items()
     }
     return written, write_prior(global_mean(train), folder)
@@ -30,27 +30,19 @@ def load_lookup_tables(spark: SparkSession, folder: str) -> tuple[dict[str, Data
     return tables, read_prior(spark, folder)
 
 
-def lookups(train: DataFrame) -> dict[str, DataFrame]:
-    """``(key, avg, cnt)`` per key, for rows outside ``train``."""
-    return {key: group_mean_count(train, key, prefix) for key, prefix in KEY_PREFIXES.items()}
-
-
-def as_lookups(stats: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Written ``group_stats`` tables in the form that ``apply_all_stats`` reads."""
-    return {
-        key: stats[key].selectExpr(key, f"rating_mean AS {prefix}_avg", f"rating_count AS {prefix}_cnt")
-        for key, prefix in KEY_PREFIXES.items()
-    }
+def lookups(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``(key, avg, cnt)`` per key, for rows outside the training set."""
+    return {key: lookup_of(totals[key], key, prefix) for key, prefix in KEY_PREFIXES.items()}
 
 
 def run_feature_job(train: DataFrame, test: DataFrame, folder: str) -> dict[str, DataFrame]:
     """Lookup tables, encoded train and test rows and the test lookups, all written to ``folder``."""
-    stats, prior = build_lookup_tables(train, folder)
-    encoded_test = apply_all_stats(test, as_lookups(stats), prior)
-    result = {
-        "train": write_table(loo_all_keys(train, prior=prior), folder, "train_features.parquet"),
-        "test": write_table(encoded_test, folder, "test_features.parquet"),
+    totals, prior = build_lookup_tables(train, folder)
+    encoded = {
+        "train": loo_all_keys(train, prior=prior, totals=totals),
+        "test": apply_all_stats(test, lookups(totals), prior),
     }
+    result = {name: write_table(rows, folder, f"{name}_features.parquet") for name, rows in encoded.items()}
     for key, prefix in KEY_PREFIXES.items():
         used = distinct_lookup(result["test"], key, prefix)
         result[f"test_{prefix}_stats"] = write_table(used, folder, f"test_{prefix}_stats.parquet")

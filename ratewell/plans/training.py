@@ -2,59 +2,80 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.operators.encode import apply_all_stats, loo_all_keys, numeric_features
 from ratewell.operators.evaluate import rmse_of
-from ratewell.operators.features import FEATURE_SUBSETS, NUMERIC_COLUMNS, feature_subset, moments, standardize
+from ratewell.operators.features import (
+    FEATURE_SUBSETS,
+    NUMERIC_COLUMNS,
+    feature_array,
+    feature_subset,
+    moments,
+    standardize,
+)
 from ratewell.operators.joins import join_on_id
-from ratewell.operators.ridge import ridge_alpha_grid
+from ratewell.operators.ridge import gram, gram_matrices, score_models, solve_ridge
 from ratewell.operators.split import fraction_split
-from ratewell.operators.stats import prior_of
 from ratewell.operators.trees import gbt_fit, gbt_predict
-from ratewell.plans.feature_job import lookups
+from ratewell.plans.feature_job import build_lookup_tables, lookups
+from ratewell.schemas import RIDGE_ALPHAS
 from ratewell.session import scratch_path
 from ratewell.sources.tables import write_table
 
 
 def encoded_splits(
-    rows: DataFrame, percent: int = 80, keep: tuple[str, ...] = ("id", "rating")
+    rows: DataFrame, folder: str, percent: int = 80, keep: tuple[str, ...] = ("id", "rating")
 ) -> tuple[DataFrame, DataFrame]:
     """Numeric features of the train and val rows. The prior, the key statistics and the
-    leave-one-out means all come from training rows."""
+    leave-one-out means all come from training rows; ``folder`` gets the statistics."""
     split = fraction_split(rows, percent)
     train = split.filter(F.col("split") == "train").drop("split")
     val = split.filter(F.col("split") == "val").drop("split")
-    prior = prior_of(train)
+    totals, prior = build_lookup_tables(train, folder)
     return (
-        numeric_features(loo_all_keys(train, prior=prior), keep, "loo_avg"),
-        numeric_features(apply_all_stats(val, lookups(train), prior), keep, "avg"),
+        numeric_features(loo_all_keys(train, prior=prior, totals=totals), keep, "loo_avg"),
+        numeric_features(apply_all_stats(val, lookups(totals), prior), keep, "avg"),
     )
 
 
 def feature_table(rows: DataFrame, percent: int = 80, keep: tuple[str, ...] = ("id", "rating")) -> DataFrame:
     """Scaled numeric features of all rows with their ``split``, written once: fitting, scoring
     and every ablation read this table instead of repeating the key joins."""
-    train, val = encoded_splits(rows, percent, keep)
-    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
     folder = scratch_path(rows.sparkSession, "features")
+    train, val = encoded_splits(rows, folder, percent, keep)
+    both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
     raw = write_table(both, folder, "raw.parquet")
     fitted = moments(raw.filter(F.col("split") == "train"), NUMERIC_COLUMNS)
     return write_table(standardize(raw, NUMERIC_COLUMNS, fitted), folder, "scaled.parquet")
 
 
-def ablation_table(features: DataFrame, subsets: tuple[str, ...] = tuple(FEATURE_SUBSETS)) -> DataFrame:
+def ablation_table(
+    features: DataFrame,
+    subsets: tuple[str, ...] = tuple(FEATURE_SUBSETS),
+    alphas: tuple[float, ...] = RIDGE_ALPHAS,
+) -> DataFrame:
     """``(model, features, alpha, rmse)``: validation error of ridge per feature subset and penalty.
 
     ``features`` holds the scaled columns, ``embedding`` if a subset reads it, rating and split.
+    The Gram matrix of a subset is part of that of all features, so one pass fits every model,
+    and a second one scores them all.
     """
-    result = None
+    embedding = "embedding" if any(FEATURE_SUBSETS[name][1] for name in subsets) else None
+    rows = features.select("rating", "split", feature_array(NUMERIC_COLUMNS, embedding).alias("features"))
+    matrix = gram_matrices(gram(rows.filter(F.col("split") == "train")))["train"]
+    width = len(matrix) - 2
+    offset = width - len(NUMERIC_COLUMNS)
+    models = []
     for name in subsets:
-        grid = ridge_alpha_grid(features.withColumn("features", feature_subset(name)))
-        scores = grid.scores.select(F.lit("ridge").alias("model"), F.lit(name).alias("features"), "alpha", "rmse")
-        result = scores if result is None else result.unionByName(scores)
-    return result
+        columns, with_embedding = FEATURE_SUBSETS[name]
+        places = list(range(offset)) if with_embedding else []
+        places += [offset + NUMERIC_COLUMNS.index(c) for c in columns]
+        models += [solve_ridge(matrix, alpha, np.array(places), name) for alpha in alphas]
+    scores = score_models(rows.filter(F.col("split") == "val"), models)
+    return scores.select(F.lit("ridge").alias("model"), F.col("name").alias("features"), "alpha", "rmse")
 
 
 def gbt_scores(features: DataFrame, subset: str = "stats_raw", trees: int = 20) -> DataFrame:

@@ -76,7 +76,8 @@ def stats_parquet(spark, folder):
     read, _ = feature_job.load_lookup_tables(spark, out)
     result = None
     for key, table in read.items():
-        part = table.select(F.lit(key).alias("key_name"), F.col(key).alias("key"), *table.columns[1:])
+        columns = ["rating_sum", "rating_count", "rating_mean"]
+        part = table.select(F.lit(key).alias("key_name"), F.col(key).alias("key"), *columns)
         result = part if result is None else result.unionByName(part)
     return result
 
@@ -340,7 +341,8 @@ def lookup_join_stats(spark, folder):
     """Val rows encoded by the statistics of training rows; many products are unseen."""
     rows = split.fraction_split(_narrow(spark, folder))
     train, val = (rows.filter(F.col("split") == n).drop("split") for n in ("train", "val"))
-    applied = encode.apply_all_stats(val.drop("rating"), feature_job.lookups(train), stats.prior_of(train))
+    lookups = {key: stats.group_mean_count(train, key, prefix) for key, prefix in KEY_PREFIXES.items()}
+    applied = encode.apply_all_stats(val.drop("rating"), lookups, stats.prior_of(train))
     columns = [f"{p}_{c}" for p in KEY_PREFIXES.values() for c in ("avg", "cnt", "log_cnt")]
     return _rounded(applied.select("id", *columns), 9, *_logs())
 
@@ -438,8 +440,11 @@ def vocabulary(spark, folder):
 
 
 def encode_token_ids(spark, folder):
+    ship_package(spark)
     texts = concat_review_text(spark, folder)
-    ids = text_op.encode_token_ids(texts, text_op.vocabulary(texts, min_count=2))
+    vocab = text_op.vocabulary(texts, min_count=2)
+    written = tables.write_table(vocab, scratch_path(spark, "vocabulary"), "vocabulary.parquet")
+    ids = text_op.encode_token_ids(texts, written)
     entries = ids.select("id", "attention_mask", F.posexplode("input_ids").alias("pos", "token_id"))
     return entries.groupBy("id").agg(
         F.count(F.lit(1)).alias("width"),

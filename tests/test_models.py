@@ -86,6 +86,15 @@ def test_embedding_ridge_equals_closed_form(spark):
     assert model.coefficients == pytest.approx(w, abs=1e-8)
 
 
+def test_ablation_equals_separate_grids(table):
+    subsets = ("raw", "stats", "stats_raw")
+    got = {(r["features"], r["alpha"]): r["rmse"] for r in training.ablation_table(table, subsets).collect()}
+    for name in subsets:
+        rows = table.withColumn("features", features.feature_subset(name))
+        for row in ridge.ridge_alpha_grid(rows).scores.collect():
+            assert got[name, row["alpha"]] == pytest.approx(row["rmse"], abs=1e-9)
+
+
 @pytest.fixture(scope="module")
 def table(spark):
     return training.feature_table(source.reviews(spark, SMALL))

@@ -3,7 +3,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from ratewell.operators import evaluate, stats
+from ratewell.operators import encode, evaluate, stats
 from ratewell.plans import feature_job
 from ratewell.schemas import TRAIN_SCHEMA
 from ratewell.session import pinned, scratch_path
@@ -80,19 +80,22 @@ def test_feature_job_writes_what_it_returns(spark, reviews, tmp_path):
     assert {r["user_cnt"] for r in written["test"].collect()} == {0}
     assert len(glob.glob(f"{folder}/*.parquet")) == 9
     loaded, _ = feature_job.load_lookup_tables(spark, folder)
-    assert plain(loaded["prod_id"]) == plain(stats.group_stats(train, "prod_id"))
+    assert plain(loaded["prod_id"].drop("row_count")) == plain(stats.group_stats(train, "prod_id"))
+    direct = encode.loo_all_keys(train)
+    assert plain(written["train"]) == plain(direct)
 
 
-def test_store_encodes_only_missing_ids(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_ids", [1_000, 0])
+def test_store_encodes_only_missing_ids(spark, tmp_path, broadcast_ids):
     path = str(tmp_path / "store")
     assert embeddings.read_store(spark, path) is None
 
     def encode(mark):
         return lambda rows: rows.select("id", F.array(F.lit(mark).cast("float")).alias("embedding"))
 
-    embeddings.update_store(spark.range(0, 3), path, encode(1.0))
-    embeddings.update_store(spark.range(0, 5), path, encode(2.0))
-    store = embeddings.update_store(spark.range(0, 5), path, encode(3.0))
+    embeddings.update_store(spark.range(0, 3), path, encode(1.0), "id", broadcast_ids)
+    embeddings.update_store(spark.range(0, 5), path, encode(2.0), "id", broadcast_ids)
+    store = embeddings.update_store(spark.range(0, 5), path, encode(3.0), "id", broadcast_ids)
     assert plain(store) == [(0, [1.0]), (1, [1.0]), (2, [1.0]), (3, [2.0]), (4, [2.0])]
 
 

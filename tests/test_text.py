@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ratewell.functions.text import word_tokens
 from ratewell.operators import encoders, text
 
 random.seed(3)
@@ -43,11 +44,8 @@ def test_vocabulary_is_dense_and_ordered_by_count(rows, min_count):
     assert [r["token_count"] for r in got] == sorted(kept.values(), reverse=True)
 
 
-@pytest.mark.parametrize("limits", [{}, {"share": 0.05, "min_rows": 1}])
-def test_token_ids_keep_order_and_mark_unknown_words(rows, limits):
-    vocab = text.vocabulary(rows, min_count=2)
-    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
-    encoded = text.encode_token_ids(rows, vocab, max_len=10, **limits).collect()
+def check_ids(encoded, ids):
+    encoded = encoded.collect()
     assert len(encoded) == len(TEXTS) + 1
     texts = dict(enumerate(TEXTS))
     for row in encoded:
@@ -56,6 +54,22 @@ def test_token_ids_keep_order_and_mark_unknown_words(rows, limits):
         assert sum(row["attention_mask"]) == len(words)
 
 
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_token_ids_keep_order_and_mark_unknown_words(rows, broadcast_bytes):
+    vocab = text.vocabulary(rows, min_count=2)
+    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+    check_ids(text.encode_token_ids(rows, vocab, max_len=10, broadcast_bytes=broadcast_bytes), ids)
+
+
+def test_token_ids_with_hot_words(rows):
+    vocab = text.vocabulary(rows)
+    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+    tokens = rows.select("id", word_tokens("text").alias("_tokens"))
+    for row in text.ids_by_join(tokens, vocab, share=0.05, min_rows=1).collect():
+        words = split_words(dict(enumerate(TEXTS)).get(row["id"]))
+        assert row["_ids"] == [ids[w] for w in words]
+
+
 def test_token_coverage(rows):
     lengths = [len(split_words(t)) for t in TEXTS] + [0]
     row = text.token_coverage(rows, max_len=10).first()
