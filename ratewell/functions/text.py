@@ -20,9 +20,12 @@ def text_length(text: str | Column = "text") -> Column:
 
 
 def word_tokens(text: str | Column = "text") -> Column:
-    """Lower-cased words of the whole text; an empty text has no words."""
+    """Lower-cased words of the whole text; an empty text has no words.
+
+    Without a lambda, plans that tokenize the same texts twice compare as equal and share a stage.
+    """
     words = F.split(F.lower(text), r"\s+")
-    return F.filter(F.coalesce(words, F.array().cast("array<string>")), lambda w: w != "")
+    return F.array_remove(F.coalesce(words, F.array().cast("array<string>")), "")
 
 
 def truncate_tokens(tokens: str | Column, max_len: int = MAX_TOKENS) -> Column:

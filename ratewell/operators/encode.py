@@ -12,13 +12,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewell.functions.numeric import fill_prior, log_count, purchased_flag, votes_filled, votes_log
-from ratewell.operators.joins import HOT_MIN_ROWS, HOT_SHARE, hot_and_cold, lookup_join, spread_hot_rows
+from ratewell.operators.joins import (
+    HOT_MIN_ROWS,
+    HOT_SHARE,
+    hot_and_cold,
+    lookup_join,
+    spread_hot_rows,
+    total_rows,
+    total_weight,
+)
 from ratewell.operators.stats import key_totals, prior_of
 from ratewell.schemas import KEY_PREFIXES
 
 
-def _needed(totals: DataFrame, key: str) -> DataFrame:
-    return totals.select(key, "rating_sum", "rating_count", "row_count")
+def _totals(
+    source: DataFrame, key: str, target: str, written: DataFrame | None
+) -> tuple[DataFrame, Column]:
+    """The totals of a key and the number of rows, from written totals if there are any."""
+    totals = key_totals(source, key, target) if written is None else written
+    total = total_rows(source) if written is None else total_weight(written, "row_count")
+    return totals.select(key, "rating_sum", "rating_count", "row_count"), total
 
 
 def _loo_columns(total: Column, count: Column, target: str, prior: Column, prefix: str) -> list[Column]:
@@ -51,8 +64,8 @@ def loo_encode(
     """
     source = rows if source is None else source
     prior = prior_of(source, target) if prior is None else prior
-    totals = _needed(key_totals(source, key, target) if totals is None else totals, key)
-    joined = lookup_join(rows, totals, key, "row_count", source, share, min_rows)
+    totals, total = _totals(source, key, target, totals)
+    joined = lookup_join(rows, totals, key, "row_count", total, source, share, min_rows)
     encoded = _loo_columns(F.col("rating_sum"), F.col("rating_count"), target, prior, prefix or key)
     return joined.select(*rows.columns, *encoded)
 
@@ -76,8 +89,8 @@ def loo_encode_window(
     """
     source = rows if source is None else source
     prior = prior_of(source, target) if prior is None else prior
-    totals = _needed(key_totals(source, key, target) if totals is None else totals, key)
-    hot, _ = hot_and_cold(source, totals, key, "row_count", share, min_rows)
+    totals, total = _totals(source, key, target, totals)
+    hot, _ = hot_and_cold(source, totals, key, "row_count", total, share, min_rows)
     probe = spread_hot_rows(rows, hot, key)
     window = Window.partitionBy("_is_cold", "_probe_key")
     if full_frame:
@@ -120,7 +133,7 @@ def apply_stats(
     """Attach ``(key, {prefix}_avg, {prefix}_cnt)``: unseen and null keys get the prior and 0.
     ``source`` is the same rows before earlier lookups."""
     avg, cnt = F.col(f"{prefix}_avg"), F.coalesce(F.col(f"{prefix}_cnt"), F.lit(0).cast("bigint"))
-    joined = lookup_join(rows, stats, key, None, source, share, min_rows)
+    joined = lookup_join(rows, stats, key, source=source, share=share, min_rows=min_rows)
     return joined.select(
         *rows.columns,
         fill_prior(avg, prior).alias(f"{prefix}_avg"),

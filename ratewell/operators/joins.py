@@ -20,35 +20,49 @@ def rows_per_key(rows: DataFrame, key: str, name: str = "key_rows") -> DataFrame
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_limit(rows: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> Column:
-    """Rows from which a key is hot: a share of all rows, but never fewer than ``min_rows``.
-
-    The row count is one scan without columns, shared by all keys of a query.
-    """
-    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+def hot_limit(total: Column, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> Column:
+    """Rows from which a key is hot: a share of all rows, but never fewer than ``min_rows``."""
     return F.greatest(total * F.lit(share), F.lit(float(min_rows)))
 
 
+def total_rows(rows: DataFrame) -> Column:
+    """The row count as a scalar subquery: a scan without columns, shared by all keys of a query."""
+    return rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+
+
+def total_weight(counts: DataFrame, weight: str) -> Column:
+    """The row count as a scalar subquery over counts per key that exist anyway."""
+    return counts.agg(F.sum(weight).alias("total")).scalar()
+
+
 def _packed(table: DataFrame, key: str, key_name: str, value_name: str) -> DataFrame:
     values = [F.col(c) for c in table.columns if c != key]
     return table.select(F.col(key).alias(key_name), F.struct(*values).alias(value_name))
 
 
 def hot_and_cold(
-    rows: DataFrame, table: DataFrame, key: str, weight: str | None, share: float, min_rows: int
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    weight: str | None,
+    total: Column | None,
+    share: float,
+    min_rows: int,
 ) -> tuple[DataFrame, DataFrame]:
     """``(_hot_key, _hot)``, at most ``1 / share`` hot keys of ``rows`` with their row of ``table``,
     and ``(_cold_key, _cold)``, the other rows of ``table``.
 
-    ``weight`` names the column of ``table`` that holds the number of ``rows`` per key; both
-    results then read one aggregation. Without it, the keys of ``rows`` are counted.
+    ``weight`` names the column of ``table`` that holds the number of ``rows`` per key, ``total``
+    their sum; both results then read one aggregation. Without a weight, the keys of ``rows`` are
+    counted.
     """
-    limit = hot_limit(rows, share, min_rows)
     table = table.filter(F.col(key).isNotNull())
     if weight:
+        limit = hot_limit(total_rows(rows) if total is None else total, share, min_rows)
         hot = _packed(table.filter(F.col(weight) >= limit), key, "_hot_key", "_hot")
         return hot, _packed(table.filter(F.col(weight) < limit), key, "_cold_key", "_cold")
     counts = rows_per_key(rows.filter(F.col(key).isNotNull()), key)
+    limit = hot_limit(total_weight(counts, "key_rows"), share, min_rows)
     hot_keys = counts.filter(F.col("key_rows") >= limit).select(key)
     known = _packed(table.join(F.broadcast(hot_keys), key, "left_semi"), key, "_known_key", "_hot")
     # Hot keys that the table lacks stay in the list: their rows must be spread as well.
@@ -76,6 +90,7 @@ def lookup_join(
     table: DataFrame,
     key: str,
     weight: str | None = None,
+    total: Column | None = None,
     source: DataFrame | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
@@ -86,7 +101,8 @@ def lookup_join(
     A null key matches nothing. ``source`` is the same rows before earlier lookups: hot keys are
     found there without repeating those joins.
     """
-    hot, cold = hot_and_cold(rows if source is None else source, table, key, weight, share, min_rows)
+    source = rows if source is None else source
+    hot, cold = hot_and_cold(source, table, key, weight, total, share, min_rows)
     probe = spread_hot_rows(rows, hot, key, row_id)
     joined = probe.join(cold, F.col("_probe_key") == F.col("_cold_key"), "left")
     found = [

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ratewell.functions.numeric import conditional_prior, log_count
 
+ALL_ROWS = "all_rows"
+
 
 def global_mean(rows: DataFrame, target: str = "rating") -> DataFrame:
     """One row: the mean target."""
@@ -21,17 +23,38 @@ def prior_of(rows: DataFrame, target: str = "rating") -> Column:
     return global_mean(rows, target).scalar()
 
 
+def _totals(target: str) -> list[Column]:
+    return [
+        F.sum(target).alias("rating_sum"),
+        F.count(target).alias("rating_count"),
+        F.avg(target).alias("rating_mean"),
+        F.count(F.lit(1)).alias("row_count"),
+    ]
+
+
 def key_totals(rows: DataFrame, key: str, target: str = "rating") -> DataFrame:
     """Sum, count of non-null targets, mean, and number of rows per key.
 
     One such table serves training rows (``encode.loo_encode``) and others (``lookup_of``).
     """
-    return rows.groupBy(key).agg(
-        F.sum(target).alias("rating_sum"),
-        F.count(target).alias("rating_count"),
-        F.avg(target).alias("rating_mean"),
-        F.count(F.lit(1)).alias("row_count"),
+    return rows.groupBy(key).agg(*_totals(target))
+
+
+def all_key_totals(rows: DataFrame, keys: tuple[str, ...], target: str = "rating") -> DataFrame:
+    """``key_totals`` of several string keys by one scan and one shuffle, as ``(key_name, key, ...)``.
+
+    The row with the name ``ALL_ROWS`` holds the totals of all rows, hence the global mean.
+    """
+    sets = [[F.col(key)] for key in keys] + [[]]
+    grouped = rows.groupingSets(sets, *keys).agg(
+        *_totals(target), *[F.grouping(key).alias(f"_without_{key}") for key in keys]
     )
+    name, value = F.lit(ALL_ROWS), F.lit(None).cast("string")
+    for key in keys:
+        in_set = F.col(f"_without_{key}") == 0
+        name, value = F.when(in_set, key).otherwise(name), F.when(in_set, F.col(key)).otherwise(value)
+    totals = ["rating_sum", "rating_count", "rating_mean", "row_count"]
+    return grouped.select(name.alias("key_name"), value.alias("key"), *totals)
 
 
 def group_stats(rows: DataFrame, key: str, target: str = "rating") -> DataFrame:

@@ -82,9 +82,10 @@ def vocabulary(rows: DataFrame, text: str = "text", min_count: int = 1) -> DataF
     twice the number of tokens.
     """
     tokens = token_counts(rows, text).filter(F.col("token_count") >= min_count)
-    tokens = tokens.withColumn("_hash", F.md5("token")).withColumn(
-        "_bucket", hex_prefix(F.col("_hash"), BUCKET_DIGITS)
-    )
+    # Never null, and known to be so: else the join below would filter one of its two readers of
+    # the token counts, and they could no longer share one stage.
+    bucket = F.coalesce(hex_prefix(F.col("_hash"), BUCKET_DIGITS), F.lit(0))
+    tokens = tokens.withColumn("_hash", F.md5("token")).withColumn("_bucket", bucket)
     sizes = tokens.groupBy("token_count", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
 
     def before(window) -> F.Column:

@@ -9,25 +9,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ratewell.operators.encode import apply_all_stats, distinct_lookup, loo_all_keys
-from ratewell.operators.stats import global_mean, key_totals, lookup_of
+from ratewell.operators.stats import ALL_ROWS, all_key_totals, lookup_of
 from ratewell.schemas import KEY_PREFIXES
-from ratewell.sources.tables import read_prior, read_table, write_prior, write_table
+from ratewell.sources.tables import read_table, write_table
+
+
+STATS_TABLE = "stats.parquet"
 
 
 def build_lookup_tables(train: DataFrame, folder: str) -> tuple[dict[str, DataFrame], Column]:
-    """Write ``{prefix}_stats.parquet`` (sum, count, mean, rows) per key, and the prior."""
-    written = {
-        key: write_table(key_totals(train, key), folder, f"{prefix}_stats.parquet")
-        for key, prefix in KEY_PREFIXES.items()
-    }
-    return written, write_prior(global_mean(train), folder)
+    """Write the totals (sum, count, mean, rows) of every key and of all rows, one folder per key,
+    by a single pass over the training rows; return them and the prior."""
+    totals = all_key_totals(train, tuple(KEY_PREFIXES))
+    totals.write.mode("overwrite").partitionBy("key_name").parquet(f"{folder}/{STATS_TABLE}")
+    return load_lookup_tables(train.sparkSession, folder)
 
 
 def load_lookup_tables(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], Column]:
-    tables = {
-        key: read_table(spark, folder, f"{prefix}_stats.parquet") for key, prefix in KEY_PREFIXES.items()
-    }
-    return tables, read_prior(spark, folder)
+    def part(name: str) -> DataFrame:
+        return read_table(spark, f"{folder}/{STATS_TABLE}", f"key_name={name}")
+
+    tables = {key: part(key).withColumnRenamed("key", key) for key in KEY_PREFIXES}
+    return tables, part(ALL_ROWS).select("rating_mean").scalar()
 
 
 def lookups(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -78,8 +78,9 @@ def test_feature_job_writes_what_it_returns(spark, reviews, tmp_path):
     written = feature_job.run_feature_job(train, test, folder)
     assert written["train"].count() == 5 and written["test"].count() == 5
     assert {r["user_cnt"] for r in written["test"].collect()} == {0}
-    assert len(glob.glob(f"{folder}/*.parquet")) == 9
-    loaded, _ = feature_job.load_lookup_tables(spark, folder)
+    assert len(glob.glob(f"{folder}/*.parquet")) == 6
+    loaded, prior = feature_job.load_lookup_tables(spark, folder)
+    assert spark.range(1).select(prior).first()[0] == stats.global_mean(train).first()[0]
     assert plain(loaded["prod_id"].drop("row_count")) == plain(stats.group_stats(train, "prod_id"))
     direct = encode.loo_all_keys(train)
     assert plain(written["train"]) == plain(direct)
