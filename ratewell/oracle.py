@@ -145,6 +145,48 @@ RIDGE_FIT = f"""WITH {RAW}, one AS (SELECT 1.0::DOUBLE AS alpha), {_raw_moments(
 SELECT u.pos::INTEGER AS pos, round(u.value, 6) + 0.0 AS value
 FROM (SELECT unnest([{{'pos': 0, 'value': b}}, {{'pos': 1, 'value': wp}}, {{'pos': 2, 'value': wv}}]) AS u FROM model)"""
 
+EMBEDDED = f"""z AS (SELECT vec_id, CASE WHEN {HASH.format("'42:' || vec_id::VARCHAR")} % 100 < 80 THEN 'train' ELSE 'val' END AS split,
+  embedding::DOUBLE[] AS x, label::DOUBLE AS y, len(embedding) AS d FROM embeddings)"""
+
+
+def _eliminated(rows: str, specs: str, name: str) -> str:
+    """CTEs: the ridge solution of each of ``specs (features, alpha, places)`` on ``rows (vec_id, x, y)``,
+    from the centred normal equations of the features at ``places``, by Gauss-Jordan elimination with
+    one feature per recursion step. The result is ``(features, alpha, places, w, b)`` with lists."""
+    target = f"(SELECT max(i) FROM {name}_mean)"
+    return f"""{name}_flat AS (SELECT vec_id, unnest(range(1, len(x) + 2)) AS i, unnest(list_append(x, y)) AS v FROM {rows}),
+{name}_mean AS (SELECT i, avg(v) AS m FROM {name}_flat GROUP BY i),
+{name}_centred AS (SELECT vec_id, i, v - m AS v FROM {name}_flat JOIN {name}_mean USING (i)),
+{name}_gram AS (SELECT a.i AS i, b.i AS j, sum(a.v * b.v) AS v FROM {name}_centred a JOIN {name}_centred b USING (vec_id)
+  GROUP BY 1, 2),
+{name}_rows AS (SELECT features, alpha, i, list(v + CASE WHEN i = j THEN alpha ELSE 0 END ORDER BY j) AS r
+  FROM {name}_gram CROSS JOIN {specs}
+  WHERE list_contains(places, i) AND (list_contains(places, j) OR j = {target}) GROUP BY features, alpha, i),
+{name}_steps AS (
+  SELECT features, alpha, 1 AS k, list(r ORDER BY i) AS m FROM {name}_rows GROUP BY features, alpha
+  UNION ALL
+  SELECT features, alpha, k + 1, list_transform(range(1, len(m) + 1), lambda i: CASE WHEN i = k
+      THEN list_transform(m[k], lambda v: v / m[k][k])
+      ELSE list_transform(range(1, len(m) + 2), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]) END)
+  FROM {name}_steps WHERE k <= len(m)),
+{name}_w AS (SELECT features, alpha, list_transform(m, lambda r: r[len(m) + 1]) AS w
+  FROM {name}_steps WHERE k = len(m) + 1),
+{name} AS (SELECT features, alpha, places, w, (SELECT m FROM {name}_mean WHERE i = {target})
+  - list_sum(list_transform(range(1, len(w) + 1), lambda i: w[i] * means[places[i]])) AS b
+  FROM {name}_w JOIN {specs} USING (features, alpha)
+  CROSS JOIN (SELECT list(m ORDER BY i) AS means FROM {name}_mean))"""
+
+
+def _specs(subsets: dict[str, str], alphas: tuple[float, ...] = RIDGE_ALPHAS) -> str:
+    """CTE ``specs``: every named list of feature places with every penalty."""
+    places = " UNION ALL ".join(f"SELECT '{name}' AS features, {places} AS places" for name, places in subsets.items())
+    values = ", ".join(f"{a}::DOUBLE" for a in alphas)
+    return f"specs AS (SELECT features, alpha, places FROM ({places}) CROSS JOIN (SELECT unnest([{values}]) AS alpha))"
+
+
+VAL_RMSE = """round(sqrt(avg(pow(greatest(1.0::DOUBLE, least(5.0::DOUBLE,
+  b + list_inner_product(list_transform(places, lambda p: x[p]), w))) - y, 2))), 6) AS rmse"""
+
 BASELINES = f"""{REVIEWS}, {_loo('reviews')}, predictors AS (
   SELECT 'prior' AS predictor, (SELECT avg(rating) FROM reviews) AS p, rating AS y FROM encoded
   {' '.join(f"UNION ALL SELECT '{p}', {p}_loo_avg, rating FROM encoded" for p in KEY_PREFIXES.values())}),
@@ -192,6 +234,34 @@ SUBSET_COLUMNS = ", ".join(
     for name, (columns, width) in SUBSETS.items()
 )
 
+PRODUCT_EMBEDDINGS = f"""word_lists AS (SELECT p_partkey::VARCHAR AS id,
+  string_split(lower(p_name || ' [SEP] ' || p_brand || ' ' || p_type), ' ') AS words FROM part),
+{_hashed('word_lists')},
+e AS (SELECT id AS parent_prod_id, sum(value) AS total, list(value ORDER BY pos) AS embedding FROM hashed GROUP BY 1)"""
+
+SCALED_LIST = ", ".join(
+    f"({c} - (SELECT avg({c}) FROM features WHERE split = 'train')) / "
+    f"((SELECT stddev_pop({c}) FROM features WHERE split = 'train') + 1e-8)"
+    for c in NUMERIC
+)
+# Places 1 to 32 are the embedding, then the numeric columns in their order.
+SUBSET_PLACES = {
+    name: "list_concat(range(1, {}), [{}]::BIGINT[])".format(
+        width + 1, ", ".join(str(33 + NUMERIC.index(c)) for c in columns)
+    )
+    for name, (columns, width) in SUBSETS.items()
+}
+ABLATION = f"""WITH RECURSIVE {SPLIT}, {_loo('train')}, {_lookup()},
+features AS ({_numeric('encoded', 'loo_avg', extra=", parent_prod_id, rating, 'train' AS split")}
+  UNION ALL {_numeric('looked_up', 'avg', extra=", parent_prod_id, rating, 'val' AS split")}),
+{PRODUCT_EMBEDDINGS},
+z AS (SELECT id AS vec_id, split, list_concat(embedding, [{SCALED_LIST}]) AS x, rating::DOUBLE AS y
+  FROM features JOIN e USING (parent_prod_id)),
+fitted AS (SELECT * FROM z WHERE split = 'train'),
+{_specs(SUBSET_PLACES)}, {_eliminated('fitted', 'specs', 'models')}
+SELECT 'ridge' AS model, features, alpha, {VAL_RMSE}
+FROM z CROSS JOIN models WHERE split = 'val' GROUP BY features, alpha"""
+
 ORACLE: dict[str, str] = {
     "scan_csv_reviews": f"WITH {REVIEWS} SELECT * FROM reviews",
     "scan_csv_texts": f"WITH {TEXTS} SELECT * FROM texts",
@@ -233,10 +303,7 @@ SELECT id, {', '.join(f'round({c}, 9) + 0.0 AS f{i}' for i, c in enumerate(STATS
 SELECT id, (unnest(range(len(f))))::INTEGER AS pos, round(unnest(f), 6) + 0.0 AS value FROM arrays""",
     "feature_subset": f"""WITH {REVIEWS}, {_loo('reviews')},
 features AS ({_numeric('encoded', 'loo_avg', extra=', parent_prod_id')}),
-word_lists AS (SELECT p_partkey::VARCHAR AS id,
-  string_split(lower(p_name || ' [SEP] ' || p_brand || ' ' || p_type), ' ') AS words FROM part),
-{_hashed('word_lists')},
-e AS (SELECT id AS parent_prod_id, sum(value) AS total FROM hashed GROUP BY 1)
+{PRODUCT_EMBEDDINGS}
 SELECT id, {SUBSET_COLUMNS} FROM features JOIN e USING (parent_prod_id)""",
     "global_avg": f"WITH {REVIEWS} SELECT avg(rating) AS global_avg FROM reviews",
     **{f"group_stats_{p}": f"WITH {REVIEWS} {_group_stats(k)}" for k, p in KEY_PREFIXES.items()},
@@ -313,6 +380,12 @@ SELECT a.split, a.i::INTEGER AS i, b.i::INTEGER AS pos, round(sum(a.x * b.x), 4)
 FROM flat a JOIN flat b ON a.vec_id = b.vec_id GROUP BY 1, 2, 3""",
     "ridge_fit": RIDGE_FIT,
     "ridge_fit_mllib": RIDGE_FIT,
+    "ridge_fit_embeddings": f"""WITH RECURSIVE {EMBEDDED}, {_specs({'all': 'range(1, 65)'}, (1.0,))}, {_eliminated('z', 'specs', 'model')},
+solved AS (SELECT list_prepend(b, w) AS v FROM model)
+SELECT (unnest(range(len(v))))::INTEGER AS pos, round(unnest(v), 6) + 0.0 AS value FROM solved""",
+    "ridge_alpha_grid_embeddings": f"""WITH RECURSIVE {EMBEDDED}, train AS (SELECT * FROM z WHERE split = 'train'),
+{_specs({'all': 'range(1, 65)'})}, {_eliminated('train', 'specs', 'models')}
+SELECT alpha, {VAL_RMSE} FROM z CROSS JOIN models WHERE split = 'val' GROUP BY alpha""",
     "ridge_alpha_grid": f"WITH {GRID} SELECT alpha, round(rmse, 9) AS rmse FROM grid",
     "predict_clip": f"""WITH {GRID}, best AS (SELECT alpha FROM grid ORDER BY rmse, alpha LIMIT 1),
 {_raw_moments('raw', 'all_m')}, {_ridge('all_m', 'best', 'final')}
@@ -323,4 +396,5 @@ swept AS (SELECT weight, greatest(1.0::DOUBLE, least(5.0::DOUBLE, weight * ratin
   FROM pairs CROSS JOIN weights)
 SELECT weight, round(min(r), 6) AS min, round(max(r), 6) AS max, round(avg(r), 6) AS mean FROM swept GROUP BY 1""",
     "blend_final": f"WITH {PAIRS} SELECT id, round(rating, 9) AS rating FROM blended",
+    "ablation_table": ABLATION,
 }
