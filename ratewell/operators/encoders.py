@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import IDF, HashingTF, Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,12 +59,11 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
 
         def encode(texts: list[str]) -> np.ndarray:
             vectors = np.zeros((len(texts), dim))
-            for vector, text in zip(vectors, texts):
+            for row, text in enumerate(texts):
                 slots = [slot(word) for word in _SPACE.split(text.lower()) if word]
                 if slots:
                     where, signs = zip(*slots)
-                    np.add.at(vector, list(where), signs)
-                    vector /= len(slots)
+                    vectors[row] = np.bincount(where, signs, dim) / len(slots)
             return vectors
 
         return encode
@@ -95,8 +94,6 @@ def min_count_for(counts: DataFrame, max_tokens: int) -> DataFrame:
     The running total reads one row per distinct count. Null if even the most frequent count has
     more tokens than that.
     """
-    from pyspark.sql import Window
-
     sizes = counts.groupBy("token_count").agg(F.count(F.lit(1)).alias("_size"))
     kept = F.sum("_size").over(Window.orderBy(F.desc("token_count")))
     fitting = sizes.withColumn("_kept", kept).filter(F.col("_kept") <= max_tokens)

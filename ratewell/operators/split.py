@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewell.functions.hashing import hex_prefix, split_bucket, split_hash
+from ratewell.functions.hashing import split_bucket, split_hash
 from ratewell.schemas import SPLIT_SEED
 
-BUCKET_DIGITS = 4
+PREFIX_DIGITS = (4, 8)
 PAST_ALL_HASHES = "g"
 
 
@@ -25,25 +25,27 @@ def nth_hash(rows: DataFrame, n: int, seed: int = SPLIT_SEED, row_id: str = "id"
     """The n-th smallest row hash as a scalar subquery; a bound above all hashes if there are fewer.
 
     A global sort or limit would pass its rows through one task. Instead, a histogram over the
-    first hex digits (65,536 entries at most) finds the bucket that holds the n-th hash, and only
-    that bucket, 1/65,536 of the hashes, is ranked.
+    first hex digits (65,536 entries at most) finds the bucket that holds the n-th hash, a second
+    one over the next digits divides that bucket again, and only the hashes that share all eight
+    digits, one in four billion, are ranked.
     """
     if n <= 0:
         return F.lit("")
-    hashes = rows.select(split_hash(row_id, seed).alias("hash")).withColumn(
-        "bucket", hex_prefix(F.col("hash"), BUCKET_DIGITS)
+    hashes = rows.select(split_hash(row_id, seed).alias("hash"))
+    prefix, before = F.lit(""), F.lit(0)
+    for digits in PREFIX_DIGITS:
+        inside = hashes.filter(F.col("hash").startswith(prefix))
+        histogram = inside.groupBy(F.substring("hash", 1, digits).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("size")
+        )
+        running = histogram.withColumn("upto", before + F.sum("size").over(Window.orderBy("bucket")))
+        found = F.struct("bucket", (F.col("upto") - F.col("size")).alias("before"))
+        edge = running.filter(F.col("upto") >= n).agg(F.min_by(found, "bucket")).scalar()
+        prefix, before = edge["bucket"], edge["before"]
+    ranked = hashes.filter(F.col("hash").startswith(prefix)).withColumn(
+        "rank", before + F.row_number().over(Window.orderBy("hash"))
     )
-    histogram = hashes.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    running = histogram.withColumn("upto", F.sum("size").over(Window.orderBy("bucket")))
-    edge = (
-        running.filter(F.col("upto") >= n)
-        .agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("size")).alias("before")), "bucket"))
-        .scalar()
-    )
-    ranked = hashes.filter(F.col("bucket") == edge["bucket"]).withColumn(
-        "rank", F.row_number().over(Window.orderBy("hash"))
-    )
-    cut = ranked.filter(F.col("rank") == F.lit(n) - edge["before"])
+    cut = ranked.filter(F.col("rank") == n)
     return cut.agg(F.coalesce(F.min("hash"), F.lit(PAST_ALL_HASHES))).scalar()
 
 

@@ -267,7 +267,8 @@ ORACLE: dict[str, str] = {
     "scan_csv_texts": f"WITH {TEXTS} SELECT * FROM texts",
     "scan_csv_inferred": f"WITH {REVIEWS} SELECT id, user_id::BIGINT AS user_id, rating, votes, purchased FROM reviews",
     "scan_pruned": f"WITH {REVIEWS} SELECT id, rating, purchased, votes FROM reviews",
-    "stats_parquet": f"WITH {REVIEWS} "
+    "read_stats_parquet": f"WITH {REVIEWS} SELECT prod_id, avg(rating) AS prod_avg, count(*) AS prod_cnt FROM reviews GROUP BY 1",
+    "write_stats_parquet": f"WITH {REVIEWS} "
     + " UNION ALL ".join(
         f"SELECT '{k}' AS key_name, {k} AS key, sum(rating)::BIGINT AS rating_sum, count(rating) AS rating_count, "
         f"avg(rating) AS rating_mean FROM reviews GROUP BY {k}"
@@ -395,6 +396,8 @@ SELECT id, round(greatest(1.0::DOUBLE, least(5.0::DOUBLE, b + wp * p + wv * v)),
 swept AS (SELECT weight, greatest(1.0::DOUBLE, least(5.0::DOUBLE, weight * rating_a + (1.0 - weight) * rating_b)) AS r
   FROM pairs CROSS JOIN weights)
 SELECT weight, round(min(r), 6) AS min, round(max(r), 6) AS max, round(avg(r), 6) AS mean FROM swept GROUP BY 1""",
+    "weighted_blend": f"""WITH {PAIRS} SELECT id, round(greatest(1.0::DOUBLE, least(5.0::DOUBLE,
+  0.5::DOUBLE * rating_a + 0.5::DOUBLE * rating_b)), 9) AS rating FROM pairs""",
     "blend_final": f"WITH {PAIRS} SELECT id, round(rating, 9) AS rating FROM blended",
     "ablation_table": ABLATION,
 }

@@ -70,7 +70,8 @@ def scan_pruned(spark, folder):
     return files.convert_reviews(spark, csv, parquet, rows.schema).select("id", "rating", "purchased", "votes")
 
 
-def stats_parquet(spark, folder):
+def write_stats_parquet(spark, folder):
+    """The written statistics of all keys, read back."""
     out = scratch_path(spark, "stats")
     feature_job.build_lookup_tables(source.reviews(spark, folder), out)
     read, _ = feature_job.load_lookup_tables(spark, out)
@@ -82,6 +83,14 @@ def stats_parquet(spark, folder):
     return result
 
 
+def read_stats_parquet(spark, folder):
+    """Product statistics loaded as a lookup table."""
+    out = scratch_path(spark, "stats")
+    feature_job.build_lookup_tables(source.reviews(spark, folder), out)
+    loaded, _ = feature_job.load_lookup_tables(spark, out)
+    return feature_job.lookups(loaded)["prod_id"]
+
+
 def global_avg_artifact(spark, folder):
     out = scratch_path(spark, "prior")
     tables.write_prior(stats.global_mean(source.reviews(spark, folder)), out)
@@ -495,6 +504,7 @@ def _coefficients(spark, coefficients, intercept) -> DataFrame:
 
 
 def gram_matrix(spark, folder):
+    ship_package(spark)
     return _elements(ridge.gram(_embedded_rows(spark, folder)), "values", 4, "split", "i")
 
 
@@ -558,6 +568,11 @@ def blend_weight_sweep(spark, folder):
     return _rounded(blend.blend_weight_sweep(_pairs(spark, folder)), 6, "min", "max", "mean")
 
 
+def weighted_blend(spark, folder):
+    """An even blend of the two prediction sets."""
+    return _rounded(blend.blend_predictions(_pairs(spark, folder), 0.5), 9, "rating")
+
+
 def blend_final(spark, folder):
     return _rounded(_blended(spark, folder), 9, "rating")
 
@@ -577,7 +592,8 @@ QUERIES: dict[str, Query] = {
     "scan_csv_texts": scan_csv_texts,
     "scan_csv_inferred": scan_csv_inferred,
     "scan_pruned": scan_pruned,
-    "stats_parquet": stats_parquet,
+    "write_stats_parquet": write_stats_parquet,
+    "read_stats_parquet": read_stats_parquet,
     "global_avg_artifact": global_avg_artifact,
     "embedding_store": embedding_store,
     "write_submission": write_submission,
@@ -642,6 +658,7 @@ QUERIES: dict[str, Query] = {
     "gbt_stats_baseline": gbt_stats_baseline,
     "loo_baseline_rmse": loo_baseline_rmse,
     "blend_weight_sweep": blend_weight_sweep,
+    "weighted_blend": weighted_blend,
     "blend_final": blend_final,
     "ablation_table": ablation_table,
 }
