@@ -26,14 +26,12 @@ HEADLINE = [
     "loo_all_keys_window",
     "lookup_join_stats",
     "feature_job",
-    "ridge_alpha_grid",
     "ridge_alpha_grid_embeddings",
     "masked_mean_pool",
     "vocabulary",
     "encode_batches",
     "blend_weight_sweep",
     "holdout_split",
-    "entity_summary",
 ]
 
 # Published rows and seconds of the feature job on its cluster.
@@ -56,7 +54,7 @@ def timed(work) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session(
         "ratewell-bench",
         f"local[{cpus}]",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ratewell.functions.hashing import split_bucket, split_hash
 from ratewell.schemas import SPLIT_SEED
 
-PREFIX_DIGITS = (4, 8)
+PREFIX_DIGITS = (3, 7)
 PAST_ALL_HASHES = "g"
 
 
@@ -25,9 +25,9 @@ def nth_hash(rows: DataFrame, n: int, seed: int = SPLIT_SEED, row_id: str = "id"
     """The n-th smallest row hash as a scalar subquery; a bound above all hashes if there are fewer.
 
     A global sort or limit would pass its rows through one task. Instead, a histogram over the
-    first hex digits (65,536 entries at most) finds the bucket that holds the n-th hash, a second
-    one over the next digits divides that bucket again, and only the hashes that share all eight
-    digits, one in four billion, are ranked.
+    first three hex digits (4,096 entries, few enough to combine well in every task) finds the
+    bucket that holds the n-th hash. A second one over the next four (65,536 entries) divides that
+    bucket, and only the hashes that share all seven digits, one in 268 million, are ranked.
     """
     if n <= 0:
         return F.lit("")

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_SHIPPED: set[str] = set()
-
 
 def build_session(app_name: str = "ratewell", master: str | None = None, **conf) -> SparkSession:
     """Session with a fixed time zone; everything else follows the cluster's own settings."""
@@ -54,13 +50,3 @@ def pinned(frame: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield frame
     finally:
         frame.unpersist()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where it was not passed by ``--py-files``."""
-    application = spark.sparkContext.applicationId
-    if application not in _SHIPPED:
-        root = Path(__file__).resolve().parent
-        base = Path(tempfile.mkdtemp(prefix="ratewell-")) / f"ratewell-{uuid.uuid4().hex}"
-        spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", root.parent, root.name))
-        _SHIPPED.add(application)

@@ -6,7 +6,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from ratewell.session import build_session, ship_package  # noqa: E402
+from ratewell.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,6 +19,5 @@ def spark():
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
-    ship_package(session)
     yield session
     session.stop()
