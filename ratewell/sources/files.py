@@ -41,6 +41,18 @@ def read_reviews_csv(
     return rows.select(*columns) if columns else rows
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a scan with fewer tasks than the session has cores, spread over all cores by a hash
+    of ``keys``. A scan with enough tasks, as any large one has, is returned as it is. For scans
+    only: counting the tasks of a plan with shuffles would run them.
+
+    Few files that cannot be split, such as CSV with quoted line breaks, would otherwise keep all
+    later stages up to the next shuffle on as few tasks.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def write_reviews_csv(rows: DataFrame, path: str) -> None:
     """CSV that ``read_reviews_csv`` restores exactly, with spaces at the ends of texts."""
     rows.write.mode("overwrite").options(
@@ -52,7 +64,8 @@ def convert_reviews(
     spark: SparkSession, csv_path: str, parquet_path: str, schema: T.StructType = TRAIN_SCHEMA
 ) -> DataFrame:
     """Convert CSV reviews to Parquet once; every later scan is columnar and splittable."""
-    read_reviews_csv(spark, csv_path, schema).write.mode("overwrite").parquet(parquet_path)
+    rows = spread(read_reviews_csv(spark, csv_path, schema), "id")
+    rows.write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 
 

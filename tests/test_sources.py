@@ -45,6 +45,14 @@ def test_csv_written_by_hand(spark, tmp_path):
     assert rows[8]["votes"] is None and rows[8]["purchased"] is None and rows[8]["rating"] is None
 
 
+def test_only_scans_with_few_tasks_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, cores)
+    spread = files.spread(few, "id")
+    assert spread.rdd.getNumPartitions() == cores and spread.count() == 100
+    assert files.spread(many, "id") is many
+
+
 def test_corrupt_rows_are_kept_on_request(spark, tmp_path):
     file = tmp_path / "reviews.csv"
     file.write_text(",".join(TRAIN_SCHEMA.names) + "\nnot a number,u,p,g,t,c,1,2,true,4\n")
