@@ -128,7 +128,7 @@ def components(edges: DataFrame) -> DataFrame:
         if found is None:
             found = moves
         else:
-            onward = moves.withColumnsRenamed({"node": "root", "root": "next"})
+            onward = moves.select(F.col("node").alias("root"), F.col("root").alias("next"))
             found = found.join(onward, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
             found = saved(found, "roots")
         for side in ("a", "b"):

@@ -167,6 +167,6 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
                     key = key * 256 + prints[:, band * rows + row]
                 yield pd.DataFrame({"bucket": key, "node": batch["node"]})
 
-    buckets = nodes.select("node", "sketch").mapInPandas(run, "bucket bigint, node string")
+    buckets = nodes.select("node", "sketch").mapInPandas(run, "bucket bigint, node bigint")
     edges = groups.bucket_edges(saved(buckets, "bands"), nodes)
     return groups.linked(docs, nodes, members, edges, similarity)

@@ -17,11 +17,11 @@ WITH grams(template, label, exact, grams, place, gram) AS (VALUES {_GRAMS}),
 rows AS (SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
-places AS (SELECT row, words, unnest(range(0, len(words) - 1)) AS at FROM rows WHERE len(words) > 1),
-hits AS (SELECT row, template, label, exact, grams, at, at - place AS diagonal
-  FROM places JOIN grams ON gram = words[at + 1] || ' ' || words[at + 2]),
-diagonals AS (SELECT row, template, label, exact, grams, diagonal, count(DISTINCT at) AS votes,
-    min(at) AS low, max(at) AS high FROM hits GROUP BY ALL),
+places AS (SELECT row, words, unnest(range(0, len(words) - 1)) AS pos FROM rows WHERE len(words) > 1),
+hits AS (SELECT row, template, label, exact, grams, pos, pos - place AS diagonal
+  FROM places JOIN grams ON gram = words[pos + 1] || ' ' || words[pos + 2]),
+diagonals AS (SELECT row, template, label, exact, grams, diagonal, count(DISTINCT pos) AS votes,
+    min(pos) AS low, max(pos) AS high FROM hits GROUP BY ALL),
 gaps AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY row, template ORDER BY diagonal) AS gap FROM diagonals),
 numbered AS (SELECT *, sum(CASE WHEN exact OR gap IS NULL OR gap > {licenses.NEIGHBOURS} THEN 1 ELSE 0 END)
     OVER (PARTITION BY row, template ORDER BY diagonal) AS passage FROM gaps),
