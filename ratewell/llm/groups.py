@@ -89,7 +89,7 @@ def small_bucket_edges(buckets: DataFrame) -> DataFrame:
             yield pd.DataFrame(sorted(set(edges(rows))), columns=["a", "b"])
 
     dealt = buckets.select("bucket", "node", "sketch").repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInPandas(run, "a bigint, b bigint").distinct()
+    return dealt.mapInPandas(run, "a bigint, b bigint")
 
 
 def counted_buckets(buckets: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from ratewell.llm.common import saved
 
 #: Tokens of the fixed-size form of a set: position and value of so many MinHash values.
 TOKENS = 64
-#: Levels of splitting at most; what is left together then becomes one candidate group.
-LEVELS = 8
+#: Buckets are counted after the first level of splitting and then after every fifth; what is still
+#: together in a large bucket at the last count becomes one candidate group.
+COUNTS, STRIDE = 3, 5
 #: A node this close to a large bucket's pivot has all its links among the nodes that are ``NEAR`` it, as
 #: distances add up: 1 - 0.75 + 1 - 0.8 leaves a similarity of 0.55 to the pivot.
 CLOSE, NEAR = 0.75, 0.3
@@ -46,8 +48,8 @@ def child_paths(paths, sketches, similarity: float):
 
 
 def split(rows: DataFrame, similarity: float, runs: int = 0) -> DataFrame:
-    """``(bucket, node)`` one level further down. ``rows`` has ``node, sketch`` and ``bucket``, the path so
-    far, or with ``runs`` starts that many runs from the root."""
+    """``(bucket, node)`` further down: one level below the root for each of ``runs``, or else ``STRIDE``
+    levels below ``bucket``. ``rows`` has ``node, sketch`` and, without runs, ``bucket``, the path so far."""
 
     def run(batches):
         import numpy as np
@@ -59,8 +61,11 @@ def split(rows: DataFrame, similarity: float, runs: int = 0) -> DataFrame:
             sketches = np.stack([np.frombuffer(raw, np.uint32) for raw in batch["sketch"]])
             nodes = batch["node"].to_numpy()
             starts = [np.full(len(batch), 7919 * (r + 1), np.uint64) for r in range(runs)]
-            for paths in starts or [batch["bucket"].to_numpy(np.int64).view(np.uint64)]:
-                row, path = child_paths(paths, sketches, similarity)
+            for path in starts or [batch["bucket"].to_numpy(np.int64).view(np.uint64)]:
+                row = np.arange(len(batch))
+                for _ in range(1 if runs else STRIDE):
+                    parent, path = child_paths(path, sketches[row], similarity)
+                    row = row[parent]
                 yield pd.DataFrame({"bucket": path.view(np.int64), "node": nodes[row]})
 
     columns = ["node", "sketch"] if runs else ["bucket", "node", "sketch"]
@@ -89,25 +94,25 @@ def with_agreement(rows: DataFrame) -> DataFrame:
 
 def candidate_edges(nodes: DataFrame, similarity: float, recall: float) -> DataFrame:
     """Edges between nodes such that two similar nodes are connected with a chance of ``recall`` at least."""
-    sketches = nodes.select("node", "sketch")
-    level = split(sketches, similarity, runs_for(recall))
-    edges = []
-    for depth in range(1, LEVELS + 1):
+    sketches = active = nodes.select("node", "sketch")
+    level, edges, small = split(sketches, similarity, runs_for(recall)), [], []
+    for last in [False] * (COUNTS - 1) + [True]:
         rows = saved(groups.counted_buckets(saved(level, "paths")), "buckets")
-        small = rows.where(F.col("size") <= groups.SMALL).join(sketches, "node")
-        edges.append(saved(groups.small_bucket_edges(small), "edges"))
+        small.append(rows.where(F.col("size") <= groups.SMALL).select("bucket", "node"))
         large = rows.where(F.col("size") > groups.SMALL)
         if large.isEmpty():
             break
-        pivots = sketches.withColumnsRenamed({"node": "pivot", "sketch": "pivot_sketch"})
-        large = saved(with_agreement(large.join(sketches, "node").join(pivots, "pivot")), "large")
-        near = F.col("agreement") >= (NEAR if depth < LEVELS else 0)
-        edges.append(large.where(near).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
-        level = split(large.where(F.col("agreement") < CLOSE), similarity)
-    out = edges[0]
-    for more in edges[1:]:
-        out = out.unionByName(more)
-    return out
+        large = saved(large.select("bucket", "node", "pivot").join(active, "node"), "large")
+        pivots = large.where(F.col("node") == F.col("pivot")).select("bucket", F.col("sketch").alias("pivot_sketch"))
+        large = saved(with_agreement(large.join(pivots, "bucket")), "agreement")
+        near = F.col("agreement") >= (0 if last else NEAR)
+        edges.append(large.where(near).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        apart = large.where(F.col("agreement") < CLOSE)
+        active = saved(apart.select("node", "sketch").dropDuplicates(["node"]), "apart")
+        level = split(apart, similarity)
+    # Small buckets of all counts together: sketches move once for all of them.
+    out = reduce(DataFrame.unionByName, small).join(sketches, "node")
+    return reduce(DataFrame.unionByName, edges, groups.small_bucket_edges(out))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
