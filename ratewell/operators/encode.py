@@ -21,8 +21,9 @@ from ratewell.operators.joins import (
     total_rows,
     total_weight,
 )
-from ratewell.operators.stats import key_totals, prior_of
+from ratewell.operators.stats import key_totals, prior_of, written_counts, written_totals
 from ratewell.schemas import KEY_PREFIXES
+from ratewell.session import scratch_path
 
 
 def _totals(
@@ -113,10 +114,15 @@ def loo_all_keys(
 ) -> DataFrame:
     """Leave-one-out columns of every key on each row, by either encoder; ``totals`` maps a key to
     its ``key_totals`` where those are written already."""
+    if totals is None:
+        # Totals of all keys, the prior and the number of rows by one scan, written for all readers.
+        folder = scratch_path(rows.sparkSession, "totals")
+        totals, mean = written_totals(rows, folder, tuple(keys), target)
+        prior = mean if prior is None else prior
     prior = prior_of(rows, target) if prior is None else prior
     encoded = rows
     for key, prefix in keys.items():
-        encoded = encoder(encoded, key, target, prior, prefix, rows, totals and totals[key])
+        encoded = encoder(encoded, key, target, prior, prefix, rows, totals[key])
     return encoded
 
 
@@ -129,11 +135,12 @@ def apply_stats(
     source: DataFrame | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Attach ``(key, {prefix}_avg, {prefix}_cnt)``: unseen and null keys get the prior and 0.
-    ``source`` is the same rows before earlier lookups."""
+    ``source`` is the same rows before earlier lookups, ``counts`` their written rows per key."""
     avg, cnt = F.col(f"{prefix}_avg"), F.coalesce(F.col(f"{prefix}_cnt"), F.lit(0).cast("bigint"))
-    joined = lookup_join(rows, stats, key, source=source, share=share, min_rows=min_rows)
+    joined = lookup_join(rows, stats, key, source=source, share=share, min_rows=min_rows, counts=counts)
     return joined.select(
         *rows.columns,
         fill_prior(avg, prior).alias(f"{prefix}_avg"),
@@ -145,10 +152,12 @@ def apply_stats(
 def apply_all_stats(
     rows: DataFrame, stats: dict[str, DataFrame], prior: Column, keys: dict[str, str] = KEY_PREFIXES
 ) -> DataFrame:
-    """``apply_stats`` for every key; ``stats`` maps a key to its lookup table."""
+    """``apply_stats`` for every key; ``stats`` maps a key to its lookup table. One scan counts the
+    keys of ``rows``, and the written counts tell each lookup which of its keys are hot."""
+    counts = written_counts(rows, scratch_path(rows.sparkSession, "counts"), tuple(keys))
     applied = rows
     for key, prefix in keys.items():
-        applied = apply_stats(applied, stats[key], key, prefix, prior, source=rows)
+        applied = apply_stats(applied, stats[key], key, prefix, prior, counts=counts[key])
     return applied
 
 

@@ -9,14 +9,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, HashingTF, Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratewell.functions.hashing import hex_prefix
 from ratewell.functions.text import word_tokens
-from ratewell.operators.text import token_counts
 
 Encoder = Callable[[list[str]], np.ndarray]
 _SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
@@ -71,63 +69,31 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
     return load
 
 
+def _slots(rows: DataFrame, dim: int, row_id: str, text: str) -> DataFrame:
+    """``(id, slot, tf)``: how often a text's words fall into each hash slot."""
+    words = rows.select(row_id, F.explode(word_tokens(text)).alias("_word"))
+    slot = (hex_prefix(F.md5("_word"), 8) % dim).cast("int")
+    return words.groupBy(row_id, slot.alias("slot")).agg(F.count(F.lit(1)).alias("tf"))
+
+
 def tfidf_embeddings(
     rows: DataFrame, dim: int = 256, row_id: str = "id", text: str = "text", fit_on: DataFrame | None = None
 ) -> DataFrame:
-    """``(id, embedding)`` by hashed term frequencies, weighted by inverse document frequency.
-
-    The fitted model is one vector of ``dim`` weights; fit it on training rows.
-    """
-
-    def frequencies(frame: DataFrame) -> DataFrame:
-        tokens = frame.select(row_id, word_tokens(text).alias("_tokens"))
-        return HashingTF(numFeatures=dim, inputCol="_tokens", outputCol="_tf").transform(tokens)
-
-    model = IDF(inputCol="_tf", outputCol="_tfidf").fit(frequencies(rows if fit_on is None else fit_on))
-    weighted = model.transform(frequencies(rows))
-    return weighted.select(row_id, vector_to_array("_tfidf", "float32").alias("embedding"))
-
-
-def min_count_for(counts: DataFrame, max_tokens: int) -> DataFrame:
-    """One row: the smallest ``min_count`` that leaves at most ``max_tokens`` tokens.
+    """``(id, embedding)`` by hashed term frequencies, weighted by ``ln((n + 1) / (df + 1))``.
 
-    The running total reads one row per distinct count. Null if even the most frequent count has
-    more tokens than that.
+    All in built-in functions. The fitted model is one weight per slot, ``dim`` rows; fit it on
+    training rows. A text without words has a zero vector.
     """
-    sizes = counts.groupBy("token_count").agg(F.count(F.lit(1)).alias("_size"))
-    kept = F.sum("_size").over(Window.orderBy(F.desc("token_count")))
-    fitting = sizes.withColumn("_kept", kept).filter(F.col("_kept") <= max_tokens)
-    return fitting.agg(F.min("token_count").alias("min_count"))
-
-
-def word2vec_fit(
-    rows: DataFrame,
-    dim: int = 64,
-    max_tokens: int = 50_000,
-    text: str = "text",
-    seed: int = 42,
-    partitions: int = 1,
-) -> Word2VecModel:
-    """Word vectors whose vocabulary, which the driver holds, is bounded by ``max_tokens``: rarer
-    words are left out by raising the minimum count to where the bound holds."""
-    min_count = min_count_for(token_counts(rows, text), max_tokens).first()["min_count"]
-    if min_count is None:
-        raise ValueError(f"more than {max_tokens} tokens share the highest count")
-    trainer = Word2Vec(
-        vectorSize=dim,
-        minCount=min_count,
-        numPartitions=partitions,
-        seed=seed,
-        inputCol="_tokens",
-        outputCol="_vector",
+    source = rows if fit_on is None else fit_on
+    total = source.agg(F.count(F.lit(1))).scalar()
+    weights = _slots(source, dim, row_id, text).groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
+    weights = weights.select("slot", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
+    # At most one row per slot.
+    found = _slots(rows, dim, row_id, text).join(F.broadcast(weights), "slot")
+    entry = F.struct("slot", (F.col("tf") * F.col("idf")).alias("value"))
+    lists = found.groupBy(row_id).agg(F.map_from_entries(F.collect_list(entry)).alias("_values"))
+    filled = rows.select(row_id).join(lists, row_id, "left")
+    values = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at("_values", i), F.lit(0.0)).cast("float")
     )
-    return trainer.fit(rows.select(word_tokens(text).alias("_tokens")))
-
-
-def word2vec_embeddings(
-    rows: DataFrame, model: Word2VecModel, row_id: str = "id", text: str = "text"
-) -> DataFrame:
-    """``(id, embedding)``: the mean of a text's word vectors."""
-    tokens = rows.select(row_id, word_tokens(text).alias("_tokens"))
-    vectors = model.transform(tokens)
-    return vectors.select(row_id, vector_to_array("_vector", "float32").alias("embedding"))
+    return filled.select(row_id, values.alias("embedding"))

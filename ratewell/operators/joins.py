@@ -48,6 +48,7 @@ def hot_and_cold(
     total: Column | None,
     share: float,
     min_rows: int,
+    counts: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(_hot_key, _hot)``, at most ``1 / share`` hot keys of ``rows`` with their row of ``table``,
     and ``(_cold_key, _cold)``, the other rows of ``table``.
@@ -61,7 +62,7 @@ def hot_and_cold(
         limit = hot_limit(total_rows(rows) if total is None else total, share, min_rows)
         hot = _packed(table.filter(F.col(weight) >= limit), key, "_hot_key", "_hot")
         return hot, _packed(table.filter(F.col(weight) < limit), key, "_cold_key", "_cold")
-    counts = rows_per_key(rows.filter(F.col(key).isNotNull()), key)
+    counts = rows_per_key(rows.filter(F.col(key).isNotNull()), key) if counts is None else counts
     limit = hot_limit(total_weight(counts, "key_rows"), share, min_rows)
     hot_keys = counts.filter(F.col("key_rows") >= limit).select(key)
     known = _packed(table.join(F.broadcast(hot_keys), key, "left_semi"), key, "_known_key", "_hot")
@@ -95,14 +96,16 @@ def lookup_join(
     share: float = HOT_SHARE,
     min_rows: int = HOT_MIN_ROWS,
     row_id: str = "id",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """All ``rows``, with the other columns of ``table`` (unique on ``key``); null where unknown.
 
     A null key matches nothing. ``source`` is the same rows before earlier lookups: hot keys are
-    found there without repeating those joins.
+    found there without repeating those joins. ``counts`` are its rows per key where those are
+    written already.
     """
     source = rows if source is None else source
-    hot, cold = hot_and_cold(source, table, key, weight, total, share, min_rows)
+    hot, cold = hot_and_cold(source, table, key, weight, total, share, min_rows, counts)
     probe = spread_hot_rows(rows, hot, key, row_id)
     joined = probe.join(cold, F.col("_probe_key") == F.col("_cold_key"), "left")
     found = [

@@ -24,8 +24,6 @@ from ratewell.operators.evaluate import best_by_rmse, rmse_of
 from ratewell.schemas import RIDGE_ALPHAS
 
 MAX_FEATURES = 4096
-# Each partial matrix is d x d; fewer, larger tasks bound how many of them shuffle.
-MAX_PARTIALS = 16_384
 
 
 def _matrix(values: pa.Array, rows: int) -> np.ndarray:
@@ -39,8 +37,12 @@ def _matrix(values: pa.Array, rows: int) -> np.ndarray:
 def gram(rows: DataFrame, features: str = "features", target: str = "rating", split: str = "split") -> DataFrame:
     """``(split, i, values)``: row ``i`` of ``ZᵀZ`` with ``Z = [1, features, target]``, per split.
 
-    Rows without a target are left out.
+    Rows without a target are left out. The widest row is found before the pass that adds up the
+    matrices, so that a width whose matrix would not fit is refused without running it.
     """
+    widest = rows.agg(F.max(F.size(features))).first()[0] or 0
+    if widest > MAX_FEATURES:
+        raise ValueError(f"at most {MAX_FEATURES} features")
 
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -68,7 +70,7 @@ def gram(rows: DataFrame, features: str = "features", target: str = "rating", sp
     narrow = rows.filter(F.col(target).isNotNull()).select(
         F.col(split).cast("string"), F.col(features).cast("array<double>"), F.col(target).cast("double")
     )
-    parts = narrow.coalesce(MAX_PARTIALS).mapInArrow(partials, "split string, i int, values array<double>")
+    parts = narrow.mapInArrow(partials, "split string, i int, values array<double>")
     total = Summarizer.sum(array_to_vector(F.col("values")))
     return parts.groupBy("split", "i").agg(vector_to_array(total).alias("values"))
 

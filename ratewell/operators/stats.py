@@ -5,7 +5,7 @@ All group by key with partial aggregation, so a hot key shuffles one row per map
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.functions.numeric import conditional_prior, log_count
@@ -57,6 +57,35 @@ def all_key_totals(rows: DataFrame, keys: tuple[str, ...], target: str = "rating
     return grouped.select(name.alias("key_name"), value.alias("key"), *totals)
 
 
+def written_totals(
+    rows: DataFrame, folder: str, keys: tuple[str, ...], target: str = "rating"
+) -> tuple[dict[str, DataFrame], Column]:
+    """``all_key_totals`` written to ``folder``, a part per key: the table of each key, and the global mean."""
+    all_key_totals(rows, keys, target).write.mode("overwrite").partitionBy("key_name").parquet(folder)
+    return read_totals(rows.sparkSession, folder, keys)
+
+
+def written_counts(rows: DataFrame, folder: str, keys: tuple[str, ...]) -> dict[str, DataFrame]:
+    """``(key, key_rows)`` per key, null keys left out: one scan for all keys, written to ``folder``."""
+    keyed = rows.withColumn("_one", F.lit(1))
+    totals = all_key_totals(keyed, keys, "_one").where(F.col("key").isNotNull())
+    counts = totals.select("key_name", "key", F.col("row_count").alias("key_rows"))
+    counts.write.mode("overwrite").parquet(folder)
+    read = rows.sparkSession.read.schema(counts.schema).parquet(folder)
+    return {
+        key: read.where(F.col("key_name") == key).select(F.col("key").cast(rows.schema[key].dataType).alias(key), "key_rows")
+        for key in keys
+    }
+
+
+def read_totals(spark: SparkSession, folder: str, keys: tuple[str, ...]) -> tuple[dict[str, DataFrame], Column]:
+    def part(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/key_name={name}")
+
+    tables = {key: part(key).withColumnRenamed("key", key) for key in keys}
+    return tables, part(ALL_ROWS).select("rating_mean").scalar()
+
+
 def group_stats(rows: DataFrame, key: str, target: str = "rating") -> DataFrame:
     """Sum, count of non-null targets and mean per key."""
     return key_totals(rows, key, target).drop("row_count")

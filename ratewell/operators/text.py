@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +18,6 @@ from ratewell.schemas import MAX_TOKENS
 
 PAD_ID, UNKNOWN_ID, FIRST_TOKEN_ID = 0, 1, 2
 BUCKET_DIGITS = 4
-BROADCAST_BYTES = 64 << 20
 
 
 def text_length_profile(rows: DataFrame, text: str = "text") -> DataFrame:
@@ -110,19 +106,14 @@ def encode_token_ids(
     row_id: str = "id",
     text: str = "text",
     max_len: int = MAX_TOKENS,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(id, input_ids, attention_mask)`` of fixed length; tokens outside the vocabulary get 1.
 
-    ``vocab`` is a written ``vocabulary``. Its size is checked: up to ``broadcast_bytes`` it goes
-    to every task and texts stay where they are; a larger one is joined.
+    ``vocab`` is a written ``vocabulary`` of any size: it is joined, and Spark's own size check
+    decides how.
     """
     tokens = truncate_tokens(word_tokens(text), max_len)
-    size = vocab.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0)).alias("bytes"))
-    if size.first()["bytes"] <= broadcast_bytes:
-        ids = rows.select(row_id, _ids_by_broadcast(vocab)(tokens).alias("_ids"))
-    else:
-        ids = ids_by_join(rows.select(row_id, tokens.alias("_tokens")), vocab, row_id)
+    ids = ids_by_join(rows.select(row_id, tokens.alias("_tokens")), vocab, row_id)
     return ids.select(
         row_id,
         pad_tokens("_ids", max_len, PAD_ID).alias("input_ids"),
@@ -130,22 +121,6 @@ def encode_token_ids(
     )
 
 
-def _ids_by_broadcast(vocab: DataFrame):
-    known = vocab.select("token", "token_id").toPandas()
-    spark = vocab.sparkSession
-    shared = spark.sparkContext.broadcast((known["token"].tolist(), known["token_id"].tolist()))
-
-    @F.arrow_udf("array<bigint>")
-    def look_up(tokens: pa.Array) -> pa.Array:
-        words, ids = (pa.array(part) for part in shared.value)
-        found = pc.take(ids, pc.index_in(tokens.flatten(), words))
-        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy()
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, pc.fill_null(found, UNKNOWN_ID).cast(pa.int64()))
-
-    return look_up
-
-
 def ids_by_join(
     rows: DataFrame,
     vocab: DataFrame,

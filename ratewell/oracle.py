@@ -209,16 +209,19 @@ VOCABULARY = """vocab AS (SELECT token, token_count, row_number() OVER (ORDER BY
   FROM (SELECT token, count(*) AS token_count FROM (SELECT unnest(words) AS token FROM words) GROUP BY 1)
   WHERE token_count >= {})"""
 
-SCALED = ", ".join(
-    f"round(({c} - (SELECT avg({c}) FROM features WHERE split = 'train')) / "
-    f"((SELECT stddev_pop({c}) FROM features WHERE split = 'train') + 1e-8), 6) + 0.0 AS {c}"
-    for c in NUMERIC
-)
 UNBOUNDED = ["user_log_cnt", "prod_log_cnt", "parent_log_cnt", "purchased", "votes"]
-SCALED_UNBOUNDED = ", ".join(
-    f"round(({c} - (SELECT avg({c}) FROM features)) / (SELECT stddev_pop({c}) FROM features), 6) + 0.0 AS {c}"
-    for c in UNBOUNDED
-)
+
+
+def _moments(columns: list[str], rows: str) -> str:
+    """CTE ``moments``: one row, the mean and deviation of each column, computed once."""
+    parts = ", ".join(f"avg({c}) AS {c}_mean, stddev_pop({c}) AS {c}_std" for c in columns)
+    return f"moments AS MATERIALIZED (SELECT {parts} FROM {rows})"
+
+
+def _scaled(columns: list[str], epsilon: str = "") -> str:
+    return ", ".join(f"round(({c} - {c}_mean) / ({c}_std{epsilon}), 6) + 0.0 AS {c}" for c in columns)
+
+
 STATS_FIRST = [*STATS, "purchased", "votes"]
 SUBSETS = {
     "embedding": ([], 32),
@@ -292,10 +295,11 @@ ORACLE: dict[str, str] = {
   ELSE greatest(1.0::DOUBLE, least(5.0::DOUBLE, rating + 0.5::DOUBLE * votes)) END AS rating FROM reviews""",
     "conditional_prior": f"""WITH {REVIEWS} SELECT prod_id, CASE WHEN count(rating) > 1 THEN avg(rating)
   ELSE (SELECT avg(rating) FROM reviews) END AS prod_avg FROM reviews GROUP BY prod_id""",
-    "standardize": f"WITH {SPLIT_FEATURES} SELECT id, split, {SCALED} FROM features",
+    "standardize": f"""WITH {SPLIT_FEATURES}, {_moments(NUMERIC, "features WHERE split = 'train'")}
+SELECT id, split, {_scaled(NUMERIC, ' + 1e-8')} FROM features CROSS JOIN moments""",
     "standardize_unbounded": f"""WITH {REVIEWS}, {_loo('reviews')},
-features AS ({_numeric('encoded', 'loo_avg', VOTES_LOG)})
-SELECT id, {_round(['user_avg', 'prod_avg', 'parent_avg'], 6)}, {SCALED_UNBOUNDED} FROM features""",
+features AS ({_numeric('encoded', 'loo_avg', VOTES_LOG)}), {_moments(UNBOUNDED, 'features')}
+SELECT id, {_round(['user_avg', 'prod_avg', 'parent_avg'], 6)}, {_scaled(UNBOUNDED)} FROM features CROSS JOIN moments""",
     "assemble_features": f"""WITH {REVIEWS}, {_loo('reviews')},
 features AS ({_numeric('encoded', 'loo_avg', VOTES_LOG)})
 SELECT id, {', '.join(f'round({c}, 9) + 0.0 AS f{i}' for i, c in enumerate(STATS_FIRST))} FROM features""",
@@ -374,6 +378,13 @@ SELECT words.id, 192::BIGINT AS width, count(pos) AS mask_sum, coalesce(sum(pos
 FROM words LEFT JOIN ids ON words.id = ids.id GROUP BY 1""",
     "encode_batches": f"""WITH {WORDS}, {_hashed('words')}
 SELECT id, pos::INTEGER AS pos, round(value, 6) + 0.0 AS value FROM hashed""",
+    "encode_tfidf": f"""WITH {WORDS},
+counts AS (SELECT id, {HASH.format('word')} % 256 AS pos, count(*) AS tf
+  FROM (SELECT id, unnest(words) AS word FROM words) GROUP BY 1, 2),
+weights AS (SELECT pos, ln(((SELECT count(*) FROM words) + 1)::DOUBLE / (count(*) + 1)) AS idf FROM counts GROUP BY 1),
+grid AS (SELECT id, unnest(range(256)) AS pos FROM words)
+SELECT grid.id, grid.pos::INTEGER AS pos, round((coalesce(tf * idf, 0.0))::FLOAT::DOUBLE, 5) + 0.0 AS value
+FROM grid LEFT JOIN counts ON grid.id = counts.id AND grid.pos = counts.pos LEFT JOIN weights ON grid.pos = weights.pos""",
     "gram_matrix": f"""WITH z AS (SELECT CASE WHEN {HASH.format("'42:' || vec_id::VARCHAR")} % 100 < 80 THEN 'train' ELSE 'val' END AS split,
   vec_id, list_concat(list_concat([1.0::DOUBLE], embedding::DOUBLE[]), [label::DOUBLE]) AS z FROM embeddings),
 flat AS (SELECT split, vec_id, unnest(range(len(z))) AS i, unnest(z) AS x FROM z)

@@ -9,28 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ratewell.operators.encode import apply_all_stats, distinct_lookup, loo_all_keys
-from ratewell.operators.stats import ALL_ROWS, all_key_totals, lookup_of
+from ratewell.operators.stats import lookup_of, read_totals, written_totals
 from ratewell.schemas import KEY_PREFIXES
-from ratewell.sources.tables import read_table, write_table
+from ratewell.sources.tables import write_table
 
 
 STATS_TABLE = "stats.parquet"
+TEXT_COLUMNS = ("title", "comment")
 
 
 def build_lookup_tables(train: DataFrame, folder: str) -> tuple[dict[str, DataFrame], Column]:
     """Write the totals (sum, count, mean, rows) of every key and of all rows, one folder per key,
     by a single pass over the training rows; return them and the prior."""
-    totals = all_key_totals(train, tuple(KEY_PREFIXES))
-    totals.write.mode("overwrite").partitionBy("key_name").parquet(f"{folder}/{STATS_TABLE}")
-    return load_lookup_tables(train.sparkSession, folder)
+    return written_totals(train, f"{folder}/{STATS_TABLE}", tuple(KEY_PREFIXES))
 
 
 def load_lookup_tables(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], Column]:
-    def part(name: str) -> DataFrame:
-        return read_table(spark, f"{folder}/{STATS_TABLE}", f"key_name={name}")
-
-    tables = {key: part(key).withColumnRenamed("key", key) for key in KEY_PREFIXES}
-    return tables, part(ALL_ROWS).select("rating_mean").scalar()
+    return read_totals(spark, f"{folder}/{STATS_TABLE}", tuple(KEY_PREFIXES))
 
 
 def lookups(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -39,7 +34,12 @@ def lookups(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def run_feature_job(train: DataFrame, test: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """Lookup tables, encoded train and test rows and the test lookups, all written to ``folder``."""
+    """Lookup tables, encoded train and test rows and the test lookups, all written to ``folder``.
+
+    Only ids, keys and numbers take part: no text crosses a shuffle. Whoever needs the texts joins
+    them to the written features by id.
+    """
+    train, test = (rows.select(*[c for c in rows.columns if c not in TEXT_COLUMNS]) for rows in (train, test))
     totals, prior = build_lookup_tables(train, folder)
     encoded = {
         "train": loo_all_keys(train, prior=prior, totals=totals),

@@ -348,8 +348,8 @@ def lookup_join_stats(spark, folder):
     """Val rows encoded by the statistics of training rows; many products are unseen."""
     rows = split.fraction_split(_narrow(spark, folder))
     train, val = (rows.filter(F.col("split") == n).drop("split") for n in ("train", "val"))
-    lookups = {key: stats.group_mean_count(train, key, prefix) for key, prefix in KEY_PREFIXES.items()}
-    applied = encode.apply_all_stats(val.drop("rating"), lookups, stats.prior_of(train))
+    totals, prior = feature_job.build_lookup_tables(train, scratch_path(spark, "stats"))
+    applied = encode.apply_all_stats(val.drop("rating"), feature_job.lookups(totals), prior)
     columns = [f"{p}_{c}" for p in KEY_PREFIXES.values() for c in ("avg", "cnt", "log_cnt")]
     return _rounded(applied.select("id", *columns), 9, *_logs())
 
@@ -471,12 +471,6 @@ def encode_tfidf(spark, folder):
     return _elements(vectors, "embedding", 5, "id")
 
 
-def encode_word2vec(spark, folder):
-    texts = concat_review_text(spark, folder)
-    model = encoders.word2vec_fit(texts, dim=HASH_DIM, max_tokens=5_000)
-    return _elements(encoders.word2vec_embeddings(texts, model), "embedding", 3, "id")
-
-
 # Models, evaluation, blending
 
 
@@ -636,7 +630,6 @@ QUERIES: dict[str, Query] = {
     "encode_token_ids": encode_token_ids,
     "encode_batches": encode_batches,
     "encode_tfidf": encode_tfidf,
-    "encode_word2vec": encode_word2vec,
     "gram_matrix": gram_matrix,
     "ridge_fit": ridge_fit,
     "ridge_fit_mllib": ridge_fit_mllib,

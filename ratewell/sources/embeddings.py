@@ -6,15 +6,10 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ratewell.session import scratch_path
 from ratewell.sources.tables import write_table
 
-# Up to this many missing ids are broadcast to pick their texts without shuffling any text.
-BROADCAST_IDS = 1_000_000
-
-
 def read_store(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored ``(id, embedding)``, or None if nothing was stored yet."""
     try:
@@ -30,17 +25,13 @@ def missing_ids(rows: DataFrame, store: DataFrame, row_id: str = "id") -> DataFr
     return rows.select(row_id).join(store.select(row_id), row_id, "left_anti")
 
 
-def missing_rows(
-    rows: DataFrame, store: DataFrame | None, row_id: str = "id", broadcast_ids: int = BROADCAST_IDS
-) -> DataFrame:
-    """Rows whose embedding is not stored. Few missing ids are broadcast; many are joined."""
+def missing_rows(rows: DataFrame, store: DataFrame | None, row_id: str = "id") -> DataFrame:
+    """Rows whose embedding is not stored; Spark broadcasts the missing ids if their size allows it."""
     if store is None:
         return rows
     missing = write_table(
         missing_ids(rows, store, row_id), scratch_path(rows.sparkSession, "missing"), "ids.parquet"
     )
-    if missing.count() <= broadcast_ids:
-        missing = F.broadcast(missing)
     return rows.join(missing, row_id, "left_semi")
 
 
@@ -49,13 +40,12 @@ def update_store(
     path: str,
     encode: Callable[[DataFrame], DataFrame],
     row_id: str = "id",
-    broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """Encode and append the rows that the store lacks; return the whole store.
 
     A failed job commits nothing, so running it again encodes what is still missing.
     """
     spark = rows.sparkSession
-    missing = missing_rows(rows, read_store(spark, path), row_id, broadcast_ids)
+    missing = missing_rows(rows, read_store(spark, path), row_id)
     encode(missing).write.mode("append").parquet(path)
     return spark.read.parquet(path)

@@ -54,11 +54,10 @@ def check_ids(encoded, ids):
         assert sum(row["attention_mask"]) == len(words)
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
-def test_token_ids_keep_order_and_mark_unknown_words(rows, broadcast_bytes):
+def test_token_ids_keep_order_and_mark_unknown_words(rows):
     vocab = text.vocabulary(rows, min_count=2)
     ids = {r["token"]: r["token_id"] for r in vocab.collect()}
-    check_ids(text.encode_token_ids(rows, vocab, max_len=10, broadcast_bytes=broadcast_bytes), ids)
+    check_ids(text.encode_token_ids(rows, vocab, max_len=10), ids)
 
 
 def test_token_ids_with_hot_words(rows):
@@ -110,21 +109,3 @@ def test_tfidf_weights_rare_words_higher(rows):
     weight = np.log((documents + 1) / (containing + 1))
     assert max(vectors[TEXTS.index("word")]) == pytest.approx(weight, rel=1e-5)
     assert sum(vectors[1_000]) == 0.0
-
-
-def test_word2vec_vocabulary_is_bounded(rows):
-    counts = Counter(w for value in TEXTS for w in split_words(value))
-    model = encoders.word2vec_fit(rows, dim=4, max_tokens=50)
-    known = {r["word"] for r in model.getVectors().collect()}
-    assert 0 < len(known) <= 50
-    cut = min(counts[w] for w in known)
-    assert known == {w for w, n in counts.items() if n >= cut}
-    assert len([w for w, n in counts.items() if n >= cut - 1]) > 50
-    vectors = encoders.word2vec_embeddings(rows, model).collect()
-    assert len(vectors) == len(TEXTS) + 1 and all(len(r["embedding"]) == 4 for r in vectors)
-
-
-def test_word2vec_refuses_a_vocabulary_past_its_bound(spark):
-    frame = spark.createDataFrame([(1, "a b c d")], "id long, text string")
-    with pytest.raises(ValueError):
-        encoders.word2vec_fit(frame, max_tokens=3)
