@@ -12,7 +12,7 @@ from ratewell.llm.common import in_blocks, saved, worker_cache
 SEQUENCE = 2048
 #: Id after the last token of each document.
 END_ID = 0
-#: Words whose ids a worker remembers; the memory starts anew beyond that.
+#: Words, and units of words, whose ids a worker remembers; the memory starts anew beyond that.
 REMEMBERED = 400_000
 #: Ranks within a length are counted in so many parts at least, each of so many pieces at most on average.
 PARTS, PART_ROWS = 64, 50_000
@@ -24,6 +24,10 @@ def word_ids(path: str):
     The tokenizer drops white space and never joins across it, so each distinct run of other
     characters is encoded once per worker. The few control characters that Python counts as white
     space and the tokenizer doesn't are the exception: a text with one goes to the tokenizer whole.
+
+    A word is encoded by the units that the tokenizer's own pattern cuts it into, and each distinct
+    unit once. That needs words whose normal form and lower case are plain: visible ASCII and the
+    letters of Latin-1, where every character stands for itself. Other words go to the tokenizer.
     """
     import re
     from array import array
@@ -35,48 +39,48 @@ def word_ids(path: str):
     if "tokenizer" not in cache:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        cache["tokenizer"], cache["words"] = tokenizer, {}
+        cache["tokenizer"], cache["words"], cache["units"] = tokenizer, {}, {}
         vocabulary = tokenizer.get_vocab()
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[rank for token, rank in vocabulary.items() if token.endswith("</w>")]] = True
         cache["ends"] = ends
-    tokenizer, known = cache["tokenizer"], cache["words"]
+    tokenizer, known, unit_ids, ends = (cache[name] for name in ("tokenizer", "words", "units", "ends"))
     odd = re.compile("[\x1c-\x1f]").search
-
-    ends = cache["ends"]
+    plain = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+    # The pattern of the vocabulary file, for lower-case words of the characters above.
+    units_of = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 
     def whole(texts):
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", encoding.ids).tobytes() for encoding in found]
 
+    def learn_units(units):
+        """Many units share a call and are told apart by the tokens that end a unit."""
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = (np.flatnonzero(ends[ids]) + 1).tolist() if len(ids) else []
+        if len(cuts) != len(units):
+            raise ValueError("each unit must end in one token that ends a word")
+        raw, at = ids.tobytes(), 0
+        for unit, cut in zip(units, cuts):
+            unit_ids[unit] = raw[at : 4 * cut]
+            at = 4 * cut
+
     def learn(words):
-        """Words of letters only are one unit each of the tokenizer, so that many can share a call and be told
-        apart by the tokens that end a unit. Lower-casing first would be another tokenizer's order."""
-        plain = [word for word in words if word.isalpha() and word.isascii()]
-        if plain:
-            ids = np.array(tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = (np.flatnonzero(ends[ids]) + 1).tolist()
-            raw, at = ids.tobytes(), 0
-            for word, cut in zip(plain, cuts):
-                known[word] = raw[at : 4 * cut]
-                at = 4 * cut
+        cut = [(word, units_of(word.lower())) for word in words if plain(word)]
+        new = {unit for _, units in cut for unit in units if unit not in unit_ids}
+        if new:
+            learn_units(list(new))
+        for word, units in cut:
+            known[word] = unit_ids[units[0]] if len(units) == 1 else b"".join([unit_ids[unit] for unit in units])
         rest = [word for word in words if word not in known]
-        # A mark after letters is a unit of its own.
-        marked = [word for word in rest if word[-1] in ".," and word[:-1].isalpha() and word.isascii()]
-        missing = [word[:-1] for word in marked if word[:-1] not in known]
-        if missing:
-            learn(missing)
-        for word in marked:
-            known[word] = known[word[:-1]] + marks[word[-1]]
-        rest = [word for word in rest if word not in known]
         for word, ids in zip(rest, whole(rest)):
             known[word] = ids
 
-    marks = dict(zip(".,", whole([".", ","])))
-
     def encode(texts: list[str]) -> list[bytes]:
         if len(known) > REMEMBERED:
             known.clear()
+        if len(unit_ids) > REMEMBERED:
+            unit_ids.clear()
         split = [None if odd(text) else text.split() for text in texts]
         learn([word for word in set().union(*filter(None, split)) if word not in known])
         ids = known.__getitem__
