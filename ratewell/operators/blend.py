@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.functions.numeric import blend
-from ratewell.operators.joins import join_on_id
+from ratewell.operators.joins import join_on_id, require_alignment
 from ratewell.schemas import BLEND_WEIGHTS
 
 
-def join_predictions(a: DataFrame, b: DataFrame, row_id: str = "id", rating: str = "rating") -> DataFrame:
-    """``(id, rating_a, rating_b)`` of two prediction sets."""
+def join_predictions(
+    a: DataFrame, b: DataFrame, row_id: str = "id", rating: str = "rating", strict: bool = False
+) -> DataFrame:
+    """``(id, rating_a, rating_b)`` of two prediction sets. ``strict`` first checks, by one pass over the
+    ids of both, that they are the same."""
+    if strict:
+        require_alignment(a, b, row_id)
     return join_on_id(
         a.select(row_id, F.col(rating).alias("rating_a")),
         b.select(row_id, F.col(rating).alias("rating_b")),

@@ -47,7 +47,10 @@ def encode_batches(
 
 
 def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
-    """A stateless encoder: the mean over the words of a signed unit vector chosen by the word's hash."""
+    """A stateless encoder: the mean over the words of a signed unit vector chosen by the word's hash.
+
+    It stands for a model that has to be loaded; ``hashed_embeddings`` gives the same vectors without Python.
+    """
 
     def load() -> Encoder:
         @lru_cache(maxsize=1 << 18)
@@ -69,6 +72,29 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Encoder]:
     return load
 
 
+def hashed_embeddings(rows: DataFrame, dim: int = 64, row_id: str = "id", text: str = "text") -> DataFrame:
+    """``(id, embedding)`` as ``hashing_encoder`` gives them, all in built-in functions.
+
+    A text's words are added up per slot before anything moves, so at most ``dim`` numbers of a text
+    shuffle. A text without words, or null, has a zero vector.
+    """
+    words = rows.select(row_id, F.explode_outer(word_tokens(text)).alias("_word"))
+    number = hex_prefix(F.md5("_word"), 8)
+    sign = F.when(F.floor(number / dim) % 2 == 0, 1).otherwise(-1)
+    slots = words.groupBy(row_id, (number % dim).cast("int").alias("slot")).agg(
+        F.sum(sign).alias("total"), F.count("_word").alias("n")
+    )
+    entry = F.when(F.col("slot").isNotNull(), F.struct("slot", "total"))
+    summed = slots.groupBy(row_id).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_totals"), F.greatest(F.sum("n"), F.lit(1)).alias("_n")
+    )
+    share = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: (F.coalesce(F.element_at("_totals", i), F.lit(0)) / F.col("_n")).cast("float"),
+    )
+    return summed.select(row_id, share.alias("embedding"))
+
+
 def _slots(rows: DataFrame, dim: int, row_id: str, text: str) -> DataFrame:
     """``(id, slot, tf)``: how often a text's words fall into each hash slot."""
     words = rows.select(row_id, F.explode(word_tokens(text)).alias("_word"))

@@ -129,14 +129,21 @@ def alignment(left: DataFrame, right: DataFrame, row_id: str = "id") -> DataFram
     per_id = sides.groupBy(row_id).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     both = (F.col("l") > 0) & (F.col("r") > 0)
     return per_id.agg(
-        F.sum("l").alias("left_rows"),
-        F.sum("r").alias("right_rows"),
+        F.coalesce(F.sum("l"), F.lit(0)).alias("left_rows"),
+        F.coalesce(F.sum("r"), F.lit(0)).alias("right_rows"),
         F.count_if(both).alias("shared_ids"),
         F.count_if(F.col("r") == 0).alias("left_only_ids"),
         F.count_if(F.col("l") == 0).alias("right_only_ids"),
     )
 
 
+def require_alignment(left: DataFrame, right: DataFrame, row_id: str = "id") -> None:
+    """Fail unless both frames hold the same ids once each, so that an inner join loses no row."""
+    found = alignment(left, right, row_id).first()
+    if not found["left_rows"] == found["right_rows"] == found["shared_ids"]:
+        raise ValueError(f"ids differ: {found.asDict()}")
+
+
 def product_metadata_join(reviews: DataFrame, products: DataFrame, key: str = "parent_prod_id") -> DataFrame:
     """Reviews with the category and price of their parent product, null where it is not listed."""
     return lookup_join(reviews, products, key)

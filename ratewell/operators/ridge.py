@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ratewell.functions.numeric import clip_rating
 from ratewell.operators.evaluate import best_by_rmse, rmse_of
 from ratewell.schemas import RIDGE_ALPHAS
+from ratewell.session import pinned
 
 MAX_FEATURES = 4096
 
@@ -192,10 +193,13 @@ def ridge_alpha_grid(
 ) -> GridResult:
     """Fit each penalty on ``train``, score it on ``val``, refit the best on both.
 
-    Gram matrices add up, so the refit needs no further pass over the rows.
+    Gram matrices add up, so the refit needs no further pass over the rows. The features are kept
+    while the width, the matrices and the scores are read; the scores, a row per penalty, are fetched.
     """
-    matrices = gram_matrices(gram(rows, features, target, split))
-    models = [solve_ridge(matrices["train"], alpha) for alpha in alphas]
-    scores = score_models(rows.filter(F.col(split) == "val"), models, features, target).drop("name")
+    with pinned(rows.select(features, target, split)) as kept:
+        matrices = gram_matrices(gram(kept, features, target, split))
+        models = [solve_ridge(matrices["train"], alpha) for alpha in alphas]
+        scores = score_models(kept.filter(F.col(split) == "val"), models, features, target).drop("name")
+        scores = rows.sparkSession.createDataFrame(scores.collect(), scores.schema)
     best = best_by_rmse(scores, "alpha").first()["alpha"]
     return GridResult(scores, solve_ridge(matrices["train"] + matrices["val"], best))

@@ -56,19 +56,25 @@ def _loo(rows: str, name: str = "encoded", keys: dict[str, str] = KEY_PREFIXES)
     return f"{name} AS (SELECT *, {columns} FROM {rows})"
 
 
-def _lookup(name: str = "looked_up", keys: dict[str, str] = KEY_PREFIXES, count: str = "count(*)") -> str:
-    """CTE ``name``: ``val`` with the statistics that ``train`` has for each key."""
+def _lookup(
+    name: str = "looked_up",
+    keys: dict[str, str] = KEY_PREFIXES,
+    count: str = "count(*)",
+    known: str = "train",
+    rows: str = "val",
+) -> str:
+    """CTE ``name``: ``rows`` with the statistics that ``known`` has for each key."""
     tables = ", ".join(
-        f"{p}_stats AS (SELECT {k}, avg(rating) AS a, {count} AS n FROM train WHERE {k} IS NOT NULL GROUP BY 1)"
+        f"{known}_{p} AS (SELECT {k}, avg(rating) AS a, {count} AS n FROM {known} WHERE {k} IS NOT NULL GROUP BY 1)"
         for k, p in keys.items()
     )
     columns = ", ".join(
-        f"coalesce({p}_stats.a, (SELECT avg(rating) FROM train)) AS {p}_avg, coalesce({p}_stats.n, 0) AS {p}_cnt, "
-        f"ln(1 + coalesce({p}_stats.n, 0)::DOUBLE) AS {p}_log_cnt"
+        f"coalesce({known}_{p}.a, (SELECT avg(rating) FROM {known})) AS {p}_avg, coalesce({known}_{p}.n, 0) AS {p}_cnt, "
+        f"ln(1 + coalesce({known}_{p}.n, 0)::DOUBLE) AS {p}_log_cnt"
         for p in keys.values()
     )
-    joins = " ".join(f"LEFT JOIN {p}_stats ON val.{k} = {p}_stats.{k}" for k, p in keys.items())
-    return f"{tables}, {name} AS (SELECT val.*, {columns} FROM val {joins})"
+    joins = " ".join(f"LEFT JOIN {known}_{p} ON {rows}.{k} = {known}_{p}.{k}" for k, p in keys.items())
+    return f"{tables}, {name} AS (SELECT {rows}.*, {columns} FROM {rows} {joins})"
 
 
 STATS = [f"{p}_{c}" for p in KEY_PREFIXES.values() for c in ("avg", "log_cnt")]
@@ -254,6 +260,18 @@ SUBSET_PLACES = {
     )
     for name, (columns, width) in SUBSETS.items()
 }
+def _stump(rows: str) -> str:
+    """CTEs: ``stump``, the validation error of the best split of ``rows (p, v, y, split)`` in two leaves."""
+    return f"""sides AS (SELECT y, split, unnest([0, 1]) AS f, unnest([p, v]) AS x FROM {rows}),
+cuts AS (SELECT DISTINCT f, x AS t FROM sides WHERE split = 'train'),
+gains AS (SELECT f, t, avg(y) FILTER (x <= t) AS low, avg(y) FILTER (x > t) AS high,
+    pow(sum(y) FILTER (x <= t), 2) / count(*) FILTER (x <= t) + pow(sum(y) FILTER (x > t), 2) / count(*) FILTER (x > t) AS gain
+  FROM (SELECT * FROM sides WHERE split = 'train') JOIN cuts USING (f) GROUP BY f, t HAVING count(*) FILTER (x > t) > 0),
+chosen AS (SELECT * FROM gains ORDER BY gain DESC, f, t LIMIT 1),
+stump AS (SELECT round(sqrt(avg(pow(greatest(1.0::DOUBLE, least(5.0::DOUBLE,
+    CASE WHEN x <= t THEN low ELSE high END)) - y, 2))), 6) AS rmse FROM sides JOIN chosen USING (f) WHERE split = 'val')"""
+
+
 ABLATION = f"""WITH RECURSIVE {SPLIT}, {_loo('train')}, {_lookup()},
 features AS ({_numeric('encoded', 'loo_avg', extra=", parent_prod_id, rating, 'train' AS split")}
   UNION ALL {_numeric('looked_up', 'avg', extra=", parent_prod_id, rating, 'val' AS split")}),
@@ -261,16 +279,50 @@ features AS ({_numeric('encoded', 'loo_avg', extra=", parent_prod_id, rating, 't
 z AS (SELECT id AS vec_id, split, list_concat(embedding, [{SCALED_LIST}]) AS x, rating::DOUBLE AS y
   FROM features JOIN e USING (parent_prod_id)),
 fitted AS (SELECT * FROM z WHERE split = 'train'),
-{_specs(SUBSET_PLACES)}, {_eliminated('fitted', 'specs', 'models')}
+{_specs(SUBSET_PLACES)}, {_eliminated('fitted', 'specs', 'models')},
+shallow AS (SELECT split, purchased AS p, votes AS v, rating::DOUBLE AS y FROM features), {_stump('shallow')}
 SELECT 'ridge' AS model, features, alpha, {VAL_RMSE}
-FROM z CROSS JOIN models WHERE split = 'val' GROUP BY features, alpha"""
+FROM z CROSS JOIN models WHERE split = 'val' GROUP BY features, alpha
+UNION ALL SELECT 'gbt', 'raw', NULL::DOUBLE, rmse FROM stump"""
+
+# The test rows are a split by another seed; the others are split again into train and val.
+SUBMISSION = f"""WITH RECURSIVE {REVIEWS},
+parted AS (SELECT *, {HASH.format("'7:' || id")} % 100 < 80 AS is_known FROM reviews),
+known AS (SELECT * EXCLUDE (is_known), CASE WHEN {HASH.format("'42:' || id")} % 100 < 80 THEN 'train' ELSE 'val' END AS split
+  FROM parted WHERE is_known),
+test AS (SELECT * EXCLUDE (is_known) FROM parted WHERE NOT is_known),
+train AS (SELECT * EXCLUDE (split) FROM known WHERE split = 'train'),
+val AS (SELECT * EXCLUDE (split) FROM known WHERE split = 'val'),
+{_loo('train')}, {_lookup()}, {_lookup('test_looked_up', known='known', rows='test')},
+features AS ({_numeric('encoded', 'loo_avg', extra=", parent_prod_id, rating, 'train' AS split")}
+  UNION ALL {_numeric('looked_up', 'avg', extra=", parent_prod_id, rating, 'val' AS split")}
+  UNION ALL {_numeric('test_looked_up', 'avg', extra=", parent_prod_id, rating, 'test' AS split")}),
+{PRODUCT_EMBEDDINGS},
+z AS (SELECT id AS vec_id, split, list_concat(embedding, [{SCALED_LIST}]) AS x, rating::DOUBLE AS y
+  FROM features JOIN e USING (parent_prod_id)),
+fitted AS (SELECT * FROM z WHERE split = 'train'), all_known AS (SELECT * FROM z WHERE split <> 'test'),
+{_specs({'all': 'range(1, 41)'})}, {_eliminated('fitted', 'specs', 'models')},
+grid_scores AS (SELECT alpha, sqrt(avg(pow(greatest(1.0::DOUBLE, least(5.0::DOUBLE, b + list_inner_product(x, w))) - y, 2))) AS rmse
+  FROM z CROSS JOIN models WHERE split = 'val' GROUP BY alpha),
+best AS (SELECT * FROM specs WHERE alpha = (SELECT alpha FROM grid_scores ORDER BY rmse, alpha LIMIT 1)),
+{_eliminated('all_known', 'best', 'final')},
+scored AS (SELECT vec_id AS id, split, y, greatest(1.0::DOUBLE, least(5.0::DOUBLE, b + list_inner_product(x, w))) AS rating
+  FROM z CROSS JOIN final)"""
+
+def _per_key(name: str) -> list[tuple[str, str, str]]:
+    """``(query, key, prefix)``: the product key's query has the plain name."""
+    return [(name if p == "prod" else f"{name}_{p}", k, p) for k, p in KEY_PREFIXES.items()]
+
 
 ORACLE: dict[str, str] = {
     "scan_csv_reviews": f"WITH {REVIEWS} SELECT * FROM reviews",
     "scan_csv_texts": f"WITH {TEXTS} SELECT * FROM texts",
     "scan_csv_inferred": f"WITH {REVIEWS} SELECT id, user_id::BIGINT AS user_id, rating, votes, purchased FROM reviews",
     "scan_pruned": f"WITH {REVIEWS} SELECT id, rating, purchased, votes FROM reviews",
-    "read_stats_parquet": f"WITH {REVIEWS} SELECT prod_id, avg(rating) AS prod_avg, count(*) AS prod_cnt FROM reviews GROUP BY 1",
+    **{
+        name: f"WITH {REVIEWS} SELECT {k}, avg(rating) AS {p}_avg, count(*) AS {p}_cnt FROM reviews GROUP BY 1"
+        for name, k, p in _per_key("read_stats_parquet")
+    },
     "write_stats_parquet": f"WITH {REVIEWS} "
     + " UNION ALL ".join(
         f"SELECT '{k}' AS key_name, {k} AS key, sum(rating)::BIGINT AS rating_sum, count(rating) AS rating_count, "
@@ -278,7 +330,8 @@ ORACLE: dict[str, str] = {
         for k in KEY_PREFIXES
     ),
     "global_avg_artifact": f"WITH {REVIEWS} SELECT avg(rating) AS global_avg FROM reviews",
-    "embedding_store": "SELECT doc_id AS id, 1::BIGINT AS copies, 32::BIGINT AS width FROM documents",
+    "embedding_store": f"""WITH {WORDS}, {_hashed('words')} SELECT id, 1::BIGINT AS copies, 32::BIGINT AS width,
+  round(sum(value), 6) + 0.0 AS total, round(max(value) FILTER (pos = 0), 6) + 0.0 AS first FROM hashed GROUP BY id""",
     "write_submission": f"WITH {PAIRS} SELECT id, rating FROM blended",
     "write_metrics": f"""WITH {PAIRS} SELECT (SELECT round(sqrt(avg(pow(rating_a - rating, 2))), 6) FROM pairs) AS best_val_rmse,
   min(rating) AS min, max(rating) AS max, round(avg(rating), 6) AS mean FROM blended""",
@@ -339,17 +392,29 @@ SELECT *, reviews / users::DOUBLE AS reviews_per_user, reviews / products::DOUBL
 SELECT label, pos::INTEGER AS pos, round(sum(mask * x) / greatest(sum(mask), 1e-9), 6) + 0.0 AS value
 FROM flat GROUP BY 1, 2""",
     **{f"loo_encode_{p}": _loo_query(k, p) for k, p in KEY_PREFIXES.items()},
-    "loo_encode_window": _loo_query("user_id", "user"),
+    **{name: _loo_query("user_id", "user") for name in ("loo_encode_window", "loo_encode_hot", "loo_encode_window_hot")},
     "loo_full_frame": _loo_query("parent_prod_id", "parent"),
     **{f"group_mean_encode_{p}": _group_mean_encode(k) for k, p in KEY_PREFIXES.items()},
     "loo_all_keys": LOO_FEATURES,
     "loo_all_keys_window": LOO_FEATURES,
+    "feature_job_test": f"""WITH {SPLIT}, {_lookup()} SELECT id, user_avg, user_cnt, prod_avg, prod_cnt,
+  parent_avg, parent_cnt, {_round(['user_log_cnt', 'prod_log_cnt', 'parent_log_cnt'], 9)} FROM looked_up""",
+    "feature_job_lookups": f"WITH {SPLIT}, {_lookup()} "
+    + " UNION ALL ".join(
+        f"SELECT DISTINCT '{k}' AS key_name, {k} AS key, {p}_avg AS avg, {p}_cnt AS cnt FROM looked_up"
+        for k, p in KEY_PREFIXES.items()
+    ),
+    "lookup_join_hot": f"""WITH {SPLIT}, {_lookup(keys={'user_id': 'user'})}
+SELECT id, user_avg, user_cnt, round(user_log_cnt, 9) + 0.0 AS user_log_cnt FROM looked_up""",
     "feature_job": f"""WITH {SPLIT}, {_loo('train')} SELECT id, user_loo_avg, user_cnt, prod_loo_avg, prod_cnt,
   parent_loo_avg, parent_cnt, {_round(['user_log_cnt', 'prod_log_cnt', 'parent_log_cnt'], 9)} FROM encoded""",
     "lookup_join_stats": f"""WITH {SPLIT}, {_lookup()} SELECT id, user_avg, user_cnt, prod_avg, prod_cnt,
   parent_avg, parent_cnt, {_round(['user_log_cnt', 'prod_log_cnt', 'parent_log_cnt'], 9)} FROM looked_up""",
-    "map_encode": f"""WITH {SPLIT}, {_lookup(keys={'prod_id': 'prod'}, count='count(rating)')}
-SELECT id, prod_avg, round(prod_log_cnt, 9) + 0.0 AS prod_log_cnt FROM looked_up""",
+    **{
+        name: f"""WITH {SPLIT}, {_lookup(keys={k: p}, count='count(rating)')}
+SELECT id, {p}_avg, round({p}_log_cnt, 9) + 0.0 AS {p}_log_cnt FROM looked_up"""
+        for name, k, p in _per_key("map_encode")
+    },
     "join_embeddings": f"""WITH {TEXTS} SELECT id, length(text)::BIGINT AS text_len, len(embedding)::BIGINT AS width,
   round(list_sum(embedding::DOUBLE[]), 5) + 0.0 AS total FROM joined JOIN embeddings ON id = vec_id""",
     "embedding_alignment": """WITH ids AS (SELECT doc_id, vec_id FROM documents FULL JOIN embeddings ON doc_id = vec_id)
@@ -364,8 +429,10 @@ SELECT count(doc_id) AS left_rows, count(vec_id) AS right_rows, count(CASE WHEN
     "fraction_split": f"WITH {SPLIT} SELECT id, split FROM split",
     "subset_sample": f"""WITH {REVIEWS}, ranked AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) AS r FROM reviews)
 SELECT id, 'train' AS split FROM ranked WHERE r > 500 AND r <= 20500""",
-    "distinct_lookup": f"""WITH {SPLIT}, {_lookup(keys={'prod_id': 'prod'})}
-SELECT DISTINCT prod_id, prod_avg, prod_cnt FROM looked_up""",
+    **{
+        name: f"""WITH {SPLIT}, {_lookup(keys={k: p})} SELECT DISTINCT {k}, {p}_avg, {p}_cnt FROM looked_up"""
+        for name, k, p in _per_key("distinct_lookup")
+    },
     "best_by_rmse": f"WITH {BASELINES} SELECT predictor, round(rmse, 9) AS rmse FROM baselines ORDER BY rmse, predictor LIMIT 1",
     "tokenize_truncate_pad": f"""WITH {WORDS} SELECT id, len(words)::BIGINT AS n_tokens, 192::BIGINT AS width,
   least(len(words), 192)::BIGINT AS mask_sum,
@@ -376,8 +443,11 @@ flat AS (SELECT id, unnest(words[1:192]) AS token, unnest(range(1, least(len(wor
 ids AS (SELECT id, pos, coalesce(token_id, 1) AS token_id FROM flat LEFT JOIN vocab USING (token))
 SELECT words.id, 192::BIGINT AS width, count(pos) AS mask_sum, coalesce(sum(pos * token_id), 0)::BIGINT AS weighted_ids
 FROM words LEFT JOIN ids ON words.id = ids.id GROUP BY 1""",
-    "encode_batches": f"""WITH {WORDS}, {_hashed('words')}
-SELECT id, pos::INTEGER AS pos, round(value, 6) + 0.0 AS value FROM hashed""",
+    **{
+        name: f"""WITH {WORDS}, {_hashed('words')}
+SELECT id, pos::INTEGER AS pos, round(value, 6) + 0.0 AS value FROM hashed"""
+        for name in ("encode_batches", "hashed_embeddings")
+    },
     "encode_tfidf": f"""WITH {WORDS},
 counts AS (SELECT id, {HASH.format('word')} % 256 AS pos, count(*) AS tf
   FROM (SELECT id, unnest(words) AS word FROM words) GROUP BY 1, 2),
@@ -411,4 +481,9 @@ SELECT weight, round(min(r), 6) AS min, round(max(r), 6) AS max, round(avg(r), 6
   0.5::DOUBLE * rating_a + 0.5::DOUBLE * rating_b)), 9) AS rating FROM pairs""",
     "blend_final": f"WITH {PAIRS} SELECT id, round(rating, 9) AS rating FROM blended",
     "ablation_table": ABLATION,
+    "gbt_single_tree": f"""WITH {RAW}, {_stump('raw')} SELECT 'gbt' AS model, 'raw' AS features, rmse FROM stump""",
+    "submission_job": f"{SUBMISSION} SELECT id, round(rating, 5) + 0.0 AS rating FROM scored WHERE split = 'test'",
+    "submission_metrics": f"""{SUBMISSION} SELECT round((SELECT min(rmse) FROM grid_scores), 5) AS best_val_rmse,
+  round((SELECT sqrt(avg(pow(rating - y, 2))) FROM scored WHERE split <> 'test'), 5) AS train_rmse,
+  round(min(rating), 5) AS min, round(max(rating), 5) AS max, round(avg(rating), 5) AS mean FROM scored WHERE split = 'test'""",
 }

@@ -22,6 +22,9 @@ N_VAL = 500
 N_TRAIN = 20_000
 HASH_DIM = 32
 SUBMISSION_WEIGHT = 0.7
+TEST_SEED = 7
+# Rows from which a key counts as hot in the queries of that path; the real bound is far larger.
+HOT_ROWS = 30
 
 
 def _rounded(frame: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -83,12 +86,15 @@ def write_stats_parquet(spark, folder):
     return result
 
 
-def read_stats_parquet(spark, folder):
-    """Product statistics loaded as a lookup table."""
-    out = scratch_path(spark, "stats")
-    feature_job.build_lookup_tables(source.reviews(spark, folder), out)
-    loaded, _ = feature_job.load_lookup_tables(spark, out)
-    return feature_job.lookups(loaded)["prod_id"]
+def _read_stats(key: str) -> Query:
+    def query(spark, folder):
+        """The statistics of one key, loaded as a lookup table."""
+        out = scratch_path(spark, "stats")
+        feature_job.build_lookup_tables(source.reviews(spark, folder), out)
+        loaded, _ = feature_job.load_lookup_tables(spark, out)
+        return feature_job.lookups(loaded)[key]
+
+    return query
 
 
 def global_avg_artifact(spark, folder):
@@ -103,13 +109,18 @@ def embedding_store(spark, folder):
     texts = source.text_reviews(spark, folder).select("id", "comment", text_fn.review_text().alias("text"))
 
     def encoded(rows: DataFrame) -> DataFrame:
-        return encoders.encode_batches(rows, encoders.hashing_encoder(HASH_DIM))
+        return encoders.hashed_embeddings(rows, HASH_DIM)
 
     embeddings.update_store(texts.filter(F.col("comment").isNotNull()), path, encoded)
     store = embeddings.update_store(texts, path, encoded)
-    return store.groupBy("id").agg(
-        F.count(F.lit(1)).alias("copies"), F.max(F.size("embedding")).cast("bigint").alias("width")
+    total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x)
+    stored = store.groupBy("id").agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.max(F.size("embedding")).cast("bigint").alias("width"),
+        F.max(total).alias("total"),
+        F.max(F.col("embedding")[0].cast("double")).alias("first"),
     )
+    return _rounded(stored, 6, "total", "first")
 
 
 def write_submission(spark, folder):
@@ -221,7 +232,7 @@ def feature_subset(spark, folder):
     rows = encode.numeric_features(
         encode.loo_all_keys(source.reviews(spark, folder)), keep=("id", "parent_prod_id")
     )
-    vectors = encoders.encode_batches(source.product_texts(spark, folder), encoders.hashing_encoder(HASH_DIM))
+    vectors = encoders.hashed_embeddings(source.product_texts(spark, folder), HASH_DIM)
     joined = joins.lookup_join(rows, vectors.withColumnRenamed("id", "parent_prod_id"), "parent_prod_id")
     subsets = features.FEATURE_SUBSETS
     arrays = joined.select("id", *[features.feature_subset(n).alias(n) for n in subsets])
@@ -329,16 +340,41 @@ def loo_all_keys_window(spark, folder):
     return _rounded(encode.numeric_features(encoded), 9, *_logs())
 
 
-def feature_job_train(spark, folder):
+def _train_and_test(spark, folder):
+    """The two sides of the split."""
+    rows = split.fraction_split(_narrow(spark, folder))
+    return (rows.filter(F.col("split") == n).drop("split") for n in ("train", "val"))
+
+
+def _feature_job(spark, folder):
     """The whole feature job through written tables; test rows are the val side of the split."""
     rows = split.fraction_split(source.reviews(spark, folder))
     train, test = (rows.filter(F.col("split") == n).drop("split") for n in ("train", "val"))
-    written = feature_job.run_feature_job(train, test.drop("rating"), scratch_path(spark, "features"))
-    return _rounded(
-        written["train"].select("id", *[f"{p}_{c}" for p in KEY_PREFIXES.values() for c in ("loo_avg", "cnt", "log_cnt")]),
-        9,
-        *_logs(),
-    )
+    return feature_job.run_feature_job(train, test.drop("rating"), scratch_path(spark, "features"))
+
+
+def _key_columns(average: str) -> list[str]:
+    return [f"{p}_{c}" for p in KEY_PREFIXES.values() for c in (average, "cnt", "log_cnt")]
+
+
+def feature_job_train(spark, folder):
+    return _rounded(_feature_job(spark, folder)["train"].select("id", *_key_columns("loo_avg")), 9, *_logs())
+
+
+def feature_job_test(spark, folder):
+    return _rounded(_feature_job(spark, folder)["test"].select("id", *_key_columns("avg")), 9, *_logs())
+
+
+def feature_job_lookups(spark, folder):
+    """The distinct lookup rows that the test side uses, of all keys."""
+    written = _feature_job(spark, folder)
+    result = None
+    for key, p in KEY_PREFIXES.items():
+        part = written[f"test_{p}_stats"].select(
+            F.lit(key).alias("key_name"), F.col(key).alias("key"), F.col(f"{p}_avg").alias("avg"), F.col(f"{p}_cnt").alias("cnt")
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
 
 
 # Joins
@@ -354,12 +390,25 @@ def lookup_join_stats(spark, folder):
     return _rounded(applied.select("id", *columns), 9, *_logs())
 
 
-def map_encode(spark, folder):
-    rows = split.fraction_split(_narrow(spark, folder))
-    train, val = (rows.filter(F.col("split") == n).drop("split") for n in ("train", "val"))
-    mean = stats.group_mean_rated(train, "prod_id", "prod")
-    mapped = encode.apply_stats(val, mean, "prod_id", "prod", stats.prior_of(train))
-    return _rounded(mapped.select("id", "prod_avg", "prod_log_cnt"), 9, "prod_log_cnt")
+def _lookup_join_hot(key: str, prefix: str) -> Query:
+    def query(spark, folder):
+        """Val rows encoded by one key, where keys with few rows count as hot already."""
+        train, val = _train_and_test(spark, folder)
+        lookup = stats.group_mean_count(train, key, prefix)
+        applied = encode.apply_stats(val, lookup, key, prefix, stats.prior_of(train), min_rows=HOT_ROWS)
+        return _rounded(applied.select("id", f"{prefix}_avg", f"{prefix}_cnt", f"{prefix}_log_cnt"), 9, f"{prefix}_log_cnt")
+
+    return query
+
+
+def _map_encode(key: str, prefix: str) -> Query:
+    def query(spark, folder):
+        train, val = _train_and_test(spark, folder)
+        mean = stats.group_mean_rated(train, key, prefix)
+        mapped = encode.apply_stats(val, mean, key, prefix, stats.prior_of(train))
+        return _rounded(mapped.select("id", f"{prefix}_avg", f"{prefix}_log_cnt"), 9, f"{prefix}_log_cnt")
+
+    return query
 
 
 def join_embeddings(spark, folder):
@@ -415,12 +464,14 @@ def subset_sample(spark, folder):
     return rows.filter(F.col("split") == "train")
 
 
-def distinct_lookup(spark, folder):
-    rows = split.fraction_split(_narrow(spark, folder))
-    train, val = (rows.filter(F.col("split") == n).drop("split") for n in ("train", "val"))
-    lookup = stats.group_mean_count(train, "prod_id", "prod")
-    applied = encode.apply_stats(val, lookup, "prod_id", "prod", stats.prior_of(train))
-    return encode.distinct_lookup(applied, "prod_id", "prod")
+def _distinct_lookup(key: str, prefix: str) -> Query:
+    def query(spark, folder):
+        train, val = _train_and_test(spark, folder)
+        lookup = stats.group_mean_count(train, key, prefix)
+        applied = encode.apply_stats(val, lookup, key, prefix, stats.prior_of(train))
+        return encode.distinct_lookup(applied, key, prefix)
+
+    return query
 
 
 def best_by_rmse(spark, folder):
@@ -466,6 +517,12 @@ def encode_batches(spark, folder):
     )
 
 
+def hashed_embeddings(spark, folder):
+    """The same vectors as ``encode_batches``, by built-in functions."""
+    vectors = encoders.hashed_embeddings(concat_review_text(spark, folder), HASH_DIM)
+    return _elements(vectors, "embedding", 6, "id")
+
+
 def encode_tfidf(spark, folder):
     vectors = encoders.tfidf_embeddings(concat_review_text(spark, folder))
     return _elements(vectors, "embedding", 5, "id")
@@ -527,6 +584,31 @@ def predict_clip(spark, folder):
     return _rounded(scored.select("id", F.col("prediction").alias("rating")), 6, "rating")
 
 
+def gbt_single_tree(spark, folder):
+    """Validation error of one tree of depth 1 on the two raw columns, whose few values give exact splits."""
+    scores = training.gbt_scores(_raw_rows(spark, folder).drop("features"), "raw", trees=1, depth=1)
+    return _rounded(scores, 6, "rmse")
+
+
+def _submission(spark, folder):
+    """The whole training job; a fifth of the reviews, by another seed, are the test rows."""
+    rows = split.fraction_split(source.reviews(spark, folder), seed=TEST_SEED)
+    train, test = (rows.filter(F.col("split") == n).drop("split") for n in ("train", "val"))
+    vectors = encoders.hashed_embeddings(source.product_texts(spark, folder), HASH_DIM)
+    vectors = vectors.withColumnRenamed("id", "parent_prod_id")
+    folder = scratch_path(spark, "submission")
+    return training.run_submission(train, test.drop("rating"), vectors, HASH_DIM, folder, "parent_prod_id")
+
+
+def submission_job(spark, folder):
+    return _rounded(_submission(spark, folder)["predictions"], 5, "rating")
+
+
+def submission_metrics(spark, folder):
+    metrics = _submission(spark, folder)["metrics"].select("best_val_rmse", "train_rmse", "prediction_stats.*")
+    return _rounded(metrics, 5, "best_val_rmse", "train_rmse", "min", "max", "mean")
+
+
 def gbt_stats_baseline(spark, folder):
     table = training.feature_table(source.reviews(spark, folder))
     return _rounded(training.gbt_scores(table), 4, "rmse")
@@ -562,12 +644,14 @@ def blend_final(spark, folder):
 
 
 def ablation_table(spark, folder):
-    """Ridge on every feature subset, with the product text's hashed embedding."""
+    """Ridge on every feature subset, with the product text's hashed embedding, and one shallow tree."""
     rows = source.reviews(spark, folder)
     table = training.feature_table(rows, keep=("id", "parent_prod_id", "rating"))
-    vectors = encoders.encode_batches(source.product_texts(spark, folder), encoders.hashing_encoder(HASH_DIM))
-    joined = joins.lookup_join(table, vectors.withColumnRenamed("id", "parent_prod_id"), "parent_prod_id")
-    return _rounded(training.ablation_table(joined), 6, "rmse")
+    vectors = encoders.hashed_embeddings(source.product_texts(spark, folder), HASH_DIM)
+    joined = training.with_embeddings(
+        table, vectors.withColumnRenamed("id", "parent_prod_id"), HASH_DIM, "parent_prod_id"
+    )
+    return _rounded(training.ablation_table(joined, tree_subsets=("raw",), trees=1, depth=1), 6, "rmse")
 
 
 QUERIES: dict[str, Query] = {
@@ -576,7 +660,9 @@ QUERIES: dict[str, Query] = {
     "scan_csv_inferred": scan_csv_inferred,
     "scan_pruned": scan_pruned,
     "write_stats_parquet": write_stats_parquet,
-    "read_stats_parquet": read_stats_parquet,
+    "read_stats_parquet": _read_stats("prod_id"),
+    "read_stats_parquet_user": _read_stats("user_id"),
+    "read_stats_parquet_parent": _read_stats("parent_prod_id"),
     "global_avg_artifact": global_avg_artifact,
     "embedding_store": embedding_store,
     "write_submission": write_submission,
@@ -608,14 +694,21 @@ QUERIES: dict[str, Query] = {
     "prediction_corr": prediction_corr,
     "masked_mean_pool": masked_mean_pool,
     **{f"loo_encode_{p}": _loo(k, p) for k, p in KEY_PREFIXES.items()},
+    "loo_encode_hot": _loo("user_id", "user", min_rows=HOT_ROWS),
+    "loo_encode_window_hot": _loo("user_id", "user", encode.loo_encode_window, min_rows=HOT_ROWS),
     "loo_encode_window": _loo("user_id", "user", encode.loo_encode_window),
     "loo_full_frame": _loo("parent_prod_id", "parent", encode.loo_encode_window, full_frame=True),
     **{f"group_mean_encode_{p}": _group_mean_encode(k) for k, p in KEY_PREFIXES.items()},
     "loo_all_keys": loo_all_keys,
     "loo_all_keys_window": loo_all_keys_window,
     "feature_job": feature_job_train,
+    "feature_job_test": feature_job_test,
+    "feature_job_lookups": feature_job_lookups,
     "lookup_join_stats": lookup_join_stats,
-    "map_encode": map_encode,
+    "lookup_join_hot": _lookup_join_hot("user_id", "user"),
+    "map_encode": _map_encode("prod_id", "prod"),
+    "map_encode_user": _map_encode("user_id", "user"),
+    "map_encode_parent": _map_encode("parent_prod_id", "parent"),
     "join_embeddings": join_embeddings,
     "embedding_alignment": embedding_alignment,
     "join_predictions": join_predictions,
@@ -623,12 +716,15 @@ QUERIES: dict[str, Query] = {
     "holdout_split": holdout_split,
     "fraction_split": fraction_split,
     "subset_sample": subset_sample,
-    "distinct_lookup": distinct_lookup,
+    "distinct_lookup": _distinct_lookup("prod_id", "prod"),
+    "distinct_lookup_user": _distinct_lookup("user_id", "user"),
+    "distinct_lookup_parent": _distinct_lookup("parent_prod_id", "parent"),
     "best_by_rmse": best_by_rmse,
     "tokenize_truncate_pad": tokenize_truncate_pad,
     "vocabulary": vocabulary,
     "encode_token_ids": encode_token_ids,
     "encode_batches": encode_batches,
+    "hashed_embeddings": hashed_embeddings,
     "encode_tfidf": encode_tfidf,
     "gram_matrix": gram_matrix,
     "ridge_fit": ridge_fit,
@@ -637,7 +733,10 @@ QUERIES: dict[str, Query] = {
     "ridge_alpha_grid": ridge_alpha_grid,
     "ridge_alpha_grid_embeddings": ridge_alpha_grid_embeddings,
     "predict_clip": predict_clip,
+    "gbt_single_tree": gbt_single_tree,
     "gbt_stats_baseline": gbt_stats_baseline,
+    "submission_job": submission_job,
+    "submission_metrics": submission_metrics,
     "loo_baseline_rmse": loo_baseline_rmse,
     "blend_weight_sweep": blend_weight_sweep,
     "weighted_blend": weighted_blend,

@@ -41,18 +41,6 @@ def read_reviews_csv(
     return rows.select(*columns) if columns else rows
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a scan with fewer tasks than the session has cores, spread over all cores by a hash
-    of ``keys``. A scan with enough tasks, as any large one has, is returned as it is. For scans
-    only: counting the tasks of a plan with shuffles would run them.
-
-    Few files that cannot be split, such as CSV with quoted line breaks, would otherwise keep all
-    later stages up to the next shuffle on as few tasks.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def write_reviews_csv(rows: DataFrame, path: str) -> None:
     """CSV that ``read_reviews_csv`` restores exactly, with spaces at the ends of texts."""
     rows.write.mode("overwrite").options(
@@ -61,10 +49,19 @@ def write_reviews_csv(rows: DataFrame, path: str) -> None:
 
 
 def convert_reviews(
-    spark: SparkSession, csv_path: str, parquet_path: str, schema: T.StructType = TRAIN_SCHEMA
+    spark: SparkSession,
+    csv_path: str,
+    parquet_path: str,
+    schema: T.StructType = TRAIN_SCHEMA,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Convert CSV reviews to Parquet once; every later scan is columnar and splittable."""
-    rows = spread(read_reviews_csv(spark, csv_path, schema), "id")
+    """Convert CSV reviews to Parquet once; every later scan is columnar and splittable.
+
+    A task writes what it read. ``partitions`` deals the rows anew by id, for a few CSV files with
+    quoted line breaks, which cannot be split and would become as few Parquet files.
+    """
+    rows = read_reviews_csv(spark, csv_path, schema)
+    rows = rows.repartition(partitions, "id") if partitions else rows
     rows.write.mode("overwrite").parquet(parquet_path)
     return spark.read.parquet(parquet_path)
 
@@ -84,13 +81,16 @@ def metrics_frame(
     best_val_rmse: Column,
     seconds: float | None = None,
     prediction: str = "rating",
+    train_rmse: Column | None = None,
 ) -> DataFrame:
-    """One row: the best validation RMSE, the run time and the nested prediction statistics."""
+    """One row: the best validation RMSE, the refitted model's RMSE on its own training rows where it
+    is given, the run time and the nested prediction statistics."""
     stats = F.struct(
         F.min(prediction).alias("min"), F.max(prediction).alias("max"), F.avg(prediction).alias("mean")
     )
     return predictions.agg(stats.alias("prediction_stats")).select(
         best_val_rmse.alias("best_val_rmse"),
+        (F.lit(None) if train_rmse is None else train_rmse).cast("double").alias("train_rmse"),
         F.lit(seconds).cast("double").alias("total_time_seconds"),
         "prediction_stats",
     )
@@ -102,7 +102,7 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     schema = (
-        "best_val_rmse double, total_time_seconds double, "
+        "best_val_rmse double, train_rmse double, total_time_seconds double, "
         "prediction_stats struct<min: double, max: double, mean: double>"
     )
     return spark.read.schema(schema).json(path)

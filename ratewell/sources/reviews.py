@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.functions.text import review_text
-from ratewell.sources.files import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,7 +14,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as reviews: user = customer, product = part and supplier, parent = part."""
-    items = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
+    items = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
     quantity = F.col("l_quantity")
     rating = F.when(quantity <= 4, 1).when(quantity <= 6, 2).when(quantity <= 10, 3).when(quantity <= 20, 4)
@@ -58,7 +57,7 @@ def text_reviews(spark: SparkSession, folder: str) -> DataFrame:
     first_break = F.instr(text, "\n")
     title = F.when(first_break > 0, F.substring(text, F.lit(1), first_break - 1)).otherwise(text)
     comment = F.when(first_break > 0, F.substring(text, first_break + 1, F.length(text)))
-    return spread(table(spark, folder, "documents"), "doc_id").select(
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
         F.nullif(title, F.lit("")).alias("title"),
         F.nullif(comment, F.lit("")).alias("comment"),

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratewell.operators import features, ridge
+from ratewell.operators import blend, features, ridge
 from ratewell.plans import training
 from ratewell.schemas import RIDGE_ALPHAS
 from ratewell.sources import reviews as source
@@ -116,3 +116,29 @@ def test_boosted_trees_and_ablation_score_no_better_than_noise_allows(table):
     scores += [r["rmse"] for r in ablation.collect()]
     assert len(scores) == 1 + 3 * len(RIDGE_ALPHAS)
     assert all(0.9 * deviation < score < 1.2 * deviation for score in scores)
+
+
+def test_missing_embeddings_are_zero_and_lose_no_row(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, key string")
+    vectors = spark.createDataFrame([("a", [1.0, 2.0])], "key string, embedding array<float>")
+    got = {r["id"]: r["embedding"] for r in training.with_embeddings(rows, vectors, 2, "key").collect()}
+    assert got == {1: [1.0, 2.0], 2: [0.0, 0.0], 3: [0.0, 0.0]}
+
+
+def test_lost_ids_are_reported(spark):
+    a = spark.createDataFrame([(1, 2.0), (2, 3.0)], "id long, rating double")
+    assert blend.join_predictions(a, a, strict=True).count() == 2
+    for other in (a.filter("id = 1"), a.filter("id < 0"), a.unionByName(a.filter("id = 1"))):
+        with pytest.raises(ValueError, match="ids differ"):
+            blend.join_predictions(a, other, strict=True)
+
+
+def test_submission_scores_every_test_row(spark, tmp_path):
+    rows = source.reviews(spark, SMALL)
+    train, test = rows.filter(F.crc32("id") % 4 > 0), rows.filter(F.crc32("id") % 4 == 0).drop("rating")
+    vectors = spark.createDataFrame([("1", [0.5]), ("2", [-0.5])], "parent_prod_id string, embedding array<double>")
+    made = training.run_submission(train, test, vectors, 1, str(tmp_path), "parent_prod_id")
+    scores = made["predictions"].agg(F.count("rating"), F.min("rating"), F.max("rating")).first()
+    assert scores[0] == test.count() and 1.0 <= scores[1] <= scores[2] <= 5.0
+    metrics = made["metrics"].first()
+    assert 0.5 < metrics["train_rmse"] < 2 and 0.5 < metrics["best_val_rmse"] < 2

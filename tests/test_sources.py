@@ -45,12 +45,13 @@ def test_csv_written_by_hand(spark, tmp_path):
     assert rows[8]["votes"] is None and rows[8]["purchased"] is None and rows[8]["rating"] is None
 
 
-def test_only_scans_with_few_tasks_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, cores)
-    spread = files.spread(few, "id")
-    assert spread.rdd.getNumPartitions() == cores and spread.count() == 100
-    assert files.spread(many, "id") is many
+def test_conversion_deals_rows_anew_on_request_only(spark, tmp_path):
+    rows = spark.range(100).select("id")
+    files.write_reviews_csv(rows.coalesce(1), f"{tmp_path}/csv")
+    one = files.convert_reviews(spark, f"{tmp_path}/csv", f"{tmp_path}/one", rows.schema)
+    more = files.convert_reviews(spark, f"{tmp_path}/csv", f"{tmp_path}/more", rows.schema, partitions=4)
+    assert len(one.inputFiles()) == 1 and len(more.inputFiles()) == 4
+    assert one.count() == more.count() == 100
 
 
 def test_corrupt_rows_are_kept_on_request(spark, tmp_path):

@@ -51,3 +51,9 @@ def test_fraction_split_is_disjoint_complete_and_near_the_share(rows):
     train, val = members(cut, "train"), members(cut, "val")
     assert not train & val and len(train | val) == 3_000
     assert 0.77 < len(train) / 3_000 < 0.83
+
+
+def test_null_ids_and_empty_rows(spark, rows):
+    with_null = rows.unionByName(spark.sql("select cast(null as bigint) as id"))
+    assert members(split.holdout_split(with_null, 5), "val") == set(by_hash(rows)[:5])
+    assert split.subset_sample(rows.filter("id < 0"), 5).count() == 0

@@ -90,6 +90,13 @@ def test_encode_batches_is_independent_of_batches_and_partitions(rows):
     assert first[1_000] == [0.0] * 16
 
 
+def test_hashed_embeddings_equal_the_loaded_encoder(rows):
+    loaded = {r["id"]: r["embedding"] for r in encoders.encode_batches(rows, encoders.hashing_encoder(16)).collect()}
+    built_in = {r["id"]: r["embedding"] for r in encoders.hashed_embeddings(rows, 16).collect()}
+    assert built_in.keys() == loaded.keys()
+    assert all(built_in[i] == pytest.approx(loaded[i], abs=1e-6) for i in loaded)
+
+
 def test_encoder_is_loaded_per_task_and_given_whole_texts(spark):
     long_text = "x " * 50_000
     frame = spark.createDataFrame([(1, long_text), (2, "y")], "id long, text string").coalesce(1)
