@@ -32,6 +32,9 @@ HEADLINE = [
     "encode_batches",
     "blend_weight_sweep",
     "holdout_split",
+    "subset_sample",
+    "standardize",
+    "hashed_embeddings",
 ]
 
 # Published rows and seconds of the feature job on its cluster.

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratewell.operators import encode, joins, split, stats, text
+from ratewell.plans import feature_job
 from ratewell.queries import QUERIES
 from ratewell.sources import reviews as source
 
@@ -117,3 +118,18 @@ def test_holdout_moves_no_row(spark):
     rows = spark.range(1_000).withColumn("text", F.lit("x"))
     plan = planned(split.holdout_split(rows, 10)).split("Subquery")[0]
     assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("name, scans", [("loo_all_keys", 1), ("loo_all_keys_window", 1), ("lookup_join_stats", 1)])
+def test_rows_are_scanned_once_beside_the_written_totals(spark, name, scans):
+    plan = planned(QUERIES[name](spark, SMALL)).split("Initial Plan")[0]
+    assert len(re.findall(r"lineitem\.parquet", plan)) == scans
+
+
+def test_no_text_moves_in_the_feature_job(spark, tmp_path):
+    rows = source.reviews(spark, SMALL).withColumns({"title": F.lit("a title"), "comment": F.lit("a long text")})
+    rows.write.parquet(f"{tmp_path}/reviews")
+    train = spark.read.parquet(f"{tmp_path}/reviews")
+    written = feature_job.run_feature_job(train, train.drop("rating"), f"{tmp_path}/out")
+    assert not {"title", "comment"} & {c for table in written.values() for c in table.columns}
+    assert written["train"].count() == written["test"].count() == rows.count()
