@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +15,9 @@ from ratewell.llm.common import saved
 FUNCTIONS = 128
 #: Bands of a fingerprint: at a likeness of 0.8 two texts share none with a chance of 5e-8.
 BANDS = 32
-#: Ids are dealt to ranges of so many rows on average, but to at most ``MOST_RANGES`` ranges.
-RANGE_ROWS, MOST_RANGES = 4_000, 10_000
+#: Ids are dealt to ranges of so many rows on average, but to at most ``MOST_RANGES`` ranges, whose
+#: bounds are quantiles of about ``SAMPLED`` ids a range.
+RANGE_ROWS, MOST_RANGES, SAMPLED = 4_000, 10_000, 64
 
 
 def bytes_of(texts: list[str]):
@@ -44,6 +48,28 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, fingerprint string")
 
 
+def with_range(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``range``: ranges of ``doc_id`` follow each other and hold about equally many rows,
+    however the ids lie. Null ids are range -1.
+
+    The bounds come from a sample of ids; they only decide which task gets a row, so that no result
+    depends on the sample. Equal ids, and those that doubles can't tell apart, share a range.
+    """
+    n = docs.count()
+    ranges = max(1, min(n // RANGE_ROWS, MOST_RANGES))
+    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).sample(min(1.0, SAMPLED * ranges / max(n, 1)), seed=8)
+    shares = [part / ranges for part in range(1, ranges)]
+    found = ids.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] if shares else None
+    bounds = sorted({float(bound) for bound in found or []})
+    known = F.col("doc_id").isNotNull()
+    if not bounds:
+        return docs.withColumn("range", F.when(known, 0).otherwise(-1))
+    splits = [-math.inf, *bounds, math.inf]
+    number = Bucketizer(splits=splits, inputCol="_place", outputCol="range", handleInvalid="keep")
+    rows = number.transform(docs.withColumn("_place", F.col("doc_id").cast("double"))).drop("_place")
+    return rows.withColumn("range", F.when(known, F.col("range").cast("int")).otherwise(-1))
+
+
 def ranged(docs: DataFrame) -> DataFrame:
     """Rows in ascending ``doc_id`` (ties by a hash of the text, nulls first) within ranges that follow
     each other; the last row of a range is followed by a copy of the next range's first row, marked
@@ -53,10 +79,7 @@ def ranged(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = ((high or 0) - (low or 0)) // max(1, min(n // RANGE_ROWS, MOST_RANGES)) + 1
-    number = F.floor((F.col("doc_id") - F.lit(low or 0)) / width).cast("bigint")
-    rows = rows.withColumn("range", F.coalesce(number, F.lit(-1)))
+    rows = with_range(rows)
     # A struct orders by its first field; false before true puts null ids first.
     key = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
     firsts = saved(rows.groupBy("range").agg(F.min(key).alias("key")), "ranges")

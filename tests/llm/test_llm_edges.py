@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import collections
+import hashlib
 
 import pytest
 from public_tokenizers import PATTERN, path
@@ -155,6 +156,21 @@ def test_edited_fingerprints(docs):
     assert [tuple(r)[5:] for r in minhash.edited_fingerprints(docs.where("doc_id = 1")).collect()][0][1] == 1.0
 
 
+def test_ranges_of_uneven_ids(spark, monkeypatch):
+    """A few far ids don't put all others into one range, and the next document is found across ranges."""
+    monkeypatch.setattr(minhash, "RANGE_ROWS", 20)
+    far = [-(1 << 62), 1 << 62, (1 << 62) + 1]
+    rows = [(i, f"words of text number {i} and {i * i} more") for i in [*range(400), *far]]
+    frame = spark.createDataFrame([*rows, (None, "no id")], "doc_id long, text string").repartition(5)
+    sizes = {r["range"]: r["count"] for r in minhash.with_range(frame).groupBy("range").count().collect()}
+    assert sizes.pop(-1) == 1 and len(sizes) > 15 and max(sizes.values()) < 60
+    texts = ["no id"] + [text for _, text in sorted(rows)]
+    edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(texts, [*texts[1:], texts[0]])]
+    want = collections.Counter(hashlib.sha256(text.encode()).hexdigest() for text in edited)
+    found = minhash.edited_fingerprints(frame).collect()
+    assert collections.Counter(row.edited_sha256 for row in found) == want
+
+
 def test_urls(spark):
     rules = [("block", "net", "/"), ("allow", "org", "/")]
     rows = [(i, f"http://a.{'net' if i % 2 else 'org'}/{'bad' if i % 2 else 'fine'}/{i}") for i in range(40)]
