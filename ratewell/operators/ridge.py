@@ -1,9 +1,9 @@
 """Ridge regression with an unpenalised intercept.
 
-The normal equations need one pass over the rows: each task adds up its own Gram matrix with
-BLAS, Spark adds the matrices row by row, and the driver solves a system whose size depends on
-the number of features alone. One pass serves every penalty and, kept per split, every subset
-of splits.
+The normal equations need one pass over the rows, after one for the means that they are centred on:
+each task adds up its own Gram matrix with BLAS, Spark adds the matrices row by row, and the driver
+solves a system whose size depends on the number of features alone. The matrices serve every
+penalty and, kept per split, every subset of splits.
 """
 
 from __future__ import annotations
@@ -35,15 +35,37 @@ def _matrix(values: pa.Array, rows: int) -> np.ndarray:
     return flat.astype(np.float64, copy=False).reshape(rows, -1)
 
 
-def gram(rows: DataFrame, features: str = "features", target: str = "rating", split: str = "split") -> DataFrame:
+def _check_width(width: int) -> None:
+    if width > MAX_FEATURES:
+        raise ValueError(f"at most {MAX_FEATURES} features")
+
+
+def feature_means(rows: DataFrame, features: str = "features", target: str = "rating") -> np.ndarray:
+    """Means of the features and the target over rows with a target; nulls count as 0. The widest row
+    is found first, so that a width whose means would not fit is refused without adding them up."""
+    _check_width(rows.agg(F.max(F.size(features))).first()[0] or 0)
+    values = F.transform(F.col(features), lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))
+    rated = rows.filter(F.col(target).isNotNull() & F.col(features).isNotNull())
+    vector = array_to_vector(F.concat(values, F.array(F.col(target).cast("double"))))
+    means = rated.agg(vector_to_array(Summarizer.mean(vector))).first()[0]
+    return np.array(means if means is not None else [0.0])
+
+
+def gram(
+    rows: DataFrame,
+    features: str = "features",
+    target: str = "rating",
+    split: str = "split",
+    shift: np.ndarray | None = None,
+) -> DataFrame:
     """``(split, i, values)``: row ``i`` of ``ZᵀZ`` with ``Z = [1, features, target]``, per split.
 
-    Rows without a target are left out. The widest row is found before the pass that adds up the
-    matrices, so that a width whose matrix would not fit is refused without running it.
+    With ``shift``, features and target are taken less these numbers. Rows without a target are left
+    out. The width is known before the pass that adds up the matrices, so that one whose matrix
+    would not fit is refused without running it.
     """
-    widest = rows.agg(F.max(F.size(features))).first()[0] or 0
-    if widest > MAX_FEATURES:
-        raise ValueError(f"at most {MAX_FEATURES} features")
+    if shift is None:
+        _check_width(rows.agg(F.max(F.size(features))).first()[0] or 0)
 
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -53,6 +75,8 @@ def gram(rows: DataFrame, features: str = "features", target: str = "rating", sp
             x = _matrix(batch.column(1), batch.num_rows)
             y = batch.column(2).to_numpy(zero_copy_only=False)
             z = np.column_stack([np.ones(len(y)), x, y])
+            if shift is not None:
+                z[:, 1:] -= shift
             labels = np.asarray(batch.column(0).to_pylist(), dtype=object)
             for label in dict.fromkeys(labels):
                 part = z[labels == label]
@@ -84,6 +108,18 @@ def gram_matrices(gram_rows: DataFrame) -> dict[str, np.ndarray]:
     return {split: np.array([parts[i] for i in sorted(parts)]) for split, parts in found.items()}
 
 
+def centred_grams(
+    rows: DataFrame, features: str = "features", target: str = "rating", split: str = "split"
+) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The matrix of each split with features and target less their means over all rows, and the means.
+
+    Sums of products of raw columns are far larger than the spread that the fit needs from them, and
+    lose it to rounding when means are large or rows are many; sums around the means keep it.
+    """
+    means = feature_means(rows, features, target)
+    return gram_matrices(gram(rows, features, target, split, means)), means
+
+
 @dataclass(frozen=True)
 class RidgeModel:
     alpha: float
@@ -93,15 +129,19 @@ class RidgeModel:
 
 
 def solve_ridge(
-    matrix: np.ndarray, alpha: float, places: np.ndarray | None = None, name: str = "all"
+    matrix: np.ndarray,
+    alpha: float,
+    places: np.ndarray | None = None,
+    name: str = "all",
+    shift: np.ndarray | None = None,
 ) -> RidgeModel:
     """Closed form from one Gram matrix: centre, penalise, solve, recover the intercept.
 
-    ``places`` restricts the fit to some features; the others get coefficient 0.
+    ``places`` restricts the fit to some features; the others get coefficient 0. ``shift`` is what the
+    matrix's features and target were taken less.
     """
     width = len(matrix) - 2
-    if width > MAX_FEATURES:
-        raise ValueError(f"at most {MAX_FEATURES} features")
+    _check_width(width)
     places = np.arange(width) if places is None else places
     n, means, target = matrix[0, 0], matrix[0, 1:-1][places] / matrix[0, 0], matrix[0, -1] / matrix[0, 0]
     products = matrix[1:-1, 1:-1][np.ix_(places, places)]
@@ -110,14 +150,17 @@ def solve_ridge(
     solved = np.linalg.solve(centred + alpha * np.eye(len(places)), with_target)
     coefficients = np.zeros(width)
     coefficients[places] = solved
-    return RidgeModel(float(alpha), coefficients, float(target - means @ solved), name)
+    intercept = target - means @ solved
+    if shift is not None:
+        intercept += shift[-1] - shift[:-1] @ coefficients
+    return RidgeModel(float(alpha), coefficients, float(intercept), name)
 
 
 def ridge_fit(
     rows: DataFrame, alpha: float = 1.0, features: str = "features", target: str = "rating"
 ) -> RidgeModel:
-    matrices = gram_matrices(gram(rows.withColumn("_all", F.lit("all")), features, target, "_all"))
-    return solve_ridge(matrices["all"], alpha)
+    matrices, means = centred_grams(rows.withColumn("_all", F.lit("all")), features, target, "_all")
+    return solve_ridge(matrices["all"], alpha, shift=means)
 
 
 def ridge_fit_mllib(
@@ -194,12 +237,12 @@ def ridge_alpha_grid(
     """Fit each penalty on ``train``, score it on ``val``, refit the best on both.
 
     Gram matrices add up, so the refit needs no further pass over the rows. The features are kept
-    while the width, the matrices and the scores are read; the scores, a row per penalty, are fetched.
+    while the width, means, matrices and scores are read; the scores, a row per penalty, are fetched.
     """
     with pinned(rows.select(features, target, split)) as kept:
-        matrices = gram_matrices(gram(kept, features, target, split))
-        models = [solve_ridge(matrices["train"], alpha) for alpha in alphas]
+        matrices, means = centred_grams(kept, features, target, split)
+        models = [solve_ridge(matrices["train"], alpha, shift=means) for alpha in alphas]
         scores = score_models(kept.filter(F.col(split) == "val"), models, features, target).drop("name")
         scores = rows.sparkSession.createDataFrame(scores.collect(), scores.schema)
     best = best_by_rmse(scores, "alpha").first()["alpha"]
-    return GridResult(scores, solve_ridge(matrices["train"] + matrices["val"], best))
+    return GridResult(scores, solve_ridge(matrices["train"] + matrices["val"], best, shift=means))

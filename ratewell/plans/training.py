@@ -17,7 +17,7 @@ from ratewell.operators.features import (
     standardize,
 )
 from ratewell.operators.joins import lookup_join
-from ratewell.operators.ridge import gram, gram_matrices, predict, ridge_alpha_grid, score_models, solve_ridge
+from ratewell.operators.ridge import centred_grams, predict, ridge_alpha_grid, score_models, solve_ridge
 from ratewell.operators.split import fraction_split
 from ratewell.operators.trees import gbt_fit, gbt_predict
 from ratewell.plans.feature_job import build_lookup_tables, lookups
@@ -126,7 +126,8 @@ def ablation_table(
     """
     embedding = "embedding" if any(FEATURE_SUBSETS[name][1] for name in subsets) else None
     rows = features.select("rating", "split", feature_array(NUMERIC_COLUMNS, embedding).alias("features"))
-    matrix = gram_matrices(gram(rows.filter(F.col("split") == "train")))["train"]
+    matrices, means = centred_grams(rows.filter(F.col("split") == "train"))
+    matrix = matrices["train"]
     width = len(matrix) - 2
     offset = width - len(NUMERIC_COLUMNS)
     models = []
@@ -134,7 +135,7 @@ def ablation_table(
         columns, with_embedding = FEATURE_SUBSETS[name]
         places = list(range(offset)) if with_embedding else []
         places += [offset + NUMERIC_COLUMNS.index(c) for c in columns]
-        models += [solve_ridge(matrix, alpha, np.array(places), name) for alpha in alphas]
+        models += [solve_ridge(matrix, alpha, np.array(places), name, means) for alpha in alphas]
     scores = score_models(rows.filter(F.col("split") == "val"), models)
     table = scores.select(F.lit("ridge").alias("model"), F.col("name").alias("features"), "alpha", "rmse")
     for name in tree_subsets:

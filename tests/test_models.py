@@ -35,6 +35,19 @@ def test_ridge_equals_closed_form(data, alpha):
     assert model.intercept == pytest.approx(b, abs=1e-10)
 
 
+def test_ridge_keeps_small_spread_around_large_means(spark):
+    """Raw sums of products would lose the spread of the features altogether."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (300, 3)) + np.array([1e9, -3e9, 0.0])
+    y = 3 + 0.01 * (x - [1e9, -3e9, 0.0]) @ np.array([50.0, -30.0, 20.0])
+    rows = [(i, [float(v) for v in x[i]], float(y[i])) for i in range(300)]
+    frame = spark.createDataFrame(rows, "id long, features array<double>, rating double").repartition(3)
+    w, _ = closed_form(x, y, 1.0)
+    model = ridge.ridge_fit(frame, 1.0)
+    assert model.coefficients == pytest.approx(w, abs=1e-6)
+    assert x @ model.coefficients + model.intercept == pytest.approx(x @ w + y.mean() - x.mean(0) @ w, abs=1e-4)
+
+
 def test_mllib_penalty_is_converted(data):
     x, y, _, frame = data
     w, b = closed_form(x, y, 5.0)
