@@ -14,7 +14,7 @@ SMALL = 32
 #: agreement of 64 values is lower with a chance under 1e-11.
 LOOSE = 0.4
 #: A task verifies two blocks of about so many nodes, and shingles, at most.
-BLOCK_NODES, BLOCK_SHINGLES = 1500, 2_000_000
+BLOCK_NODES, BLOCK_SHINGLES = 500, 500_000
 
 
 def nodes(docs: DataFrame, functions: int) -> tuple[DataFrame, DataFrame]:
