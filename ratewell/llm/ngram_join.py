@@ -15,22 +15,41 @@ from ratewell.llm.common import saved
 TOKENS = 64
 #: Buckets are counted after the first level of splitting and then after every fifth; what is still
 #: together in a large bucket at the last count becomes one candidate group.
-COUNTS, STRIDE = 3, 5
+STRIDE = 5
+#: So often, each time on its own paths, are the nodes of a large bucket split after a count that isn't the last.
+AGAIN = (4, 3)
 #: A node this close to a large bucket's pivot has all its links among the nodes that are ``NEAR`` it, as
 #: distances add up: 1 - 0.75 + 1 - 0.8 leaves a similarity of 0.55 to the pivot.
 CLOSE, NEAR = 0.75, 0.3
 
 
-def runs_for(recall: float, depth: int = 3) -> int:
-    """Runs after which a pair at the threshold has met in some bucket with a chance of ``recall``.
+def chance(runs: int, again: tuple[int, ...] = AGAIN, similarity: float = 0.8) -> float:
+    """The chance that a pair at ``similarity`` meets in some bucket of the last count, where its buckets
+    were large at all others: one level from the root in each of ``runs``, then ``STRIDE`` levels in each
+    of ``again`` after every count.
 
-    One run keeps such a pair together through a level of splitting as a branching process with one
-    shared child on average does: with a chance of 1 - 1/e at the first level, and so on.
+    Through a level a pair goes as a branching process with one shared child on average does. The
+    values that its two sketches share are the same in all runs, hence the mean over their number.
     """
-    alive = 1.0
-    for _ in range(depth):
-        alive = 1 - math.exp(-alive)
-    return math.ceil(math.log(1 - recall) / math.log(1 - alive))
+    places = 1 / (similarity * TOKENS)
+    found = 0.0
+    for shared in range(TOKENS + 1):
+        alive = 1.0
+        for repeats, levels in reversed([(runs, 1), *((n, STRIDE) for n in again)]):
+            for _ in range(levels):
+                alive = 1 - (1 - alive * places) ** shared
+            alive = 1 - (1 - alive) ** repeats
+        found += math.comb(TOKENS, shared) * similarity**shared * (1 - similarity) ** (TOKENS - shared) * alive
+    return found
+
+
+def runs_for(recall: float) -> int:
+    """Runs after which a pair at the threshold has met with a chance of ``recall``, whichever count its
+    buckets are small at."""
+    runs = 1
+    while min(chance(runs, AGAIN[:n]) for n in range(len(AGAIN) + 1)) < recall:
+        runs += 1
+    return runs
 
 
 def child_paths(paths, sketches, similarity: float):
@@ -47,9 +66,19 @@ def child_paths(paths, sketches, similarity: float):
     return row, mix(mix(paths[row] + places[place]) ^ (value * np.uint64(0xC2B2AE3D27D4EB4F)))
 
 
-def split(rows: DataFrame, similarity: float, runs: int = 0) -> DataFrame:
+def other_paths(paths, again: int) -> list:
+    """``again`` arrays of starts that are unrelated to each other, equal where ``paths`` are equal."""
+    import numpy as np
+
+    from ratewell.llm.shingles import mix
+
+    return [mix(paths ^ mix(np.full(1, 104729 * (k + 1), np.uint64))) for k in range(again)]
+
+
+def split(rows: DataFrame, similarity: float, runs: int = 0, again: int = 1) -> DataFrame:
     """``(bucket, node)`` further down: one level below the root for each of ``runs``, or else ``STRIDE``
-    levels below ``bucket``. ``rows`` has ``node, sketch`` and, without runs, ``bucket``, the path so far."""
+    levels below ``bucket``, ``again`` times by different paths. ``rows`` has ``node, sketch`` and, without
+    runs, ``bucket``, the path so far."""
 
     def run(batches):
         import numpy as np
@@ -61,7 +90,7 @@ def split(rows: DataFrame, similarity: float, runs: int = 0) -> DataFrame:
             sketches = np.stack([np.frombuffer(raw, np.uint32) for raw in batch["sketch"]])
             nodes = batch["node"].to_numpy()
             starts = [np.full(len(batch), 7919 * (r + 1), np.uint64) for r in range(runs)]
-            for path in starts or [batch["bucket"].to_numpy(np.int64).view(np.uint64)]:
+            for path in starts or other_paths(batch["bucket"].to_numpy(np.int64).view(np.uint64), again):
                 row = np.arange(len(batch))
                 for _ in range(1 if runs else STRIDE):
                     parent, path = child_paths(path, sketches[row], similarity)
@@ -96,7 +125,7 @@ def candidate_edges(nodes: DataFrame, similarity: float, recall: float) -> DataF
     """Edges between nodes such that two similar nodes are connected with a chance of ``recall`` at least."""
     sketches = active = nodes.select("node", "sketch")
     level, edges, small = split(sketches, similarity, runs_for(recall)), [], []
-    for last in [False] * (COUNTS - 1) + [True]:
+    for again in (*AGAIN, 0):
         rows = saved(groups.counted_buckets(saved(level, "paths")), "buckets")
         small.append(rows.where(F.col("size") <= groups.SMALL).select("bucket", "node"))
         large = rows.where(F.col("size") > groups.SMALL)
@@ -105,11 +134,12 @@ def candidate_edges(nodes: DataFrame, similarity: float, recall: float) -> DataF
         large = saved(large.select("bucket", "node", "pivot").join(active, "node"), "large")
         pivots = large.where(F.col("node") == F.col("pivot")).select("bucket", F.col("sketch").alias("pivot_sketch"))
         large = saved(with_agreement(large.join(pivots, "bucket")), "agreement")
-        near = F.col("agreement") >= (0 if last else NEAR)
+        near = F.col("agreement") >= (NEAR if again else 0)
         edges.append(large.where(near).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
         apart = large.where(F.col("agreement") < CLOSE)
-        active = saved(apart.select("node", "sketch").dropDuplicates(["node"]), "apart")
-        level = split(apart, similarity)
+        if again:
+            active = saved(apart.select("node", "sketch").dropDuplicates(["node"]), "apart")
+            level = split(apart, similarity, again=again)
     # Small buckets of all counts together: sketches move once for all of them.
     out = reduce(DataFrame.unionByName, small).join(sketches, "node")
     return reduce(DataFrame.unionByName, edges, groups.small_bucket_edges(out))
@@ -121,8 +151,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, recall: float = 0.
 
     Equal sets are one node. Nodes are split recursively on sampled tokens that they share; small
     buckets are compared by brute force, and in large ones the nodes near the bucket's pivot form a
-    candidate group while the others are split further. Enough runs are made that a pair at the
-    threshold is found with a chance of ``recall``. Candidates are verified on whole sets.
+    candidate group while the others are split further, several times over. Enough runs are made that
+    a pair at the threshold is found with a chance of ``recall``, also where its buckets stay large
+    down to the last count. Candidates are verified on whole sets.
 
     ``groups.linked`` states what null, empty and repeated texts give.
     """

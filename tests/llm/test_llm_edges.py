@@ -3,6 +3,7 @@
 import collections
 import hashlib
 
+import numpy as np
 import pytest
 from public_tokenizers import PATTERN, path
 from pyspark.sql import functions as F
@@ -113,6 +114,40 @@ def test_split_groups_give_the_same_links(spark, monkeypatch):
     assert {row[1] for row in whole} == {0}
 
 
+def test_pairs_in_large_buckets_are_found(spark):
+    """Sketches of frequent values only, as of texts made of frequent passages: all first buckets are large."""
+    random, n = np.random.default_rng(11), 1000
+    one = random.integers(0, 20, (n, ngram_join.TOKENS)).astype(np.uint32)
+    other = np.where(random.random(one.shape) < 0.8, one, random.integers(0, 20, one.shape)).astype(np.uint32)
+    rows = [(i, bytearray(sketch.tobytes())) for i, sketch in enumerate(np.concatenate([one, other]))]
+    nodes = saved(spark.createDataFrame(rows, "node bigint, sketch binary"), "frequent-sketches")
+    found = {(max(e), min(e)) for e in ngram_join.candidate_edges(nodes, 0.8, 0.999).collect()}
+    assert sum((i + n, i) in found for i in range(n)) >= 0.997 * n
+
+
+def test_runs_suit_the_depth():
+    """Sketches at the threshold, walked to each count: as many pairs meet as promised."""
+    runs, n = ngram_join.runs_for(0.999), 1500
+    random = np.random.default_rng(12)
+    one = random.integers(0, 1 << 32, (n, ngram_join.TOKENS), dtype=np.uint32)
+    both = np.concatenate([one, np.where(random.random(one.shape) < 0.8, one, one + np.uint32(1))])
+    row = np.arange(2 * n)
+    roots = [ngram_join.child_paths(np.full(2 * n, 7919 * (r + 1), np.uint64), both, 0.8) for r in range(runs)]
+    row, path = (np.concatenate(part) for part in zip(*roots))
+    for again in ngram_join.AGAIN:
+        starts = ngram_join.other_paths(path, again)
+        row, path = np.tile(row, again), np.concatenate(starts)
+        for _ in range(ngram_join.STRIDE):
+            parent, path = ngram_join.child_paths(path, both[row], 0.8)
+            row = row[parent]
+        first, other = ({(r % n, p) for r, p in zip(row[side].tolist(), path[side].tolist())} for side in (row < n, row >= n))
+        met = {r for r, _ in first & other}
+        assert len(met) >= 0.997 * n
+        # Whoever met goes on; the others can't meet any more.
+        together = np.array([(r % n, p) in first and (r % n, p) in other for r, p in zip(row.tolist(), path.tolist())])
+        row, path = row[together], path[together]
+
+
 def test_nearest(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 0.0]) for i in range(40)] + [(40, [0.0, 1.0]), (41, [2.0, 1.0]), (41, [2.0, 1.0])]
