@@ -14,25 +14,20 @@ from ratewell.llm.common import remainder, saved, table  # noqa: E402
 from ratewell.llm.queries import QUALITY_FROM, TOXIC_FROM, tokenizer_file  # noqa: E402
 
 
-def _kept(docs: DataFrame, scores: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id has a score row left. Rows of one id stand or fall by themselves only if
-    their texts agree; with several texts the id stays if one of them does."""
-    ids = scores.select("doc_id").distinct()
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_semi")
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier doesn't reject, learned as in ``op3``."""
+    """Documents that the toxicity classifier doesn't reject, learned as in ``op3``; each row by its own text."""
     labels = table(spark, sf_dir, "labels")
-    model, rows = toxicity.fit_and_margins(docs, labels, remainder("doc_id", 5) != 0)
-    return _kept(docs, rows.where(model.score() < TOXIC_FROM))
+    model, _ = toxicity.fit_and_margins(docs, labels, remainder("doc_id", 5) != 0)
+    limit = TOXIC_FROM
+    return model.rows_where(docs, lambda score: score < limit)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts, learned as in ``op1`` from those that are left."""
+    """Documents that the quality classifier accepts, learned as in ``op1`` from those that are left; each row by its own text."""
     labels = table(spark, sf_dir, "labels")
-    model, rows = quality.fit_and_margins(docs, labels, remainder("doc_id", 4) != 2)
-    return _kept(docs, rows.where(model.score() >= QUALITY_FROM))
+    model, _ = quality.fit_and_margins(docs, labels, remainder("doc_id", 4) != 2)
+    limit = QUALITY_FROM
+    return model.rows_where(docs, lambda score: score >= limit)
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.llm import shingles
@@ -17,9 +17,16 @@ LOOSE = 0.4
 BLOCK_NODES, BLOCK_SHINGLES = 500, 500_000
 
 
+def text_key(text) -> Column:
+    """Digest of a text; null counts as empty."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def nodes(docs: DataFrame, functions: int) -> tuple[DataFrame, DataFrame]:
-    """``(node, set_id, copies, first_doc, size, sketch)`` per distinct non-empty shingle set, and
-    ``(doc_id, set_id)`` per row; both written. ``sketch`` holds MinHash values, 32 bits each."""
+    """``(node, set_id, copies, first_doc, first_key, size, sketch)`` per distinct non-empty shingle set, and
+    ``(doc_id, text_key, set_id)`` per row; both written. ``sketch`` holds MinHash values, 32 bits each.
+
+    ``text_key`` tells apart the texts of one id, or of no id; ``first_key`` is that of ``first_doc``'s text."""
 
     def run(batches):
         import hashlib
@@ -33,25 +40,27 @@ def nodes(docs: DataFrame, functions: int) -> tuple[DataFrame, DataFrame]:
             prints = shingles.signatures(texts, functions)
             columns = [
                 batch.column("doc_id"),
+                batch.column("text_key"),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], pa.string()),
                 pa.array(np.array([len(s) for s in sets], np.int32), pa.int32()),
                 pa.array([row.tobytes() for row in prints], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set_id", "size", "sketch"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "set_id", "size", "sketch"])
 
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", text_key(docs.text).alias("text_key"), "text")
     kind = dict(rows.dtypes)["doc_id"]
-    rows = rows.mapInArrow(run, f"doc_id {kind}, set_id string, size int, sketch binary")
+    rows = rows.mapInArrow(run, f"doc_id {kind}, text_key string, set_id string, size int, sketch binary")
     rows = saved(rows, "shingle-sets")
     found = rows.where(F.col("set_id").isNotNull()).groupBy("set_id")
     found = found.agg(
         F.count("*").alias("copies"),
-        F.min("doc_id").alias("first_doc"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"),
         F.first("size").alias("size"),
         F.first("sketch").alias("sketch"),
     )
-    found = found.select(F.monotonically_increasing_id().alias("node"), "*")
-    return saved(found, "nodes"), rows.select("doc_id", "set_id")
+    first = (F.col("first.doc_id").alias("first_doc"), F.col("first.text_key").alias("first_key"))
+    found = found.select(F.monotonically_increasing_id().alias("node"), "set_id", "copies", *first, "size", "sketch")
+    return saved(found, "nodes"), rows.select("doc_id", "text_key", "set_id")
 
 
 def close_nodes(one, other):
@@ -199,27 +208,41 @@ def block_links(rows: list[tuple], similarity: float, cross: bool):
 
 
 def linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
-    """Verify candidates exactly: ``(doc_id, class_id, copy_id, n_links)`` for every row of ``docs``.
+    """``(doc_id, class_id, copy_id, n_links)`` for every row of ``docs``, from ``linked_sets``.
+
+    Null texts count as empty; a text without words has no links and its own id as both ids. A text
+    of fewer than five words has one shingle, all its words. Repeated rows are copies. Null ids are
+    kept; they are a class's id only if it has no other.
+    """
+    out = members.join(linked_sets(docs, nodes, edges, similarity), "set_id", "left")
+    alone = F.col("set_id").isNull()
+    return out.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+    )
+
+
+def linked_sets(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
+    """Verify candidates exactly: ``(set_id, class_id, class_key, copy_id, n_links)`` for every shingle set.
 
     Candidate edges only tell which nodes to bring together; within a candidate group every pair is
     compared on whole shingle sets, in blocks, so that a group of any size is split among tasks and
     pairs never leave a task as rows. ``n_links`` counts the other rows whose similarity is at least
     ``similarity``, copies included. ``class_id`` is the smallest id that links lead to, ``copy_id``
-    the smallest id with an equal shingle set.
-
-    Null texts count as empty; a text without words has no links and its own id as both ids. A text
-    of fewer than five words has one shingle, all its words. Repeated rows are copies. Null ids are
-    kept; they are a class's id only if it has no other.
+    the smallest id with an equal shingle set. ``class_key`` tells which text of ``class_id`` is meant.
     """
-    groups = components(edges).join(nodes.select("node", "set_id", "copies", "first_doc", "size"), "node")
+    facts = nodes.select("node", "set_id", "copies", "first_doc", "first_key", "size")
+    groups = components(edges).join(facts, "node")
     groups = saved(groups, "candidates")
     sizes = groups.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     groups = groups.join(sizes.select("root", blocks.alias("blocks")), "root")
     groups = groups.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col("doc_id").alias("first_doc"), F.coalesce("text", F.lit("")).alias("text"))
-    # Both sides are dealt by the id; rows of an id with another text drop out by the set's digest.
-    same = texts.first_doc.eqNullSafe(groups.first_doc)
+    texts = docs.select(F.col("doc_id").alias("id"), text_key(docs.text).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    # Both sides are dealt by id and text, so that rows without an id meet their own node only.
+    same = texts.id.eqNullSafe(groups.first_doc) & (texts.key == groups.first_key)
     rows = texts.join(groups, same).select("root", "blocks", "block", "node", "copies", "set_id", "text")
 
     def to_sets(batches):
@@ -272,16 +295,10 @@ def linked(docs: DataFrame, nodes: DataFrame, members: DataFrame, edges: DataFra
     # Only groups that were split among tasks have parts to connect.
     parts = components(found.where("split").select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = whole.unionByName(parts)
-    facts = nodes.select("node", "set_id", "copies", "first_doc").join(roots, "node", "left")
+    facts = facts.join(roots, "node", "left")
     facts = facts.withColumn("root", F.coalesce("root", "node")).join(counts, "node", "left")
-    classes = facts.groupBy("root").agg(F.min("first_doc").alias("class_id"))
+    first = F.min(F.struct(F.col("first_doc").isNull().alias("none"), "first_doc", "first_key"))
+    classes = facts.groupBy("root").agg(first.alias("first"))
+    classes = classes.select("root", F.col("first.first_doc").alias("class_id"), F.col("first.first_key").alias("class_key"))
     links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
-    facts = facts.join(classes, "root").select("set_id", "class_id", F.col("first_doc").alias("copy_id"), links)
-    out = members.join(facts, "set_id", "left")
-    alone = F.col("set_id").isNull()
-    return out.select(
-        "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-    )
+    return facts.join(classes, "root").select("set_id", "class_id", "class_key", F.col("first_doc").alias("copy_id"), links)

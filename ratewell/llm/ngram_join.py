@@ -163,14 +163,20 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, recall: float = 0.
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """One document of each group of near duplicates: the row that has its class's id.
+    """One document of each group of near duplicates: the row that has its class's id, and of several texts
+    under that id the one that the class is named after.
 
     Rows of equal id and text are one document, of which one row stays. Documents without words
-    stay, as they have no near duplicates. Texts that differ under one id are told apart.
+    stay, as they have no near duplicates. Texts that differ under one id, or without an id, stand or
+    fall by themselves.
     """
-    found = near_duplicates(docs, similarity)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    rows = docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    nodes, members = groups.nodes(docs, TOKENS)
+    sets = groups.linked_sets(docs, nodes, candidate_edges(nodes, similarity, 0.999), similarity)
+    named = sets.select(F.col("class_id").alias("kept_id"), F.col("class_key").alias("kept_key")).distinct()
+    wordless = members.where(F.col("set_id").isNull()).select("doc_id", "text_key").distinct()
+    kept = saved(named.union(wordless), "kept")
+    same = docs.doc_id.eqNullSafe(kept.kept_id) & (groups.text_key(docs.text) == kept.kept_key)
+    rows = docs.join(kept, same, "left_semi")
     # Combined before the shuffle, so that a row repeated very often is no single task's work.
-    once = rows.groupBy("doc_id", F.xxhash64("text").alias("tie")).agg(F.first(F.struct("*")).alias("row"))
+    once = rows.groupBy("doc_id", groups.text_key(F.col("text")).alias("tie")).agg(F.first(F.struct("*")).alias("row"))
     return once.select("row.*")

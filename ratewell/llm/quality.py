@@ -172,6 +172,21 @@ class Discriminant:
         z = F.col(margin) * self.slope + self.intercept
         return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
+    def rows_where(self, docs: DataFrame, decide) -> DataFrame:
+        """The rows of ``docs`` for whose own text ``decide`` holds, given an array of scores."""
+        margins, slope, intercept = self.margins, self.slope, self.intercept
+
+        def run(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            for batch in batches:
+                found = margins(statistics(batch.column("text").to_pylist()))
+                score = 1 / (1 + np.exp(-np.clip(found * slope + intercept, -30, 30)))
+                yield batch.filter(pa.array(decide(score)))
+
+        return docs.mapInArrow(run, docs.schema)
+
 
 def fit_and_margins(docs: DataFrame, labels: DataFrame, train_if: Column) -> tuple[Discriminant, DataFrame]:
     """Fit to all labelled documents for which ``train_if`` holds; return the discriminant and

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from public_tokenizers import PATTERN, path
@@ -104,6 +105,28 @@ def test_one_of_each(docs):
     assert ids(kept.collect()) == collections.Counter([1, 2, 3, None, 4, 5, 7, 8, 9])
 
 
+def test_one_of_each_by_text(spark):
+    """Texts under one id, or without an id, stand or fall by themselves."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    rows = [(1, one), (2, two), (2, one), (None, one + " more"), (None, three), (None, three), (None, three + " more"), (2, None)]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(kept) == 4 and {tuple(r) for r in kept if r.doc_id} == {(1, one), (2, two), (2, None)}
+    assert [r.text for r in kept if r.doc_id is None][0] in (three, three + " more")
+
+
+@pytest.mark.parametrize("stage, bad", [("toxicity", 1), ("quality", 0)])
+def test_stages_judge_rows_by_their_own_text(spark, tmp_path, stage, bad):
+    good, poor = "a calm and kind sentence about the garden. ", "ZZQX!! ##9 zorg blarg "
+    texts = [(i, (poor if i % 2 else good) * (2 + i % 7)) for i in range(120)]
+    known = [(i, bad if i % 2 else 1 - bad, bad if i % 2 else 1 - bad) for i in range(120)]
+    spark.createDataFrame(known, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    texts += [(key, text * n) for key in (None, 1000) for text in (good, poor) for n in (3, 4, 5)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    kept = dict(corpus_pipeline.STAGES)[stage](spark, frame, str(tmp_path)).collect()
+    for key in (None, 1000):
+        assert sorted(r.text for r in kept if r.doc_id == key) == [good * n for n in (3, 4, 5)]
+
+
 def test_split_groups_give_the_same_links(spark, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join([*words[:30], f"odd{i}", *words[30 + i % 3 :]])) for i in range(40)]
