@@ -18,6 +18,8 @@ from ratewell.schemas import MAX_TOKENS
 
 PAD_ID, UNKNOWN_ID, FIRST_TOKEN_ID = 0, 1, 2
 BUCKET_DIGITS = 4
+#: Tokens of a text that are gathered at a time.
+PART = 4096
 
 
 def text_length_profile(rows: DataFrame, text: str = "text") -> DataFrame:
@@ -105,15 +107,21 @@ def encode_token_ids(
     vocab: DataFrame,
     row_id: str = "id",
     text: str = "text",
-    max_len: int = MAX_TOKENS,
+    max_len: int | None = None,
 ) -> DataFrame:
-    """``(id, input_ids, attention_mask)`` of fixed length; tokens outside the vocabulary get 1.
+    """``(id, input_ids, attention_mask)`` of whole texts, or cut and padded to ``max_len`` where one is
+    given; tokens outside the vocabulary get 1.
 
     ``vocab`` is a written ``vocabulary`` of any size: it is joined, and Spark's own size check
     decides how.
     """
-    tokens = truncate_tokens(word_tokens(text), max_len)
+    tokens = word_tokens(text)
+    if max_len is not None:
+        tokens = truncate_tokens(tokens, max_len)
     ids = ids_by_join(rows.select(row_id, tokens.alias("_tokens")), vocab, row_id)
+    if max_len is None:
+        mask = F.transform("_ids", lambda _: F.lit(1)).alias("attention_mask")
+        return ids.select(row_id, F.col("_ids").alias("input_ids"), mask)
     return ids.select(
         row_id,
         pad_tokens("_ids", max_len, PAD_ID).alias("input_ids"),
@@ -130,11 +138,16 @@ def ids_by_join(
     min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
     """``(id, _ids)`` for a vocabulary of any size. Frequent words take the hot-key path of the
-    lookup join, and a text is gathered again from its own tokens, at most ``max_len``."""
+    lookup join, and a text is gathered again from its own tokens: in parts of ``PART`` tokens, so
+    that one very long text is work for several tasks, and then from its parts."""
     exploded = rows.select(row_id, F.posexplode_outer(tokens).alias("_pos", "token"))
     known = vocab.select("token", "token_id")
     found = lookup_join(exploded, known, "token", share=share, min_rows=min_rows, row_id=row_id)
     token_id = F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint")).alias("token_id")
     entry = F.when(F.col("token").isNotNull(), F.struct("_pos", token_id))
-    gathered = found.groupBy(row_id).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    return gathered.select(row_id, F.transform("_entries", lambda e: e["token_id"]).alias("_ids"))
+    part = F.floor(F.col("_pos") / PART).alias("_part")
+    parts = found.groupBy(row_id, part).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    part_ids = F.transform("_entries", lambda e: e["token_id"]).alias("_ids")
+    parts = parts.select(row_id, F.struct(F.coalesce("_part", F.lit(0)).alias("_part"), part_ids).alias("_part_ids"))
+    gathered = parts.groupBy(row_id).agg(F.array_sort(F.collect_list("_part_ids")).alias("_parts"))
+    return gathered.select(row_id, F.flatten(F.transform("_parts", lambda p: p["_ids"])).alias("_ids"))

@@ -442,6 +442,11 @@ SELECT id, 'train' AS split FROM ranked WHERE r > 500 AND r <= 20500""",
 flat AS (SELECT id, unnest(words[1:192]) AS token, unnest(range(1, least(len(words), 192) + 1)) AS pos FROM words),
 ids AS (SELECT id, pos, coalesce(token_id, 1) AS token_id FROM flat LEFT JOIN vocab USING (token))
 SELECT words.id, 192::BIGINT AS width, count(pos) AS mask_sum, coalesce(sum(pos * token_id), 0)::BIGINT AS weighted_ids
+FROM words LEFT JOIN ids ON words.id = ids.id GROUP BY 1""",
+    "encode_token_ids_whole": f"""WITH {WORDS}, {VOCABULARY.format(2)},
+flat AS (SELECT id, unnest(words) AS token, unnest(range(1, len(words) + 1)) AS pos FROM words),
+ids AS (SELECT id, pos, coalesce(token_id, 1) AS token_id FROM flat LEFT JOIN vocab USING (token))
+SELECT words.id, count(pos) AS width, count(pos) AS mask_sum, coalesce(sum(pos * token_id), 0)::BIGINT AS weighted_ids
 FROM words LEFT JOIN ids ON words.id = ids.id GROUP BY 1""",
     **{
         name: f"""WITH {WORDS}, {_hashed('words')}

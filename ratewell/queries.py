@@ -11,7 +11,7 @@ from ratewell.functions import numeric, text as text_fn
 from ratewell.operators import blend, encode, encoders, evaluate, features, joins, pooling, ridge, split, stats
 from ratewell.operators import text as text_op
 from ratewell.plans import feature_job, training
-from ratewell.schemas import KEY_PREFIXES
+from ratewell.schemas import KEY_PREFIXES, MAX_TOKENS
 from ratewell.session import scratch_path
 from ratewell.sources import embeddings, files, tables
 from ratewell.sources import reviews as source
@@ -501,12 +501,27 @@ def encode_token_ids(spark, folder):
     texts = concat_review_text(spark, folder)
     vocab = text_op.vocabulary(texts, min_count=2)
     written = tables.write_table(vocab, scratch_path(spark, "vocabulary"), "vocabulary.parquet")
-    ids = text_op.encode_token_ids(texts, written)
-    entries = ids.select("id", "attention_mask", F.posexplode("input_ids").alias("pos", "token_id"))
-    return entries.groupBy("id").agg(
-        F.count(F.lit(1)).alias("width"),
-        F.sum(F.element_at("attention_mask", F.col("pos") + 1)).alias("mask_sum"),
-        F.sum((F.col("pos") + 1) * F.col("token_id")).alias("weighted_ids"),
+    return _id_digests(text_op.encode_token_ids(texts, written, max_len=MAX_TOKENS))
+
+
+def encode_token_ids_whole(spark, folder):
+    """The ids of all words of every text."""
+    texts = concat_review_text(spark, folder)
+    vocab = text_op.vocabulary(texts, min_count=2)
+    written = tables.write_table(vocab, scratch_path(spark, "vocabulary"), "vocabulary.parquet")
+    return _id_digests(text_op.encode_token_ids(texts, written))
+
+
+def _id_digests(ids):
+    """Per text, one without words included, the number of ids and of real ones, and a sum over all ids."""
+    weighted = F.aggregate(
+        F.transform("input_ids", lambda x, i: (i + 1) * x), F.lit(0).cast("bigint"), lambda acc, x: acc + x
+    )
+    return ids.select(
+        "id",
+        F.size("input_ids").cast("bigint").alias("width"),
+        F.aggregate("attention_mask", F.lit(0), lambda acc, x: acc + x).cast("bigint").alias("mask_sum"),
+        weighted.alias("weighted_ids"),
     )
 
 
@@ -723,6 +738,7 @@ QUERIES: dict[str, Query] = {
     "tokenize_truncate_pad": tokenize_truncate_pad,
     "vocabulary": vocabulary,
     "encode_token_ids": encode_token_ids,
+    "encode_token_ids_whole": encode_token_ids_whole,
     "encode_batches": encode_batches,
     "hashed_embeddings": hashed_embeddings,
     "encode_tfidf": encode_tfidf,

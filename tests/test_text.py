@@ -60,6 +60,19 @@ def test_token_ids_keep_order_and_mark_unknown_words(rows):
     check_ids(text.encode_token_ids(rows, vocab, max_len=10), ids)
 
 
+def test_token_ids_of_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(text, "PART", 100)
+    texts = [" ".join(f"v{i * k % 37}" for i in range(n)) for k, n in ((5, 1000), (7, 193), (3, 2))] + ["", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    vocab = text.vocabulary(rows)
+    ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+    found = {r["id"]: r for r in text.encode_token_ids(rows, vocab).collect()}
+    assert sorted(found) == list(range(len(texts)))
+    for i, value in enumerate(texts):
+        assert found[i]["input_ids"] == [ids[w] for w in split_words(value)]
+        assert found[i]["attention_mask"] == [1] * len(split_words(value))
+
+
 def test_token_ids_with_hot_words(rows):
     vocab = text.vocabulary(rows)
     ids = {r["token"]: r["token_id"] for r in vocab.collect()}
