@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewell.llm.common import platt, saved
+from ratewell.operators.joins import lookup_join
 
-#: Longest context in bytes, and hashed cells per order for contexts and for context-byte pairs.
-ORDER, CONTEXT_BITS, PAIR_BITS = 5, 16, 18
+#: Longest context in bytes.
+ORDER = 5
+#: Share of all gram rows from which a gram is hot.
+HOT = 1e-4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -31,104 +34,79 @@ def rule_columns(rules: list[tuple[str, str, str]]) -> dict[str, Column]:
     return {"rule": rule, "ruled": ruled}
 
 
-def contexts(urls: list[str]):
-    """Per order 0 to ``ORDER``: ``(context cell, pair cell, pair hash)`` of every byte, and the byte's url.
+def grams(rows: DataFrame) -> DataFrame:
+    """``(row, label, gram, n)`` of ``(row, url, label)``: how often each byte follows each longest context in
+    a url. A gram is a whole number of ``ORDER`` + 1 bytes, the context before its byte, so none shares a cell.
 
     Each url starts with as many blanks as the longest context and ends with a line break.
     """
-    import numpy as np
-
-    raw = [b" " * ORDER + url.encode("utf-8", "replace") + b"\n" for url in urls]
-    block = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
-    sizes = np.array([len(r) for r in raw])
-    owner = np.repeat(np.arange(len(raw)), sizes)
-    starts = np.repeat(np.append(0, np.cumsum(sizes)[:-1]), sizes)
-    real = np.arange(len(block)) - starts >= ORDER
-    at = np.flatnonzero(real)
-    out, context = [], np.zeros(len(at), np.uint64)
-    for order in range(ORDER + 1):
-        if order:
-            context = (context ^ block[at - order]) * np.uint64(0x9E3779B97F4A7C15)
-            context ^= context >> np.uint64(29)
-        pair = (context ^ (block[at] << np.uint64(40))) * np.uint64(0xD6E8FEB86659FD93)
-        pair ^= pair >> np.uint64(32)
-        pair += np.uint64(order)
-        cells = (context >> np.uint64(64 - CONTEXT_BITS), (pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIR_BITS))
-        out.append((cells[0].astype(np.int64), cells[1].astype(np.int64), pair.view(np.int64)))
-    return out, owner[at], np.bincount(owner[at], minlength=len(urls))
-
-
-def count_pairs(urls: DataFrame) -> DataFrame:
-    """``(label, level, context, cell, pair, n)``: how often each byte follows each context, over all rows."""
 
     def run(batches):
         import numpy as np
         import pandas as pd
 
         for batch in batches:
-            for label, rows in batch.groupby("label"):
-                levels, _, _ = contexts(rows["url"].tolist())
-                for level, (context, cell, pair) in enumerate(levels):
-                    pairs, first, n = np.unique(pair, return_index=True, return_counts=True)
-                    facts = {"label": label, "level": level, "context": context[first], "cell": cell[first]}
-                    yield pd.DataFrame(facts | {"pair": pairs, "n": n})
-
-    schema = "label int, level int, context bigint, cell bigint, pair bigint, n bigint"
-    counted = urls.select("url", "label").mapInPandas(run, schema)
-    return counted.groupBy("label", "level", "context", "cell", "pair").agg(F.sum("n").alias("n"))
-
-
-class Ratio:
-    """Smoothed variable-order models of accepted and rejected urls, in tables of fixed size.
-
-    Witten-Bell smoothing: a context that was followed by many different bytes leaves more to the
-    next shorter context. Cells that two contexts share only blur the estimates; all counts cover
-    all urls, and what reaches the driver is bounded by the number of cells, not of urls.
+            if not len(batch):
+                continue
+            raw = [b" " * ORDER + (url or "").encode("utf-8", "replace") + b"\n" for url in batch["url"]]
+            block = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
+            sizes = np.array([len(part) for part in raw])
+            owner = np.repeat(np.arange(len(raw)), sizes)
+            at = np.flatnonzero(np.arange(len(block)) - np.repeat(np.cumsum(sizes) - sizes, sizes) >= ORDER)
+            gram = np.zeros(len(at), np.int64)
+            for back in range(ORDER, -1, -1):
+                gram = (gram << 8) | block[at - back]
+            found, n = np.unique(np.stack([owner[at], gram]), axis=1, return_counts=True)
+            label = batch["label"].to_numpy()[found[0]]
+            yield pd.DataFrame({"row": batch["row"].to_numpy()[found[0]], "label": label, "gram": found[1], "n": n})
+
+    return rows.select("row", "url", "label").mapInPandas(run, "row bigint, label int, gram bigint, n bigint")
+
+
+def gram_ratios(found: DataFrame) -> DataFrame:
+    """``(gram, rows, ratio)``, written: log-probability of each gram's byte under the accepted urls less that
+    under the rejected ones, by smoothed models of order 0 to ``ORDER``. ``found`` is a written ``grams``,
+    label 0 or 1 for urls that teach and -1 for others, and ``rows`` counts its rows.
+
+    Witten-Bell smoothing: a context that was followed by many different bytes leaves more to the next
+    shorter context. Counts are exact and stay in tables that grow with the distinct grams; a window
+    holds one context's following bytes, 256 at most.
     """
-
-    def __init__(self, urls: DataFrame):
-        import numpy as np
-
-        counted = saved(count_pairs(urls), "url-pairs")
-        followers = counted.groupBy("label", "level", "context").agg(F.sum("n"), F.count("*"))
-        pairs = counted.groupBy("label", "level", "cell").agg(F.sum("n"))
-        self.tables = np.zeros((2, ORDER + 1, 2, 1 << CONTEXT_BITS), np.float32)
-        self.pairs = np.zeros((2, ORDER + 1, 1 << PAIR_BITS), np.float32)
-        found = followers.toPandas().to_numpy(np.int64)
-        self.tables[found[:, 0], found[:, 1], 0, found[:, 2]] = found[:, 3]
-        self.tables[found[:, 0], found[:, 1], 1, found[:, 2]] = found[:, 4]
-        found = pairs.toPandas().to_numpy(np.int64)
-        self.pairs[found[:, 0], found[:, 1], found[:, 2]] = found[:, 3]
-
-    def margins(self, urls: list[str]):
-        """Log-likelihood under accepted less that under rejected, per byte."""
-        import numpy as np
-
-        levels, owner, sizes = contexts(urls)
-        logs = []
-        for label in (0, 1):
-            p = np.full(len(owner), 1 / 256)
-            for level, (context, cell, _) in enumerate(levels):
-                total, kinds = self.tables[label, level, :, context].T.astype(float)
-                n = np.minimum(self.pairs[label, level, cell], total)
-                p = np.where(total > 0, (n + kinds * p) / np.maximum(total + kinds, 1), p)
-            logs.append(np.log(p))
-        return np.bincount(owner, logs[1] - logs[0], len(urls)) / sizes
-
-    def margin_rows(self, urls: DataFrame) -> DataFrame:
-        """Two tables of some megabytes travel with the task; their size is fixed."""
-        model = urls.sparkSession.sparkContext.broadcast((self.tables, self.pairs))
-        margins, blank = Ratio.margins, Ratio.__new__
-
-        def run(batches):
-            ratio = blank(Ratio)
-            ratio.tables, ratio.pairs = model.value
-            for batch in batches:
-                batch["margin"] = margins(ratio, [url or "" for url in batch["url"]])
-                yield batch
-
-        schema = ", ".join(f"`{name}` {kind}" for name, kind in urls.dtypes)
-        return urls.mapInPandas(run, f"{schema}, margin double")
+    taught = [F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)]
+    counts = saved(found.groupBy("gram").agg(F.count("*").alias("rows"), *taught), "url-grams-counted")
+    shorter = None
+    for level in range(ORDER + 1):
+        ending = F.col("gram").bitwiseAND((1 << 8 * (level + 1)) - 1).alias("gram")
+        part = counts.groupBy(ending).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        part = part.select("*", *(f(k).over(context).alias(f"{name}{k}") for k in (0, 1) for name, f in FACTS.items()))
+        if shorter is None:
+            part = part.withColumns({"p0": F.lit(1 / 256), "p1": F.lit(1 / 256)})
+        else:
+            part = part.withColumn("shorter", F.col("gram").bitwiseAND((1 << 8 * level) - 1)).join(shorter, "shorter")
+        shorter = saved(part.select(F.col("gram").alias("shorter"), *map(smoothed, (0, 1))), "url-level")
+    ratio = (F.log("p1") - F.log("p0")).alias("ratio")
+    ratios = shorter.select(F.col("shorter").alias("gram"), ratio).join(counts.select("gram", "rows"), "gram")
+    return saved(ratios.select("gram", "rows", "ratio"), "url-ratios")
+
+
+#: Per label, over the bytes that follow a context: all occurrences and the number of different bytes.
+FACTS = {"total": lambda k: F.sum(f"n{k}"), "kinds": lambda k: F.count_if(F.col(f"n{k}") > 0)}
+
+
+def smoothed(k: int) -> Column:
+    """The probability of a gram's byte for one label, from its counts and that of the shorter context."""
+    n, total, kinds, p = (F.col(f"{name}{k}") for name in ("n", "total", "kinds", "p"))
+    return F.when(total > 0, (n + kinds * p) / (total + kinds)).otherwise(p).alias(f"p{k}")
+
+
+def margin_rows(rows: DataFrame) -> DataFrame:
+    """``(row, margin)`` of ``(row, url, label)``: the log-likelihood under accepted urls less that under
+    rejected ones, per byte. Grams with at least ``HOT`` of the rows, such as a scheme's, are broadcast,
+    at most 1 / ``HOT`` of them; the others are joined."""
+    found = saved(grams(rows), "url-grams")
+    scored = lookup_join(found, gram_ratios(found), "gram", weight="rows", share=HOT, min_rows=1, row_id="row")
+    return scored.groupBy("row").agg((F.sum(F.col("n") * F.col("ratio")) / F.sum("n")).alias("margin"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -144,15 +122,14 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     """
     rows = pages.select("page_id", "url").withColumns(parts())
     rows = rows.withColumns(rule_columns(rules))
-    taught = rows.where(F.col("ruled").isNotNull())
-    taught = taught.select(F.coalesce("url", F.lit("")).alias("url"), (F.col("ruled") == "allow").cast("int").alias("label"))
-    kinds = {row[0] for row in taught.select("label").distinct().collect()}
+    label = F.when(F.col("ruled").isNull(), -1).otherwise((F.col("ruled") == "allow").cast("int")).alias("label")
+    rows = saved(rows.select(F.monotonically_increasing_id().alias("row"), "*", label), "url-rows")
+    kinds = {row[0] for row in rows.select("label").distinct().collect()} - {-1}
     if len(kinds) < 2:
         scored, score = rows, F.lit(0.5)
     else:
-        model = Ratio(taught)
-        slope, intercept = platt(model.margin_rows(taught))
-        scored = model.margin_rows(rows)
+        scored = saved(rows.join(margin_rows(rows), "row"), "url-margins")
+        slope, intercept = platt(scored.where("label >= 0"))
         z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("margin") * slope + intercept))
         score = 1 / (1 + F.exp(-z))
     scored = scored.withColumn("score", score)

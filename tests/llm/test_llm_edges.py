@@ -10,7 +10,7 @@ from public_tokenizers import PATTERN, path
 from pyspark.sql import functions as F
 
 from ratewell.llm import ann, byte_bpe, chat, groups, licenses, minhash, ngram_join, packing, quality, toxicity, urls
-from ratewell.llm.common import remainder, saved
+from ratewell.llm.common import platt, remainder, saved
 
 LONG = "long words of a very long text, " * 20_000
 TEXTS = [
@@ -244,6 +244,45 @@ def test_urls(spark):
     assert {r.score for r in urls.judge(frame, rules[:1]).collect()} == {0.5}
 
 
+def test_url_models_keep_contexts_apart(spark):
+    """Scores equal those of models with exact counts, also with more contexts than any small table holds."""
+    random = np.random.default_rng(13)
+    texts = ["".join(map(chr, random.integers(97, 123, 300))) for _ in range(600)]
+    urls_of = [f"http://a.{('net', 'org', 'com')[i % 3]}/{text}" for i, text in enumerate(texts)]
+    counts = [collections.defaultdict(collections.Counter) for _ in range(2)]
+
+    def steps(url):
+        text = " " * urls.ORDER + url + "\n"
+        for at in range(urls.ORDER, len(text)):
+            yield text[at], [text[at - order : at] for order in range(urls.ORDER + 1)]
+
+    def margin(url):
+        logs, size = [0.0, 0.0], 0
+        for byte, contexts in steps(url):
+            size += 1
+            for label in (0, 1):
+                p = 1 / 256
+                for context in contexts:
+                    after = counts[label].get(context)
+                    if after:
+                        p = (after[byte] + len(after) * p) / (after.total() + len(after))
+                logs[label] += np.log(p)
+        return float(logs[1] - logs[0]) / size
+
+    for i, url in enumerate(urls_of):
+        if i % 3 < 2:
+            for byte, contexts in steps(url):
+                for context in contexts:
+                    counts[i % 3][context][byte] += 1
+    want = [margin(url) for url in urls_of]
+    known = [(m, i % 3) for i, m in enumerate(want) if i % 3 < 2]
+    slope, intercept = platt(spark.createDataFrame(known, "margin double, label int"))
+    frame = spark.createDataFrame(list(enumerate(urls_of)), "page_id bigint, url string")
+    for row in urls.judge(frame, [("block", "net", "/"), ("allow", "org", "/")]).collect():
+        z = max(-30.0, min(30.0, want[row.page_id] * slope + intercept))
+        assert row.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-3)
+
+
 def test_packing(docs):
     found = packing.packed(docs, path("word_bpe_49k.json")).collect()
     assert ids([row for row in found if row.piece == 0]) == WANT
