@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratewell.session import scratch_path
@@ -22,6 +22,37 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def release(frame: DataFrame) -> None:
+    """Delete the files of a ``saved`` frame that nothing reads any more."""
+    spark = frame.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def placed(rows: DataFrame, order: list[str], key: str | None = None) -> DataFrame:
+    """``rows`` with ``place``, from 1, in ascending ``order`` (null first) within each non-null ``key``, or
+    among all rows; written.
+
+    Rows are dealt by ranges of key and order, equal ones by their place in the input, so that one key
+    or one value may have any share of them. A key spans several ranges only as the last of one and
+    the first of the next, so at most one offset per range has to be known elsewhere.
+    """
+    keys = [key] if key else []
+    rows = rows.withColumn("_tie", F.monotonically_increasing_id())
+    by = [F.col(c).asc_nulls_first() for c in (*keys, *order, "_tie")]
+    dealt = rows.repartitionByRange(*by).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy(*keys, "_part").orderBy(*by[len(keys) :])
+    dealt = saved(dealt.withColumn("place", F.row_number().over(inside).cast("bigint")).drop("_tie"), "placed")
+    sizes = dealt.groupBy(*keys, "_part").agg(F.max("place").alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_before", F.sum("_n").over(earlier)).where(F.col("_before") > 0).drop("_n")
+    found = dealt.join(F.broadcast(offsets), [*keys, "_part"], "left")
+    place = (F.col("place") + F.coalesce("_before", F.lit(0))).alias("place")
+    return found.select(*[c for c in dealt.columns if c not in ("place", "_part")], place)
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -70,4 +70,42 @@ LEFT JOIN links ON links.a = copy_id
 """
 )
 
-ORACLE: dict[str, str] = {"op2_licenses": LICENSES, "op5_ngram_join": NGRAM_JOIN}
+# The crc32 of an id's digits, a bit at a time: bytes are taken in, and -1 stands for a shift.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b)
+    WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END), 4294967295)"""
+
+PREFIX_TRIE = f"""
+WITH keyed AS (SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT conv_id, key, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS place
+  FROM keyed),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC32} % 6 AS head FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.place, key, chars FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= head
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, key, chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > head),
+prefixes AS (SELECT conv_id, chars, count(*) OVER w AS depth, string_agg(key, ',') OVER w AS prefix FROM rebuilt
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, place ROWS UNBOUNDED PRECEDING)),
+lengths AS (SELECT c.conv_id, count(key) AS n FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY 1),
+members AS (SELECT conv_id, depth, md5(prefix) AS node, chars FROM prefixes
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+up AS (SELECT a.node, any_value(b.node) AS parent FROM members a JOIN members b ON b.conv_id = a.conv_id AND b.depth = a.depth - 1
+  GROUP BY 1),
+nodes AS (SELECT node, depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (n = depth), '') AS ends
+  FROM members m JOIN lengths l ON l.conv_id = m.conv_id GROUP BY 1, 2),
+children AS (SELECT parent AS node, count(*) AS n FROM up GROUP BY 1),
+pairs AS (SELECT DISTINCT a.node AS above, b.node AS below FROM members a JOIN members b ON a.conv_id = b.conv_id
+  AND a.depth <= b.depth),
+sums AS (SELECT above AS node, sum((n.n_convs - 1) * n.chars) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+  FROM pairs JOIN nodes n ON n.node = below LEFT JOIN children c ON c.node = below GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(c.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+  sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node LEFT JOIN children c ON c.node = n.node
+LEFT JOIN up u ON u.node = n.node LEFT JOIN nodes p ON p.node = u.parent
+"""
+
+ORACLE: dict[str, str] = {"op2_licenses": LICENSES, "op5_ngram_join": NGRAM_JOIN, "op13_prefix_trie": PREFIX_TRIE}

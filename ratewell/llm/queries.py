@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewell.llm import ann, byte_bpe, chat, licenses, minhash, ngram_join, packing, quality, toxicity, urls
+from ratewell.llm import ann, byte_bpe, chat, licenses, minhash, mixing, ngram_join, packing, quality, toxicity, trie, urls, whitening
 from ratewell.llm.common import remainder, table
 from ratewell.llm.oracle import ORACLE
 
@@ -21,6 +21,7 @@ RULES = [
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 ]
+TRIE_GROUP, TRIE_HEADS = 100, 6
 CONTROL_TALK = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
@@ -84,6 +85,19 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(docs, tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = trie.turns_of(table(spark, folder, "conversations"))
+    return trie.prefix_trie(*trie.with_shared_heads(turns, TRIE_GROUP, TRIE_HEADS))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_mixing": op12_mixing,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
 
