@@ -7,47 +7,61 @@ from bisect import bisect_left, bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import in_blocks, saved, worker_cache
+from ratewell.llm.common import saved, worker_cache
 
 SEQUENCE = 2048
 #: Id after the last token of each document.
 END_ID = 0
+#: Fixed value: the pattern of the vocabulary file whose words can be encoded by their units.
+UNITS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+#: Bytes of text that are encoded at a time.
+BLOCK_BYTES = 1 << 22
 #: Words, and units of words, whose ids a worker remembers; the memory starts anew beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Ranks within a length are counted in so many parts at least, each of so many pieces at most on average.
 PARTS, PART_ROWS = 64, 50_000
 
 
 def word_ids(path: str):
-    """A function from texts to their ids, as little-endian 32-bit integers in one bytes object per text.
+    """A function from an Arrow array of texts to their ids: ``(ids, ends)``, all ids in one array and where
+    each text's end.
 
     The tokenizer drops white space and never joins across it, so each distinct run of other
-    characters is encoded once per worker. The few control characters that Python counts as white
-    space and the tokenizer doesn't are the exception: a text with one goes to the tokenizer whole.
+    characters is encoded once per worker. Texts are cut at ASCII white space and a block's words
+    numbered by their first occurrence in Arrow; only distinct words of a block are looked at one by
+    one, and ids are gathered by number. A text that holds one of the few control characters that
+    Arrow might take for white space and the tokenizer doesn't, or a token that the tokenizer finds
+    in raw text, goes to the tokenizer whole.
 
     A word is encoded by the units that the tokenizer's own pattern cuts it into, and each distinct
     unit once. That needs words whose normal form and lower case are plain: visible ASCII and the
-    letters of Latin-1, where every character stands for itself. Other words go to the tokenizer.
+    letters of Latin-1, where every character stands for itself, and a file with the pattern that is
+    stated below. Other words, and all words of other files, go to the tokenizer.
     """
+    import json
     import re
     from array import array
+    from itertools import chain, filterfalse
 
     import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from tokenizers import Tokenizer
 
     cache = worker_cache(path)
     if "tokenizer" not in cache:
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         cache["tokenizer"], cache["words"], cache["units"] = tokenizer, {}, {}
         vocabulary = tokenizer.get_vocab()
         ends = np.zeros(max(vocabulary.values()) + 1, bool)
         ends[[rank for token, rank in vocabulary.items() if token.endswith("</w>")]] = True
         cache["ends"] = ends
+        found = json.dumps(json.loads(tokenizer.to_str())["pre_tokenizer"])
+        cache["by_units"] = json.dumps(UNITS)[1:-1] in found
+        cache["raw"] = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
     tokenizer, known, unit_ids, ends = (cache[name] for name in ("tokenizer", "words", "units", "ends"))
-    odd = re.compile("[\x1c-\x1f]").search
-    plain = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-    # The pattern of the vocabulary file, for lower-case words of the characters above.
+    plain = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch if cache["by_units"] else lambda word: None
+    # The units of lower-case words of the characters above by the pattern in ``UNITS``.
     units_of = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 
     def whole(texts):
@@ -66,54 +80,94 @@ def word_ids(path: str):
             at = 4 * cut
 
     def learn(words):
-        cut = [(word, units_of(word.lower())) for word in words if plain(word)]
-        new = {unit for _, units in cut for unit in units if unit not in unit_ids}
-        if new:
+        easy = list(filter(plain, words))
+        cut = [units_of(word) for word in map(str.lower, easy)]
+        if new := set(chain.from_iterable(cut)).difference(unit_ids):
             learn_units(list(new))
-        for word, units in cut:
+        for word, units in zip(easy, cut):
             known[word] = unit_ids[units[0]] if len(units) == 1 else b"".join([unit_ids[unit] for unit in units])
-        rest = [word for word in words if word not in known]
-        for word, ids in zip(rest, whole(rest)):
-            known[word] = ids
+        if len(easy) < len(words):
+            rest = list(filterfalse(known.__contains__, words))
+            known.update(zip(rest, whole(rest)))
 
-    def encode(texts: list[str]) -> list[bytes]:
+    def encode(texts):
         if len(known) > REMEMBERED:
             known.clear()
         if len(unit_ids) > REMEMBERED:
             unit_ids.clear()
-        split = [None if odd(text) else text.split() for text in texts]
-        learn([word for word in set().union(*filter(None, split)) if word not in known])
-        ids = known.__getitem__
-        return [whole([text])[0] if row is None else b"".join(map(ids, row)) for text, row in zip(texts, split)]
+        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]")
+        for content in cache["raw"]:
+            odd = pc.or_(odd, pc.match_substring(texts, content, ignore_case=True))
+        split = pc.ascii_split_whitespace(pc.if_else(odd, "", texts))
+        numbered = split.flatten().dictionary_encode()
+        words = numbered.dictionary.to_pylist()
+        learn(list(filterfalse(known.__contains__, words)))
+        raw = list(map(known.__getitem__, words))
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        start = np.cumsum(size) - size
+        table = np.frombuffer(b"".join(raw), np.uint32)
+        word = numbered.indices.to_numpy(zero_copy_only=False)
+        sizes = size[word]
+        upto = np.append(0, np.cumsum(sizes))
+        place = np.arange(upto[-1]) + np.repeat(start[word] - upto[:-1], sizes)
+        ids, stops = table[place], upto[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
+        if not pc.any(odd, min_count=0).as_py():
+            return ids, stops
+        parts = np.split(ids, stops[:-1])
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            parts[i] = np.frombuffer(whole([texts[int(i)].as_py()])[0], np.uint32)
+        return np.concatenate(parts), np.cumsum([len(part) for part in parts])
 
     return encode
 
 
+def text_blocks(texts, size: int = BLOCK_BYTES):
+    """Slices of an Arrow array of texts of about ``size`` bytes, a longer text on its own."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = upto[start - 1] if start else 0
+        stop = max(int(np.searchsorted(upto, before + size, "right")), start + 1)
+        yield start, texts.slice(start, stop - start)
+        start = stop
+
+
 def tokenize(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: a document's ids and the end id, cut only if longer than
     a sequence. ``ids`` are little-endian 32-bit integers. Null text counts as empty: its one piece is
     the end id. Every row gives its own pieces; columns other than ``doc_id`` and ``text`` are ignored.
     """
-    import struct
-
-    end = struct.pack("<I", END_ID)
-
     def run(batches):
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         encode = word_ids(tokenizer)
         for batch in batches:
-            cells = ([], [], [], [], [])
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), in_blocks(encode, texts)):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * sequence)):
-                    part = ids[at : at + 4 * sequence]
-                    for cell, value in zip(cells, (doc_id, piece, at // 4, len(part) // 4, part)):
-                        cell.append(value)
-            types = (batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int32(), pa.binary())
-            names = ["doc_id", "piece", "start", "length", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names)
+            doc_ids = batch.column("doc_id")
+            for first, texts in text_blocks(pc.fill_null(batch.column("text"), "")):
+                ids, stops = encode(texts)
+                ids = np.insert(ids, stops, END_ID).astype("<u4")
+                stops = stops + np.arange(1, len(texts) + 1)
+                lengths = np.diff(stops, prepend=0)
+                pieces = -(-lengths // sequence)
+                doc = np.repeat(np.arange(len(texts)), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * sequence
+                length = np.minimum(lengths[doc] - start, sequence)
+                upto = np.append(0, np.cumsum(4 * length)).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(upto), pa.py_buffer(ids)])
+                columns = [
+                    doc_ids.take(pa.array(first + doc)),
+                    pa.array(piece.astype(np.int32)),
+                    pa.array(start.astype(np.int64)),
+                    pa.array(length.astype(np.int32)),
+                    raw,
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids"])
 
     rows = docs.select("doc_id", "text")
     kind = dict(rows.dtypes)["doc_id"]

@@ -151,7 +151,6 @@ def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = {}, {}
     for row in rows:
         by_doc.setdefault(row.doc_id, []).append(row)
