@@ -130,11 +130,31 @@ class Graph:
         return self
 
 
-def with_height(vectors, top: float):
-    """One more component that gives all points one length: then the nearest has the largest inner product."""
+def lengths(vectors):
+    """Norms in double precision, without overflow or underflow on the way."""
     import numpy as np
 
-    return np.column_stack([vectors, np.sqrt(np.maximum(top - (vectors**2).sum(1), 0))])
+    largest = np.maximum(np.abs(vectors).max(1, initial=0), np.finfo(float).tiny)
+    return largest, np.sqrt(((vectors / largest[:, None]) ** 2).sum(1))
+
+
+def with_height(vectors):
+    """Vectors scaled by one number to norms of at most 1, and one more component that gives all points
+    length 1: then the nearest has the largest inner product."""
+    import numpy as np
+
+    largest, rest = lengths(vectors)
+    top = largest.max(initial=np.finfo(float).tiny)
+    scaled = vectors / top
+    scaled /= max(float((largest / top * rest).max(initial=0)), np.finfo(float).tiny)
+    return np.column_stack([scaled, np.sqrt(np.maximum(1 - (scaled**2).sum(1), 0))])
+
+
+def norm_class(vector: Column) -> Column:
+    """The power of two nearest to the vector's norm, by a norm that doesn't overflow on the way."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    rest = F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest))
+    return F.round(F.log2(largest) + F.log2(rest) / 2).cast("int")
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -155,8 +175,10 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vect
     with the largest inner product that the search finds; ties to the smaller id.
 
     Equal vectors are one node, so that a vector that a third of all rows have takes one place.
-    Nodes are dealt to shards by a hash; each shard has a graph, and every query searches every
-    shard. Scores are inner products of the original vectors in double precision.
+    Nodes are dealt to shards by norm, to the nearest power of two, and within that by a hash; each
+    shard has a graph of its vectors scaled to its own largest one, so that a few very long or very
+    short vectors don't blur the distances among all others. Every query searches every shard. Scores
+    are inner products of the original vectors in double precision.
 
     ``usable`` states which rows take no part; repeated ids count once, with their smallest vector.
     With fewer candidates than ``k`` all that are found come. An empty table gives none. Other
@@ -173,12 +195,13 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vect
     members = members.withColumns({"place": F.row_number().over(same), "node": F.first("vec_id").over(same)})
     members = saved(members.where(F.col("place") <= k + 1), "vector-members")
     nodes = members.where(F.col("place") == 1)
-    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
-    n, top = nodes.agg(F.count("*"), F.max(squares)).first()
+    # At most about 2,100 classes, as doubles have so many exponents; shards are numbered through them.
+    classes = nodes.groupBy(norm_class(F.col("embedding")).alias("norm")).count().orderBy("norm").collect()
+    counts = [max(1, math.ceil(row["count"] / SHARD_ROWS)) for row in classes]
+    first = {row.norm: sum(counts[:i]) for i, row in enumerate(classes)}
+    shards = max(1, sum(counts))
     queries = every.where(is_query)
-    shards = max(1, math.ceil(n / SHARD_ROWS))
     turns = max(1, math.ceil(queries.count() / TASK_QUERIES))
-    top = top or 0.0
 
     def index(frame):
         import numpy as np
@@ -186,12 +209,17 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vect
 
         frame = frame.sort_values("node")
         vectors = np.stack(frame["embedding"].to_numpy())
-        graph = Graph(with_height(vectors, top)).build()
+        graph = Graph(with_height(vectors)).build()
         cells = [frame["node"].to_numpy(np.int64).tobytes(), vectors.tobytes(), graph.edges.tobytes(), graph.entry]
         return pd.DataFrame([[int(frame["shard"].iloc[0]), *cells]], columns=["shard", "nodes", "vectors", "edges", "entry"])
 
-    shard = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")
-    dealt = nodes.select("node", "embedding", shard.alias("shard"))
+    shard = F.lit(0)
+    if classes:
+        starts = F.create_map(*[F.lit(x) for item in first.items() for x in item])
+        parts = F.create_map(*[F.lit(x) for row, n in zip(classes, counts) for x in (row.norm, n)])
+        norm = norm_class(F.col("embedding"))
+        shard = starts[norm] + F.pmod(F.xxhash64("node"), parts[norm])
+    dealt = nodes.select("node", "embedding", shard.cast("int").alias("shard"))
     graphs = dealt.groupBy("shard").applyInPandas(index, "shard int, nodes binary, vectors binary, edges binary, entry int")
     graphs = saved(graphs, "graphs")
     turn = F.pmod(F.xxhash64("vec_id"), F.lit(turns)).cast("int")
@@ -213,12 +241,15 @@ def nearest(rows: DataFrame, is_query: Column, k: int, key: str = "vec_id", vect
         row = given.iloc[0]
         names = np.frombuffer(row["nodes"], np.int64)
         vectors = np.frombuffer(row["vectors"], np.float64).reshape(len(names), -1)
-        graph = Graph(with_height(vectors, top), np.frombuffer(row["edges"], np.int32).reshape(len(names), -1), row["entry"])
+        graph = Graph(with_height(vectors), np.frombuffer(row["edges"], np.int32).reshape(len(names), -1), row["entry"])
         out = []
         for low in range(0, len(asked), BATCH):
             some = asked.iloc[low : low + BATCH]
             queries = np.stack(some["embedding"].to_numpy())
-            found, _ = graph.search(np.column_stack([queries, np.zeros(len(queries))]), max(BEAM, 2 * k))
+            largest, rest = lengths(queries)
+            # The order of inner products doesn't depend on the query's own length.
+            unit = queries / largest[:, None] / rest[:, None]
+            found, _ = graph.search(np.column_stack([unit, np.zeros(len(unit))]), max(BEAM, 2 * k))
             query, place = np.nonzero(found >= 0)
             node = found[query, place]
             scores = np.einsum("ij,ij->i", queries[query], vectors[node])

@@ -185,6 +185,29 @@ def test_nearest(spark):
     assert ann.nearest(frame.limit(0), F.col("vec_id") % 20 == 0, 5).count() == 0
 
 
+@pytest.mark.parametrize("long", [1.0, 1e4, 1e25, 1e-30, 1e150])
+def test_nearest_with_uneven_norms(spark, long):
+    """A few vectors that are far longer or shorter than all others leave the recall as it is."""
+    rng = np.random.default_rng(14)
+    vectors = rng.normal(size=(1_200, 16))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[5] *= long
+    vectors[40] *= long
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id bigint, embedding array<double>")
+    found = {}
+    for row in ann.nearest(frame, F.col("vec_id") % 20 == 0, 20).collect():
+        found.setdefault(row.query_id, []).append((row["rank"], row.vec_id, row.score))
+    assert sorted(found) == list(range(0, 1_200, 20))
+    hits = 0
+    for query, ranked in found.items():
+        scores = vectors @ vectors[query]
+        best = [i for i in np.lexsort((np.arange(len(scores)), -scores)) if i != query][:20]
+        assert [r for r, _, _ in sorted(ranked)] == list(range(1, 21))
+        assert all(score == pytest.approx(scores[i], rel=1e-12) for _, i, score in ranked)
+        hits += len(set(best) & {i for _, i, _ in ranked})
+    assert hits >= 0.9 * 20 * len(found)
+
+
 def test_reply_trees(spark):
     rows = [(1, 0, None, "user", "q", 0.0), (1, 1, 0, "assistant", "bad", 0.1), (1, 2, 0, "assistant", "good", 0.9)]
     rows += [(1, 3, 2, "user", None, None), (2, 0, None, None, "<|user|> \\ [INST]", 1.0), (None, 7, 5, "user", "", 0.0)]
