@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from ratewell.llm import shingles
 from ratewell.llm.common import saved
 
-#: Buckets of up to so many nodes are compared pair by pair, by sketch.
-SMALL = 32
+#: Buckets of up to so many nodes are compared pair by pair, by sketch, in a small part of a second.
+SMALL = 2048
 #: Sketch agreement below which two nodes aren't taken for candidates. At a similarity of 0.8 the
-#: agreement of 64 values is lower with a chance under 1e-11.
-LOOSE = 0.4
+#: agreement of 64 values is lower with a chance under 1e-5.
+LOOSE = 0.55
 #: A task verifies two blocks of about so many nodes, and shingles, at most.
 BLOCK_NODES, BLOCK_SHINGLES = 500, 500_000
 
@@ -68,21 +68,44 @@ def close_nodes(one, other):
     return (one == other).mean(-1)
 
 
+def alike(prints):
+    """For each row of ``prints`` a row of its component, where rows with enough equal values are linked."""
+    import numpy as np
+
+    n, width = prints.shape
+    linked = np.zeros((n, n), bool)
+    columns = np.ascontiguousarray(prints.T)
+    for at in range(0, n, 64):
+        equal = np.zeros((min(64, n - at), n), np.uint8 if width < 256 else np.uint32)
+        for column in columns:
+            equal += column[at : at + 64, None] == column
+        linked[at : at + 64] = equal >= LOOSE * width
+    root = np.full(n, -1)
+    for first in range(n):
+        if root[first] < 0:
+            root[first], new = first, np.array([first])
+            while len(new):
+                new = np.flatnonzero(linked[new].any(0) & (root < 0))
+                root[new] = first
+    return root
+
+
 def small_bucket_edges(buckets: DataFrame) -> DataFrame:
-    """``(a, b)`` edges that connect the nodes of each bucket that look alike. ``buckets`` has
-    ``bucket, node, sketch`` with at most ``SMALL`` rows per bucket."""
+    """``(a, b)`` edges that connect the nodes of each bucket that look alike, at most one per node.
+    ``buckets`` has ``bucket, node, sketch`` with at most ``SMALL`` rows per bucket."""
 
     def run(batches):
         import numpy as np
         import pandas as pd
 
         def edges(rows):
-            prints = np.stack([np.frombuffer(sketch, np.uint32) for _, sketch in rows])
+            rows = list(dict(rows).items())
+            if len(rows) < 2:
+                return
             names = [node for node, _ in rows]
-            for i in range(1, len(rows)):
-                for j in np.flatnonzero(close_nodes(prints[:i], prints[i]) >= LOOSE):
-                    if names[i] != names[j]:
-                        yield (names[i], names[j]) if names[i] > names[j] else (names[j], names[i])
+            for i, root in enumerate(alike(np.stack([np.frombuffer(sketch, np.uint32) for _, sketch in rows]))):
+                if i != root:
+                    yield (max(names[i], names[root]), min(names[i], names[root]))
 
         last, rows = None, []
         for batch in batches:
@@ -102,9 +125,14 @@ def small_bucket_edges(buckets: DataFrame) -> DataFrame:
 
 
 def counted_buckets(buckets: DataFrame) -> DataFrame:
-    """Rows of buckets with at least two nodes, with the bucket's ``size`` and smallest node ``pivot``."""
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot"))
-    return buckets.join(sizes.where(F.col("size") > 1), "bucket")
+    """Rows of buckets with at least two nodes, with the bucket's ``size`` and smallest node ``pivot``. Of small
+    buckets with the same nodes, told by size, pivot and a sum over hashes, one is kept."""
+    members = F.bit_xor(F.xxhash64("node")).alias("members")
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot"), members)
+    sizes = sizes.where(F.col("size") > 1)
+    small = sizes.where(F.col("size") <= SMALL).groupBy("size", "pivot", "members").agg(F.min("bucket").alias("bucket"))
+    sizes = small.select("bucket", "size", "pivot").unionByName(sizes.where(F.col("size") > SMALL).drop("members"))
+    return buckets.join(sizes, "bucket")
 
 
 def bucket_edges(buckets: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -13,20 +13,22 @@ from ratewell.llm.common import saved
 
 #: Tokens of the fixed-size form of a set: position and value of so many MinHash values.
 TOKENS = 64
-#: Buckets are counted after the first level of splitting and then after every fifth; what is still
-#: together in a large bucket at the last count becomes one candidate group.
-STRIDE = 5
-#: So often, each time on its own paths, are the nodes of a large bucket split after a count that isn't the last.
-AGAIN = (4, 3)
+#: Levels of splitting at most. Buckets are counted after every level; what is still together in a large
+#: bucket after the last becomes one candidate group.
+LEVELS = 10
 #: A node this close to a large bucket's pivot has all its links among the nodes that are ``NEAR`` it, as
 #: distances add up: 1 - 0.75 + 1 - 0.8 leaves a similarity of 0.55 to the pivot.
 CLOSE, NEAR = 0.75, 0.3
 
 
-def chance(runs: int, again: tuple[int, ...] = AGAIN, similarity: float = 0.8) -> float:
-    """The chance that a pair at ``similarity`` meets in some bucket of the last count, where its buckets
-    were large at all others: one level from the root in each of ``runs``, then ``STRIDE`` levels in each
-    of ``again`` after every count.
+def repeats(level: int) -> int:
+    """So often, each time on its own paths, are the nodes of a large bucket split at a level after the first."""
+    return 1 + level % 2
+
+
+def chance(runs: int, levels: int, similarity: float = 0.8) -> float:
+    """The chance that a pair at ``similarity`` meets in some bucket of the last of ``levels`` where its buckets
+    were large at all others: ``runs`` times one level from the root, then ``repeats`` at every level.
 
     Through a level a pair goes as a branching process with one shared child on average does. The
     values that its two sketches share are the same in all runs, hence the mean over their number.
@@ -35,19 +37,18 @@ def chance(runs: int, again: tuple[int, ...] = AGAIN, similarity: float = 0.8) -
     found = 0.0
     for shared in range(TOKENS + 1):
         alive = 1.0
-        for repeats, levels in reversed([(runs, 1), *((n, STRIDE) for n in again)]):
-            for _ in range(levels):
-                alive = 1 - (1 - alive * places) ** shared
-            alive = 1 - (1 - alive) ** repeats
+        for times in (*map(repeats, range(levels - 1, 0, -1)), runs):
+            alive = 1 - (1 - alive * places) ** shared
+            alive = 1 - (1 - alive) ** times
         found += math.comb(TOKENS, shared) * similarity**shared * (1 - similarity) ** (TOKENS - shared) * alive
     return found
 
 
 def runs_for(recall: float) -> int:
-    """Runs after which a pair at the threshold has met with a chance of ``recall``, whichever count its
+    """Runs after which a pair at the threshold has met with a chance of ``recall``, whichever level its
     buckets are small at."""
     runs = 1
-    while min(chance(runs, AGAIN[:n]) for n in range(len(AGAIN) + 1)) < recall:
+    while min(chance(runs, levels) for levels in range(1, LEVELS + 1)) < recall:
         runs += 1
     return runs
 
@@ -76,9 +77,9 @@ def other_paths(paths, again: int) -> list:
 
 
 def split(rows: DataFrame, similarity: float, runs: int = 0, again: int = 1) -> DataFrame:
-    """``(bucket, node)`` further down: one level below the root for each of ``runs``, or else ``STRIDE``
-    levels below ``bucket``, ``again`` times by different paths. ``rows`` has ``node, sketch`` and, without
-    runs, ``bucket``, the path so far."""
+    """``(bucket, node)`` one level further down: below the root for each of ``runs``, or else below ``bucket``,
+    ``again`` times by different paths. ``rows`` has ``node, sketch`` and, without runs, ``bucket``, the
+    path so far."""
 
     def run(batches):
         import numpy as np
@@ -91,56 +92,59 @@ def split(rows: DataFrame, similarity: float, runs: int = 0, again: int = 1) ->
             nodes = batch["node"].to_numpy()
             starts = [np.full(len(batch), 7919 * (r + 1), np.uint64) for r in range(runs)]
             for path in starts or other_paths(batch["bucket"].to_numpy(np.int64).view(np.uint64), again):
-                row = np.arange(len(batch))
-                for _ in range(1 if runs else STRIDE):
-                    parent, path = child_paths(path, sketches[row], similarity)
-                    row = row[parent]
+                row, path = child_paths(path, sketches, similarity)
                 yield pd.DataFrame({"bucket": path.view(np.int64), "node": nodes[row]})
 
     columns = ["node", "sketch"] if runs else ["bucket", "node", "sketch"]
     return rows.select(*columns).mapInPandas(run, "bucket bigint, node bigint")
 
 
-def with_agreement(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``agreement``, the share of equal values of ``sketch`` and ``pivot_sketch``."""
+def with_agreement(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``(node, pivot, agreement)``: the share of equal values of the two nodes' sketches."""
 
     def run(batches):
         import numpy as np
 
         for batch in batches:
-            if len(batch):
-                one, other = (
-                    np.stack([np.frombuffer(raw, np.uint32) for raw in batch[c]]) for c in ("sketch", "pivot_sketch")
-                )
-                batch["agreement"] = groups.close_nodes(one, other)
-            else:
-                batch["agreement"] = np.zeros(0)
-            yield batch[["bucket", "node", "pivot", "sketch", "agreement"]]
+            one, other = (
+                np.array([np.frombuffer(raw, np.uint32) for raw in batch[c]]).reshape(len(batch), -1)
+                for c in ("sketch", "pivot_sketch")
+            )
+            batch["agreement"] = groups.close_nodes(one, other) if len(batch) else np.zeros(0)
+            yield batch[["node", "pivot", "agreement"]]
 
-    rows = rows.select("bucket", "node", "pivot", "sketch", "pivot_sketch")
-    return rows.mapInPandas(run, "bucket bigint, node bigint, pivot bigint, sketch binary, agreement double")
+    known = sketches.select(F.col("node").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
+    rows = pairs.join(sketches, "node").join(known, "pivot").select("node", "pivot", "sketch", "pivot_sketch")
+    return rows.mapInPandas(run, "node bigint, pivot bigint, agreement double")
 
 
 def candidate_edges(nodes: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """Edges between nodes such that two similar nodes are connected with a chance of ``recall`` at least."""
-    sketches = active = nodes.select("node", "sketch")
+    """Edges between nodes such that two similar nodes are connected with a chance of ``recall`` at least.
+
+    In a large bucket a node is compared with the pivot once, however many buckets both share. Nodes close
+    to it leave the bucket; for their sake all that are near the pivot are connected to it. A pivot
+    that no other node is close to is connected to what looks like it. The others are split further.
+    """
+    sketches = nodes.select("node", "sketch")
     level, edges, small = split(sketches, similarity, runs_for(recall)), [], []
-    for again in (*AGAIN, 0):
+    for depth in range(1, LEVELS + 1):
         rows = saved(groups.counted_buckets(saved(level, "paths")), "buckets")
         small.append(rows.where(F.col("size") <= groups.SMALL).select("bucket", "node"))
-        large = rows.where(F.col("size") > groups.SMALL)
+        large = rows.where(F.col("size") > groups.SMALL).select("bucket", "node", "pivot")
         if large.isEmpty():
             break
-        large = saved(large.select("bucket", "node", "pivot").join(active, "node"), "large")
-        pivots = large.where(F.col("node") == F.col("pivot")).select("bucket", F.col("sketch").alias("pivot_sketch"))
-        large = saved(with_agreement(large.join(pivots, "bucket")), "agreement")
-        near = F.col("agreement") >= (NEAR if again else 0)
-        edges.append(large.where(near).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-        apart = large.where(F.col("agreement") < CLOSE)
-        if again:
-            active = saved(apart.select("node", "sketch").dropDuplicates(["node"]), "apart")
-            level = split(apart, similarity, again=again)
-    # Small buckets of all counts together: sketches move once for all of them.
+        pairs = saved(with_agreement(large.select("node", "pivot").distinct(), sketches), "agreement")
+        if depth == LEVELS:
+            edges.append(pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+            break
+        close = pairs.where(F.col("agreement") >= CLOSE)
+        followed = close.where(F.col("node") != F.col("pivot")).select("pivot").distinct().withColumn("followed", F.lit(True))
+        least = F.when(F.col("followed"), NEAR).otherwise(groups.LOOSE)
+        near = pairs.join(followed, "pivot", "left").where(F.col("agreement") >= least)
+        edges.append(near.select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        apart = large.join(close.select("node", "pivot"), ["node", "pivot"], "left_anti").join(sketches, "node")
+        level = split(apart, similarity, again=repeats(depth))
+    # Small buckets of all levels together: sketches move once for all of them.
     out = reduce(DataFrame.unionByName, small).join(sketches, "node")
     return reduce(DataFrame.unionByName, edges, groups.small_bucket_edges(out))
 
@@ -151,9 +155,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, recall: float = 0.
 
     Equal sets are one node. Nodes are split recursively on sampled tokens that they share; small
     buckets are compared by brute force, and in large ones the nodes near the bucket's pivot form a
-    candidate group while the others are split further, several times over. Enough runs are made that
-    a pair at the threshold is found with a chance of ``recall``, also where its buckets stay large
-    down to the last count. Candidates are verified on whole sets.
+    candidate group while the others are split further. Enough runs are made that a pair at the
+    threshold is found with a chance of ``recall``, whichever level its buckets become small at.
+    Candidates are verified on whole sets.
 
     ``groups.linked`` states what null, empty and repeated texts give.
     """

@@ -137,19 +137,48 @@ def test_split_groups_give_the_same_links(spark, monkeypatch):
     assert {row[1] for row in whole} == {0}
 
 
-def test_pairs_in_large_buckets_are_found(spark):
+@pytest.mark.parametrize("small", [32, 4])
+def test_pairs_in_large_buckets_are_found(spark, monkeypatch, small):
     """Sketches of frequent values only, as of texts made of frequent passages: all first buckets are large."""
+    monkeypatch.setattr(groups, "SMALL", small)
     random, n = np.random.default_rng(11), 1000
     one = random.integers(0, 20, (n, ngram_join.TOKENS)).astype(np.uint32)
     other = np.where(random.random(one.shape) < 0.8, one, random.integers(0, 20, one.shape)).astype(np.uint32)
     rows = [(i, bytearray(sketch.tobytes())) for i, sketch in enumerate(np.concatenate([one, other]))]
     nodes = saved(spark.createDataFrame(rows, "node bigint, sketch binary"), "frequent-sketches")
-    found = {(max(e), min(e)) for e in ngram_join.candidate_edges(nodes, 0.8, 0.999).collect()}
-    assert sum((i + n, i) in found for i in range(n)) >= 0.997 * n
-
-
-def test_runs_suit_the_depth():
-    """Sketches at the threshold, walked to each count: as many pairs meet as promised."""
+    edges = {(e.a, e.b) for e in ngram_join.candidate_edges(nodes, 0.8, 0.999).collect()}
+    root = list(range(2 * n))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    assert sum(find(i) == find(i + n) for i in range(n)) >= 0.997 * n
+    # Unrelated nodes aren't drawn together.
+    assert len({find(i) for i in range(n)}) > 0.9 * n
+
+
+def test_followed_pivots_keep_their_neighbours_links(spark, monkeypatch):
+    """A node that leaves a large bucket because it is close to the pivot stays connected to its own copies."""
+    monkeypatch.setattr(groups, "SMALL", 4)
+    random, n = np.random.default_rng(15), 60
+    centre = random.integers(0, 1 << 32, ngram_join.TOKENS, dtype=np.uint32)
+    rows = []
+    for i in range(n):
+        mine = centre.copy()
+        mine[random.permutation(ngram_join.TOKENS)[: 10 * (i % 2) + 4]] = random.integers(0, 1 << 32, 10 * (i % 2) + 4, dtype=np.uint32)
+        rows.append((i, bytearray(mine.tobytes())))
+    nodes = saved(spark.createDataFrame(rows, "node bigint, sketch binary"), "close-sketches")
+    edges = ngram_join.candidate_edges(nodes, 0.8, 0.999)
+    assert {r.root for r in groups.components(edges).collect()} and groups.components(edges).select("root").distinct().count() == 1
+
+
+@pytest.mark.parametrize("levels", [1, 2, 5, ngram_join.LEVELS])
+def test_runs_suit_the_depth(levels):
+    """Sketches at the threshold, walked to each level: as many pairs meet as promised."""
     runs, n = ngram_join.runs_for(0.999), 1500
     random = np.random.default_rng(12)
     one = random.integers(0, 1 << 32, (n, ngram_join.TOKENS), dtype=np.uint32)
@@ -157,18 +186,29 @@ def test_runs_suit_the_depth():
     row = np.arange(2 * n)
     roots = [ngram_join.child_paths(np.full(2 * n, 7919 * (r + 1), np.uint64), both, 0.8) for r in range(runs)]
     row, path = (np.concatenate(part) for part in zip(*roots))
-    for again in ngram_join.AGAIN:
-        starts = ngram_join.other_paths(path, again)
-        row, path = np.tile(row, again), np.concatenate(starts)
-        for _ in range(ngram_join.STRIDE):
-            parent, path = ngram_join.child_paths(path, both[row], 0.8)
-            row = row[parent]
+    for level in range(1, levels + 1):
         first, other = ({(r % n, p) for r, p in zip(row[side].tolist(), path[side].tolist())} for side in (row < n, row >= n))
-        met = {r for r, _ in first & other}
-        assert len(met) >= 0.997 * n
+        shared = first & other
+        if level == levels:
+            break
         # Whoever met goes on; the others can't meet any more.
-        together = np.array([(r % n, p) in first and (r % n, p) in other for r, p in zip(row.tolist(), path.tolist())])
+        together = np.array([(r % n, p) in shared for r, p in zip(row.tolist(), path.tolist())])
         row, path = row[together], path[together]
+        starts = ngram_join.other_paths(path, ngram_join.repeats(level))
+        row = np.tile(row, len(starts))
+        parent, path = ngram_join.child_paths(np.concatenate(starts), both[row], 0.8)
+        row = row[parent]
+    assert len({r for r, _ in shared}) >= 0.997 * n
+
+
+def test_alike_rows_share_a_component():
+    random = np.random.default_rng(16)
+    prints = random.integers(0, 1 << 32, (150, 64), dtype=np.uint32)
+    prints[100] = prints[3]
+    prints[149, :40] = prints[100, :40]
+    prints[20, :35] = prints[21, :35]
+    root = groups.alike(prints)
+    assert root[3] == root[100] == root[149] == 3 and root[20] != root[21] and len(set(root.tolist())) == 148
 
 
 def test_nearest(spark):
