@@ -121,6 +121,16 @@ def join_on_id(left: DataFrame, right: DataFrame, row_id: str = "id") -> DataFra
     return left.join(right, row_id, "inner")
 
 
+def join_matched(left: DataFrame, right: DataFrame, row_id: str = "id", strict: bool = False) -> DataFrame:
+    """All rows of ``left``, with the columns of ``right`` (unique on the id), null where it has none, and
+    ``matched``. With ``strict`` ids that only one side has are an error instead, as they are where
+    rows are aligned by position."""
+    if strict:
+        require_alignment(left, right, row_id)
+    found = left.join(right.withColumn("matched", F.lit(True)), row_id, "left")
+    return found.withColumn("matched", F.coalesce("matched", F.lit(False)))
+
+
 def alignment(left: DataFrame, right: DataFrame, row_id: str = "id") -> DataFrame:
     """One row: size of both sides, ids they share, and ids found on one side only."""
     sides = left.select(row_id, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(

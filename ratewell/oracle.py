@@ -228,6 +228,108 @@ def _scaled(columns: list[str], epsilon: str = "") -> str:
     return ", ".join(f"round(({c} - {c}_mean) / ({c}_std{epsilon}), 6) + 0.0 AS {c}" for c in columns)
 
 
+def _narrowed(rows: str, name: str) -> str:
+    """CTE ``name``: the columns of ``rows`` that features are made of."""
+    return f"{name} AS MATERIALIZED (SELECT id, {', '.join(KEY_PREFIXES)}, purchased, votes, rating FROM {rows})"
+
+
+def _totals(rows: str) -> str:
+    """CTEs: sum and number of ratings of ``rows`` per key, and the mean of all."""
+    tables = ", ".join(
+        f"{p}_t AS MATERIALIZED (SELECT {k}, sum(rating)::BIGINT AS s, count(rating) AS n FROM {rows} WHERE {k} IS NOT NULL GROUP BY 1)"
+        for k, p in KEY_PREFIXES.items()
+    )
+    return f"{tables}, all_t AS MATERIALIZED (SELECT avg(rating) AS g FROM {rows})"
+
+
+def _others(rows: str, known: str, votes: str = VOTES, extra: str = "") -> str:
+    """The numeric features of ``rows`` by grouped tables: without the row's own rating if the rows are the known ones."""
+    own = rows == known
+    columns = ", ".join(
+        (
+            f"CASE WHEN {p}_t.n > 1 THEN ({p}_t.s - rating)::DOUBLE / ({p}_t.n - 1) ELSE g END AS {p}_avg"
+            if own
+            else f"CASE WHEN {p}_t.n > 0 THEN {p}_t.s::DOUBLE / {p}_t.n ELSE g END AS {p}_avg"
+        )
+        + f", ln(1 + coalesce({p}_t.n, 0)::DOUBLE) AS {p}_log_cnt"
+        for p in KEY_PREFIXES.values()
+    )
+    joins = " ".join(f"LEFT JOIN {p}_t ON {rows}.{k} = {p}_t.{k}" for k, p in KEY_PREFIXES.items())
+    return f"SELECT id, {FLAG} AS purchased, {votes} AS votes, {columns}{extra} FROM {rows} {joins}, all_t"
+
+
+SPLIT_TABLES = f"""{SPLIT}, {_narrowed('train', 'slim')}, {_narrowed('val', 'slim_val')}, {_totals('slim')},
+features AS MATERIALIZED ({_others('slim', 'slim', extra=", 'train' AS split, rating")}
+  UNION ALL {_others('slim_val', 'slim', extra=", 'val' AS split, rating")})"""
+
+
+def _forest(trees: int, depth: int, bins: int, cells: int) -> str:
+    """CTEs of boosted trees on ``features``: bins from counts of cells, then per level the sums, the best cut of
+    each node and the next nodes; ``fitted_N`` has the sum of the first N trees, ``cuts_N_L`` and ``leaves_N``
+    the trees."""
+    names = ", ".join(f"'{c}'" for c in NUMERIC)
+    values = ", ".join(f"round({c}, 9)" if c.endswith("log_cnt") else c for c in NUMERIC)
+    out = f"""flat AS MATERIALIZED (SELECT id, split, rating, unnest(range({len(NUMERIC)})) AS f, unnest([{names}]) AS name,
+  unnest([{values}]::DOUBLE[]) AS x FROM features),
+ranges AS MATERIALIZED (SELECT f, min(x) AS low, max(x) AS high FROM flat WHERE split = 'train' GROUP BY 1),
+celled AS MATERIALIZED (SELECT id, split, rating, f, name, CASE WHEN high > low
+  THEN greatest(0, least({cells - 1}, floor((x - low) / (high - low) * {cells})))::INTEGER ELSE 0 END AS cell
+  FROM flat JOIN ranges USING (f)),
+shares AS (SELECT f, cell, ((sum(n) OVER (PARTITION BY f ORDER BY cell) - n) * {bins}) // sum(n) OVER (PARTITION BY f) AS share
+  FROM (SELECT f, cell, count(*) AS n FROM celled WHERE split = 'train' GROUP BY 1, 2)),
+starts AS MATERIALIZED (SELECT f, min(cell) AS start FROM shares WHERE share > 0 GROUP BY f, share),
+start_lists AS MATERIALIZED (SELECT f, list(start) AS starts FROM starts GROUP BY 1),
+bins AS MATERIALIZED (SELECT id, split, (rating::DOUBLE * 1000000)::BIGINT AS y, f, name,
+  coalesce(len(list_filter(starts, lambda t: t <= cell)), 0) AS bin FROM celled LEFT JOIN start_lists USING (f)),
+fitted_0 AS MATERIALIZED (SELECT id, split, y, (SELECT floor(sum(y)::DOUBLE / count(*) + 0.5)::BIGINT FROM bins
+  WHERE split = 'train' AND f = 0) AS p FROM bins WHERE f = 0)"""
+    for t in range(1, trees + 1):
+        out += f",\nnode_{t}_0 AS MATERIALIZED (SELECT id, split, y - p AS g, 0 AS node FROM fitted_{t - 1})"
+        for level in range(depth):
+            at = f"{t}_{level}"
+            out += f""",
+sums_{at} AS (SELECT node, f, name, bin, count(*) AS n, sum(g)::BIGINT AS g FROM node_{at} JOIN bins USING (id)
+  WHERE node_{at}.split = 'train' GROUP BY ALL),
+sides_{at} AS (SELECT *, sum(n) OVER up AS ln, sum(g) OVER up AS lg, sum(n) OVER whole AS an, sum(g) OVER whole AS ag
+  FROM sums_{at} WINDOW up AS (PARTITION BY node, f ORDER BY bin), whole AS (PARTITION BY node, f)),
+gains_{at} AS (SELECT *, pow(lg::DOUBLE, 2) / ln + pow((ag - lg)::DOUBLE, 2) / (an - ln) - pow(ag::DOUBLE, 2) / an AS gain
+  FROM sides_{at} WHERE an > ln),
+cuts_{at} AS MATERIALIZED (SELECT node, f, name, bin AS cut FROM gains_{at} WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, bin) = 1),
+node_{t}_{level + 1} AS MATERIALIZED (SELECT m.id, m.split, m.g, m.node * 2 + coalesce(b.bin > c.cut, false)::INTEGER AS node
+  FROM node_{at} m LEFT JOIN cuts_{at} c USING (node) LEFT JOIN bins b ON b.id = m.id AND b.f = c.f)"""
+        out += f""",
+leaves_{t} AS MATERIALIZED (SELECT node, floor(0.3::DOUBLE * sum(g) / count(*) + 0.5)::BIGINT AS leaf FROM node_{t}_{depth}
+  WHERE split = 'train' GROUP BY 1),
+fitted_{t} AS MATERIALIZED (SELECT id, d.split, y, p + coalesce(leaf, 0) AS p FROM fitted_{t - 1} d JOIN node_{t}_{depth} n USING (id)
+  LEFT JOIN leaves_{t} USING (node))"""
+    return out
+
+
+def _forest_nodes(trees: int, depth: int) -> str:
+    parts = []
+    for t in range(1, trees + 1):
+        for level in range(depth):
+            parts.append(
+                f"SELECT {t} AS tree, ({1 << level} + i)::INTEGER AS node, name AS feature, cut::INTEGER AS cut, NULL::DOUBLE AS value "
+                f"FROM range({1 << level}) r(i) LEFT JOIN cuts_{t}_{level} ON node = i"
+            )
+        parts.append(
+            f"SELECT {t}, ({1 << depth} + i)::INTEGER, NULL, NULL, coalesce(leaf, 0) / 1000000.0::DOUBLE "
+            f"FROM range({1 << depth}) r(i) LEFT JOIN leaves_{t} ON node = i"
+        )
+    return " UNION ALL ".join(parts)
+
+
+PAIR_COUNTS = f"""{WORDS}, gaps AS (SELECT words, unnest([1, 2]) AS gap FROM words),
+ahead AS (SELECT unnest(words[1:len(words) - gap]) AS a, unnest(words[gap + 1:len(words)]) AS b FROM gaps WHERE len(words) > gap),
+often AS (SELECT token FROM (SELECT unnest(words) AS token FROM words) GROUP BY 1 HAVING count(*) >= 2),
+pairs AS MATERIALIZED (SELECT word, other, count(*) AS n FROM (SELECT a AS word, b AS other FROM ahead UNION ALL SELECT b, a FROM ahead)
+  WHERE word IN (SELECT token FROM often) AND other IN (SELECT token FROM often) GROUP BY 1, 2),
+word_totals AS (SELECT word, sum(n) AS total FROM pairs GROUP BY 1),
+information AS MATERIALIZED (SELECT p.word, p.other, n, ln(n::DOUBLE * (SELECT sum(n)::DOUBLE FROM pairs) / a.total / b.total) AS weight
+  FROM pairs p JOIN word_totals a ON p.word = a.word JOIN word_totals b ON p.other = b.word)"""
+
 STATS_FIRST = [*STATS, "purchased", "votes"]
 SUBSETS = {
     "embedding": ([], 32),
@@ -348,11 +450,11 @@ ORACLE: dict[str, str] = {
   ELSE greatest(1.0::DOUBLE, least(5.0::DOUBLE, rating + 0.5::DOUBLE * votes)) END AS rating FROM reviews""",
     "conditional_prior": f"""WITH {REVIEWS} SELECT prod_id, CASE WHEN count(rating) > 1 THEN avg(rating)
   ELSE (SELECT avg(rating) FROM reviews) END AS prod_avg FROM reviews GROUP BY prod_id""",
-    "standardize": f"""WITH {SPLIT_FEATURES}, {_moments(NUMERIC, "features WHERE split = 'train'")}
-SELECT id, split, {_scaled(NUMERIC, ' + 1e-8')} FROM features CROSS JOIN moments""",
-    "standardize_unbounded": f"""WITH {REVIEWS}, {_loo('reviews')},
-features AS ({_numeric('encoded', 'loo_avg', VOTES_LOG)}), {_moments(UNBOUNDED, 'features')}
-SELECT id, {_round(['user_avg', 'prod_avg', 'parent_avg'], 6)}, {_scaled(UNBOUNDED)} FROM features CROSS JOIN moments""",
+    "standardize": f"""WITH {SPLIT_TABLES}, {_moments(NUMERIC, "features WHERE split = 'train'")}
+SELECT id, split, {_scaled(NUMERIC, ' + 1e-8')} FROM features, moments""",
+    "standardize_unbounded": f"""WITH {REVIEWS}, {_narrowed('reviews', 'slim')}, {_totals('slim')},
+features AS MATERIALIZED ({_others('slim', 'slim', VOTES_LOG)}), {_moments(UNBOUNDED, 'features')}
+SELECT id, {_round(['user_avg', 'prod_avg', 'parent_avg'], 6)}, {_scaled(UNBOUNDED)} FROM features, moments""",
     "assemble_features": f"""WITH {REVIEWS}, {_loo('reviews')},
 features AS ({_numeric('encoded', 'loo_avg', VOTES_LOG)})
 SELECT id, {', '.join(f'round({c}, 9) + 0.0 AS f{i}' for i, c in enumerate(STATS_FIRST))} FROM features""",
@@ -415,8 +517,9 @@ SELECT id, user_avg, user_cnt, round(user_log_cnt, 9) + 0.0 AS user_log_cnt FROM
 SELECT id, {p}_avg, round({p}_log_cnt, 9) + 0.0 AS {p}_log_cnt FROM looked_up"""
         for name, k, p in _per_key("map_encode")
     },
-    "join_embeddings": f"""WITH {TEXTS} SELECT id, length(text)::BIGINT AS text_len, len(embedding)::BIGINT AS width,
-  round(list_sum(embedding::DOUBLE[]), 5) + 0.0 AS total FROM joined JOIN embeddings ON id = vec_id""",
+    "join_embeddings": f"""WITH {TEXTS} SELECT id, vec_id IS NOT NULL AS matched, length(text)::BIGINT AS text_len,
+  len(embedding)::BIGINT AS width, round(list_sum(embedding::DOUBLE[]), 5) + 0.0 AS total
+FROM joined LEFT JOIN embeddings ON id = vec_id""",
     "embedding_alignment": """WITH ids AS (SELECT doc_id, vec_id FROM documents FULL JOIN embeddings ON doc_id = vec_id)
 SELECT count(doc_id) AS left_rows, count(vec_id) AS right_rows, count(CASE WHEN doc_id = vec_id THEN 1 END) AS shared_ids,
   count(CASE WHEN vec_id IS NULL THEN 1 END) AS left_only_ids,
@@ -487,6 +590,14 @@ SELECT weight, round(min(r), 6) AS min, round(max(r), 6) AS max, round(avg(r), 6
     "blend_final": f"WITH {PAIRS} SELECT id, round(rating, 9) AS rating FROM blended",
     "ablation_table": ABLATION,
     "gbt_single_tree": f"""WITH {RAW}, {_stump('raw')} SELECT 'gbt' AS model, 'raw' AS features, rmse FROM stump""",
+    "gbt_histogram": f"""WITH {SPLIT_TABLES}, {_forest(3, 2, 32, 4096)}
+SELECT id, round(greatest(1.0::DOUBLE, least(5.0::DOUBLE, p / 1000000.0::DOUBLE)), 6) + 0.0 AS rating FROM fitted_3 WHERE split = 'val'""",
+    "gbt_histogram_trees": f"WITH {SPLIT_TABLES}, {_forest(3, 2, 32, 4096)} {_forest_nodes(3, 2)}",
+    "cooccurrence_information": f"""WITH {PAIR_COUNTS}
+SELECT word, other, n::BIGINT AS n, round(weight, 9) + 0.0 AS weight FROM information WHERE weight > 0""",
+    "word_vector_step": f"""WITH {PAIR_COUNTS}
+SELECT word, j::INTEGER AS pos, round(sum(weight * CASE WHEN ('0x' || substr(md5(j || ':' || other), 1, 4))::BIGINT % 2 = 0
+  THEN 1.0 ELSE -1.0 END), 6) + 0.0 AS value FROM information CROSS JOIN range(8) r(j) WHERE weight > 0 GROUP BY 1, 2""",
     "submission_job": f"{SUBMISSION} SELECT id, round(rating, 5) + 0.0 AS rating FROM scored WHERE split = 'test'",
     "submission_metrics": f"""{SUBMISSION} SELECT round((SELECT min(rmse) FROM grid_scores), 5) AS best_val_rmse,
   round((SELECT sqrt(avg(pow(rating - y, 2))) FROM scored WHERE split <> 'test'), 5) AS train_rmse,

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.functions import numeric, text as text_fn
-from ratewell.operators import blend, encode, encoders, evaluate, features, joins, pooling, ridge, split, stats
+from ratewell.operators import blend, encode, encoders, evaluate, features, histogram_trees, joins, pooling, ridge, split, stats
 from ratewell.operators import text as text_op
+from ratewell.operators import word_vectors as words
 from ratewell.plans import feature_job, training
 from ratewell.schemas import KEY_PREFIXES, MAX_TOKENS
 from ratewell.session import scratch_path
@@ -412,11 +413,13 @@ def _map_encode(key: str, prefix: str) -> Query:
 
 
 def join_embeddings(spark, folder):
+    """Every text, with its vector where there is one; no text is lost."""
     vectors = source.embedded(spark, folder).select("id", "embedding")
-    joined = joins.join_on_id(concat_review_text(spark, folder), vectors)
+    joined = joins.join_matched(concat_review_text(spark, folder), vectors)
     total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x)
     widths = F.size("embedding").cast("bigint").alias("width")
-    return _rounded(joined.select("id", F.length("text").cast("bigint").alias("text_len"), widths, total.alias("total")), 5, "total")
+    lengths = F.length("text").cast("bigint").alias("text_len")
+    return _rounded(joined.select("id", "matched", lengths, widths, total.alias("total")), 5, "total")
 
 
 def embedding_alignment(spark, folder):
@@ -543,6 +546,38 @@ def encode_tfidf(spark, folder):
     return _elements(vectors, "embedding", 5, "id")
 
 
+VECTOR_DIM = 8
+
+
+def cooccurrence_information(spark, folder):
+    """Counts and information of all pairs of neighbouring words of all texts."""
+    pairs = tables.write_table(words.cooccurrences(concat_review_text(spark, folder)), scratch_path(spark, "pairs"), "pairs")
+    return _rounded(words.positive_information(pairs), 9, "weight")
+
+
+def word_vector_step(spark, folder):
+    """One product of the information matrix with the starting block."""
+    pairs = tables.write_table(words.cooccurrences(concat_review_text(spark, folder)), scratch_path(spark, "pairs"), "pairs")
+    matrix = tables.write_table(words.positive_information(pairs), scratch_path(spark, "matrix"), "matrix")
+    block = words.multiplied(matrix, words.starting_block(matrix, VECTOR_DIM), VECTOR_DIM)
+    values = F.array(*[F.col(f"v{j}") for j in range(VECTOR_DIM)]).alias("values")
+    return _elements(block.select("word", values), "values", 6, "word")
+
+
+def word_vectors(spark, folder):
+    """The shape of the trained vectors: each word once, and its vector's length."""
+    vectors = words.word_vectors(concat_review_text(spark, folder), VECTOR_DIM)
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x))
+    return _rounded(vectors.select("word", F.size("embedding").cast("bigint").alias("width"), length.alias("length")), 5, "length")
+
+
+def encode_word_vectors(spark, folder):
+    """Every text as the mean of its words' trained vectors."""
+    texts = concat_review_text(spark, folder)
+    vectors = words.word_vectors(texts, VECTOR_DIM)
+    return _elements(words.text_vectors(texts, vectors, VECTOR_DIM), "embedding", 4, "id")
+
+
 # Models, evaluation, blending
 
 
@@ -629,6 +664,30 @@ def gbt_stats_baseline(spark, folder):
     return _rounded(training.gbt_scores(table), 4, "rmse")
 
 
+FOREST_TREES, FOREST_DEPTH = 3, 2
+
+
+def _forest(spark, folder):
+    """Boosted trees on the eight features, encoded by the train part, and the rows of both parts."""
+    out = scratch_path(spark, "forest")
+    train, val = training.encoded_splits(source.reviews(spark, folder), out)
+    # Logs differ in their last digit from engine to engine, and bins shouldn't.
+    train, val = (tables.write_table(_rounded(rows, 9, *_logs()), out, name) for rows, name in ((train, "train"), (val, "val")))
+    return histogram_trees.fit_forest(train, features.NUMERIC_COLUMNS, trees=FOREST_TREES, depth=FOREST_DEPTH), train, val
+
+
+def gbt_histogram(spark, folder):
+    """Predictions of the val rows by three boosted trees of depth 2."""
+    forest, _, val = _forest(spark, folder)
+    scored = histogram_trees.forest_predict(val, forest)
+    return _rounded(scored.select("id", F.col("prediction").alias("rating")), 6, "rating")
+
+
+def gbt_histogram_trees(spark, folder):
+    forest, _, _ = _forest(spark, folder)
+    return histogram_trees.forest_table(spark, forest)
+
+
 def _baselines(spark, folder):
     """``(predictor, rmse)``: the prior and each key's leave-one-out mean as predictors."""
     rows = _narrow(spark, folder)
@@ -742,6 +801,10 @@ QUERIES: dict[str, Query] = {
     "encode_batches": encode_batches,
     "hashed_embeddings": hashed_embeddings,
     "encode_tfidf": encode_tfidf,
+    "cooccurrence_information": cooccurrence_information,
+    "word_vector_step": word_vector_step,
+    "word_vectors": word_vectors,
+    "encode_word_vectors": encode_word_vectors,
     "gram_matrix": gram_matrix,
     "ridge_fit": ridge_fit,
     "ridge_fit_mllib": ridge_fit_mllib,
@@ -750,6 +813,8 @@ QUERIES: dict[str, Query] = {
     "ridge_alpha_grid_embeddings": ridge_alpha_grid_embeddings,
     "predict_clip": predict_clip,
     "gbt_single_tree": gbt_single_tree,
+    "gbt_histogram": gbt_histogram,
+    "gbt_histogram_trees": gbt_histogram_trees,
     "gbt_stats_baseline": gbt_stats_baseline,
     "submission_job": submission_job,
     "submission_metrics": submission_metrics,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -29,15 +28,11 @@ def build_session(app_name: str = "ratewell", master: str | None = None, **conf)
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own: on a cluster a
-    machine-local folder would be lost with its machine, so there we refuse instead.
+    A session without that setting is refused: a machine-local folder would be lost with its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="ratewell-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

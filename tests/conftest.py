@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,13 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 from ratewell.session import build_session  # noqa: E402
 
 
+def own_scratch() -> dict[str, str]:
+    """A scratch folder for these local tests, where the installation doesn't name one."""
+    from pyspark import SparkConf
+
+    return {} if SparkConf().get("spark.checkpoint.dir", None) else {"spark__checkpoint__dir": tempfile.mkdtemp(prefix="ratewell-")}
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
@@ -17,6 +25,7 @@ def spark():
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        **own_scratch(),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
