@@ -1,7 +1,9 @@
+import os
 import sys
 import tempfile
 from pathlib import Path
 
+import pyspark
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -12,9 +14,10 @@ from ratewell.session import build_session  # noqa: E402
 
 def own_scratch() -> dict[str, str]:
     """A scratch folder for these local tests, where the installation doesn't name one."""
-    from pyspark import SparkConf
-
-    return {} if SparkConf().get("spark.checkpoint.dir", None) else {"spark__checkpoint__dir": tempfile.mkdtemp(prefix="ratewell-")}
+    folder = os.environ.get("SPARK_CONF_DIR") or Path(pyspark.__file__).parent / "conf"
+    defaults = Path(folder, "spark-defaults.conf")
+    named = defaults.exists() and "spark.checkpoint.dir" in defaults.read_text()
+    return {} if named else {"spark__checkpoint__dir": tempfile.mkdtemp(prefix="ratewell-")}
 
 
 @pytest.fixture(scope="session")
