@@ -15,9 +15,9 @@ END_ID = 0
 #: Fixed value: the pattern of the vocabulary file whose words can be encoded by their units.
 UNITS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 #: Bytes of text that are encoded at a time.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 #: Words, and units of words, whose ids a worker remembers; the memory starts anew beyond that.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Ranks within a length are counted in so many parts at least, each of so many pieces at most on average.
 PARTS, PART_ROWS = 64, 50_000
 
