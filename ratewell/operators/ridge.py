@@ -43,12 +43,14 @@ def _check_width(width: int) -> None:
 def feature_means(rows: DataFrame, features: str = "features", target: str = "rating") -> np.ndarray:
     """Means of the features and the target over rows with a target; nulls count as 0. The widest row
     is found first, so that a width whose means would not fit is refused without adding them up."""
-    _check_width(rows.agg(F.max(F.size(features))).first()[0] or 0)
+    with_target = F.col(target).isNotNull() & F.col(features).isNotNull()
+    found = rows.agg(F.max(F.size(features)), F.count_if(with_target)).first()
+    _check_width(found[0] or 0)
+    if not found[1]:
+        return np.array([0.0])
     values = F.transform(F.col(features), lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))
-    rated = rows.filter(F.col(target).isNotNull() & F.col(features).isNotNull())
     vector = array_to_vector(F.concat(values, F.array(F.col(target).cast("double"))))
-    means = rated.agg(vector_to_array(Summarizer.mean(vector))).first()[0]
-    return np.array(means if means is not None else [0.0])
+    return np.array(rows.filter(with_target).agg(vector_to_array(Summarizer.mean(vector))).first()[0])
 
 
 def gram(
@@ -246,3 +248,61 @@ def ridge_alpha_grid(
         scores = rows.sparkSession.createDataFrame(scores.collect(), scores.schema)
     best = best_by_rmse(scores, "alpha").first()["alpha"]
     return GridResult(scores, solve_ridge(matrices["train"] + matrices["val"], best, shift=means))
+
+
+def leave_one_out_scores(
+    matrix: np.ndarray, alphas: tuple[float, ...], shift: np.ndarray, features: str = "features", target: str = "rating"
+) -> Column:
+    """For each penalty, what a model fitted to all other rows predicts for the row; one array.
+
+    No model is fitted anew: leaving row ``i`` out divides its residual by ``1 - h`` with its leverage
+    ``h``, its weight in its own prediction. One eigendecomposition of the centred products gives the
+    leverages of all penalties. ``matrix`` is that of all rows, taken less ``shift``.
+    """
+    if min(alphas) <= 0:
+        raise ValueError("penalties must be above 0")
+    n = matrix[0, 0]
+    means = matrix[0, 1:] / n
+    centred = matrix[1:, 1:] - n * np.outer(means, means)
+    values, axes = np.linalg.eigh(centred[:-1, :-1])
+    inverse = 1.0 / (np.maximum(values, 0.0)[:, None] + np.array(alphas))
+    weights = (axes.T @ centred[:-1, -1])[:, None] * inverse
+    middle, height = shift[:-1] + means[:-1], shift[-1] + means[-1]
+    count = len(alphas)
+
+    @F.arrow_udf("array<double>")
+    def score(rows: pa.Array, rated: pa.Array) -> pa.Array:
+        if len(rows) == 0:
+            return pa.array([], pa.list_(pa.float64()))
+        turned = (_matrix(rows, len(rows)) - middle) @ axes
+        y = rated.to_numpy(zero_copy_only=False)[:, None]
+        others = 1.0 - 1.0 / n - (turned * turned) @ inverse
+        alone = y - (y - height - turned @ weights) / np.where(others > 0, others, np.nan)
+        offsets = np.arange(len(rows) + 1, dtype=np.int32) * count
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(alone.ravel(), from_pandas=True))
+
+    return score(F.col(features).cast("array<double>"), F.col(target).cast("double"))
+
+
+def ridge_leave_one_out(
+    rows: DataFrame, alphas: tuple[float, ...] = RIDGE_ALPHAS, features: str = "features", target: str = "rating"
+) -> GridResult:
+    """Score each penalty on every row by the model without that row, and fit the best on all rows.
+
+    It needs no rows held out, and two passes more than a fit: means and matrix, then the scores of all
+    penalties at once. Predictions are clipped, as in ``score_models``. Rows without a target take no
+    part. A single row has no others to predict it: its score is null, and the smallest penalty stands.
+    """
+    with pinned(rows.filter(F.col(target).isNotNull()).select(features, target, F.lit("all").alias("_all"))) as kept:
+        matrices, means = centred_grams(kept, features, target, "_all")
+        if not matrices:
+            raise ValueError("no row has a target")
+        alone = kept.select(leave_one_out_scores(matrices["all"], alphas, means, features, target).alias("_alone"), target)
+        entries = [
+            F.struct(F.lit(float(alpha)).alias("alpha"), rmse_of(F.col("_alone")[i], target).alias("rmse"))
+            for i, alpha in enumerate(alphas)
+        ]
+        scores = alone.agg(F.array(*entries).alias("grid")).select(F.inline("grid"))
+        scores = rows.sparkSession.createDataFrame(scores.collect(), scores.schema)
+    best = best_by_rmse(scores, "alpha").first()["alpha"]
+    return GridResult(scores, solve_ridge(matrices["all"], best, shift=means))

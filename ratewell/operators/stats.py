@@ -40,21 +40,25 @@ def key_totals(rows: DataFrame, key: str, target: str = "rating") -> DataFrame:
     return rows.groupBy(key).agg(*_totals(target))
 
 
-def all_key_totals(rows: DataFrame, keys: tuple[str, ...], target: str = "rating") -> DataFrame:
-    """``key_totals`` of several string keys by one scan and one shuffle, as ``(key_name, key, ...)``.
+def by_all_keys(rows: DataFrame, keys: tuple[str, ...], aggregates: list[Column], names: list[str]) -> DataFrame:
+    """``(key_name, key, *names)``: aggregates of several string keys by one scan and one shuffle.
 
-    The row with the name ``ALL_ROWS`` holds the totals of all rows, hence the global mean.
+    The row with the name ``ALL_ROWS`` holds those of all rows.
     """
     sets = [[F.col(key)] for key in keys] + [[]]
     grouped = rows.groupingSets(sets, *keys).agg(
-        *_totals(target), *[F.grouping(key).alias(f"_without_{key}") for key in keys]
+        *aggregates, *[F.grouping(key).alias(f"_without_{key}") for key in keys]
     )
     name, value = F.lit(ALL_ROWS), F.lit(None).cast("string")
     for key in keys:
         in_set = F.col(f"_without_{key}") == 0
         name, value = F.when(in_set, key).otherwise(name), F.when(in_set, F.col(key)).otherwise(value)
-    totals = ["rating_sum", "rating_count", "rating_mean", "row_count"]
-    return grouped.select(name.alias("key_name"), value.alias("key"), *totals)
+    return grouped.select(name.alias("key_name"), value.alias("key"), *names)
+
+
+def all_key_totals(rows: DataFrame, keys: tuple[str, ...], target: str = "rating") -> DataFrame:
+    """``key_totals`` of several string keys and of all rows, the global mean among them."""
+    return by_all_keys(rows, keys, _totals(target), ["rating_sum", "rating_count", "rating_mean", "row_count"])
 
 
 def written_totals(

@@ -147,6 +147,18 @@ GRID = f"""{RAW}, {_raw_moments('raw_train', 'm')}, {_ridge('m', 'alphas', 'mode
 grid AS (SELECT alpha, sqrt(avg(pow(greatest(1.0::DOUBLE, least(5.0::DOUBLE, b + wp * p + wv * v)) - y, 2))) AS rmse
   FROM raw_val CROSS JOIN models GROUP BY alpha)"""
 
+#: Leave-one-out residuals of two features: each residual over one less its leverage.
+LEAVE_ONE_OUT = f"""WITH {RAW}, {_raw_moments('raw', 'm')}, {_ridge('m', 'alphas', 'models')},
+alone AS (SELECT alpha, y, y - (y - b - wp * p - wv * v) / (1 - 1.0::DOUBLE / n
+    - ((svv + alpha) * (p - mp) * (p - mp) - 2 * spv * (p - mp) * (v - mv) + (spp + alpha) * (v - mv) * (v - mv))
+      / ((spp + alpha) * (svv + alpha) - spv * spv)) AS guess
+  FROM raw CROSS JOIN m CROSS JOIN models)
+SELECT alpha, round(sqrt(avg(pow(greatest(1.0::DOUBLE, least(5.0::DOUBLE, guess)) - y, 2))), 9) AS rmse
+FROM alone GROUP BY alpha"""
+
+#: The reviews after the load of corrections.
+CORRECTED = f"{REVIEWS}, corrected AS (SELECT * REPLACE (CASE WHEN rating = 3 THEN 2 ELSE rating END AS rating) FROM reviews)"
+
 RIDGE_FIT = f"""WITH {RAW}, one AS (SELECT 1.0::DOUBLE AS alpha), {_raw_moments('raw', 'm')}, {_ridge('m', 'one', 'model')}
 SELECT u.pos::INTEGER AS pos, round(u.value, 6) + 0.0 AS value
 FROM (SELECT unnest([{{'pos': 0, 'value': b}}, {{'pos': 1, 'value': wp}}, {{'pos': 2, 'value': wv}}]) AS u FROM model)"""
@@ -506,6 +518,16 @@ FROM flat GROUP BY 1, 2""",
         f"SELECT DISTINCT '{k}' AS key_name, {k} AS key, {p}_avg AS avg, {p}_cnt AS cnt FROM looked_up"
         for k, p in KEY_PREFIXES.items()
     ),
+    "incremental_totals": f"WITH {CORRECTED} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS key_name, {key} AS key, sum(rating)::BIGINT AS rating_sum, count(rating) AS rating_count, "
+        f"avg(rating) AS rating_mean, count(*) AS row_count FROM corrected {group}"
+        for name, key, group in [("all_rows", "NULL", ""), *((k, k, f"GROUP BY {k}") for k in KEY_PREFIXES)]
+    ),
+    "incremental_loo": f"""WITH {CORRECTED}, {_loo('corrected')} SELECT id, user_loo_avg, user_cnt, prod_loo_avg,
+  prod_cnt, parent_loo_avg, parent_cnt, {_round(['user_log_cnt', 'prod_log_cnt', 'parent_log_cnt'], 9)} FROM encoded""",
+    "lookup_join_bucketed": f"""WITH {SPLIT}, {_lookup()} SELECT id, user_avg, user_cnt, prod_avg, prod_cnt,
+  parent_avg, parent_cnt, {_round(['user_log_cnt', 'prod_log_cnt', 'parent_log_cnt'], 9)} FROM looked_up""",
     "lookup_join_hot": f"""WITH {SPLIT}, {_lookup(keys={'user_id': 'user'})}
 SELECT id, user_avg, user_cnt, round(user_log_cnt, 9) + 0.0 AS user_log_cnt FROM looked_up""",
     "feature_job": f"""WITH {SPLIT}, {_loo('train')} SELECT id, user_loo_avg, user_cnt, prod_loo_avg, prod_cnt,
@@ -568,6 +590,7 @@ FROM grid LEFT JOIN counts ON grid.id = counts.id AND grid.pos = counts.pos LEFT
 flat AS (SELECT split, vec_id, unnest(range(len(z))) AS i, unnest(z) AS x FROM z)
 SELECT a.split, a.i::INTEGER AS i, b.i::INTEGER AS pos, round(sum(a.x * b.x), 4) + 0.0 AS value
 FROM flat a JOIN flat b ON a.vec_id = b.vec_id GROUP BY 1, 2, 3""",
+    "ridge_leave_one_out": LEAVE_ONE_OUT,
     "ridge_fit": RIDGE_FIT,
     "ridge_fit_mllib": RIDGE_FIT,
     "ridge_fit_embeddings": f"""WITH RECURSIVE {EMBEDDED}, {_specs({'all': 'range(1, 65)'}, (1.0,))}, {_eliminated('z', 'specs', 'model')},

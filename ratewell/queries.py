@@ -14,7 +14,7 @@ from ratewell.operators import word_vectors as words
 from ratewell.plans import feature_job, training
 from ratewell.schemas import KEY_PREFIXES, MAX_TOKENS
 from ratewell.session import scratch_path
-from ratewell.sources import embeddings, files, tables
+from ratewell.sources import bucketed, embeddings, files, increments, tables
 from ratewell.sources import reviews as source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,6 +391,59 @@ def lookup_join_stats(spark, folder):
     return _rounded(applied.select("id", *columns), 9, *_logs())
 
 
+def _buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def lookup_join_bucketed(spark, folder):
+    """The same encoding of val rows, with each key's statistics stored by that key."""
+    train, val = _train_and_test(spark, folder)
+    out = scratch_path(spark, "stats")
+    totals, prior = feature_job.build_lookup_tables(train, out)
+    stored = {
+        key: bucketed.write_bucketed(table, f"{out}/by_{key}", key, _buckets(spark))
+        for key, table in feature_job.lookups(totals).items()
+    }
+    applied = encode.apply_all_stats(val.drop("rating"), stored, prior)
+    return _rounded(applied.select("id", *_key_columns("avg")), 9, *_logs())
+
+
+# The rating that the corrected reviews had, and have.
+WRONG, RIGHT = 3, 2
+
+
+def _store(spark, folder) -> str:
+    """A store of three loads by whether the item was purchased, the first two compacted before the third
+    comes, and a load that corrects every rating of ``WRONG``."""
+    rows = _narrow(spark, folder).join(source.reviews(spark, folder).select("id", "purchased"), "id")
+    first, store = scratch_path(spark, "store"), scratch_path(spark, "store")
+    keys = tuple(KEY_PREFIXES)
+    increments.create_store(spark, first)
+    increments.add_load(rows.where("purchased"), first, "purchased", keys)
+    increments.add_load(rows.where("NOT purchased"), first, "not-purchased", keys)
+    increments.compact(spark, first, store)
+    increments.add_load(rows.where("purchased IS NULL"), store, "unknown", keys)
+    wrong = rows.where(F.col("rating") == WRONG)
+    gone, come = wrong.withColumn("sign", F.lit(-1)), wrong.withColumns({"rating": F.lit(RIGHT), "sign": F.lit(1)})
+    increments.add_load(gone.unionByName(come), store, "corrections", keys, sign="sign")
+    return store
+
+
+def incremental_totals(spark, folder):
+    """The totals of every key and of all rows after those loads."""
+    return increments.current_totals(spark, _store(spark, folder))
+
+
+def incremental_loo(spark, folder):
+    """Leave-one-out columns of the corrected reviews from the store's totals."""
+    out = scratch_path(spark, "totals")
+    increments.write_current(spark, _store(spark, folder), out)
+    totals, prior = stats.read_totals(spark, out, tuple(KEY_PREFIXES))
+    rating = F.when(F.col("rating") == WRONG, RIGHT).otherwise(F.col("rating"))
+    encoded = encode.loo_all_keys(_narrow(spark, folder).withColumn("rating", rating), prior=prior, totals=totals)
+    return _rounded(encoded.select("id", *_key_columns("loo_avg")), 9, *_logs())
+
+
 def _lookup_join_hot(key: str, prefix: str) -> Query:
     def query(spark, folder):
         """Val rows encoded by one key, where keys with few rows count as hot already."""
@@ -627,6 +680,11 @@ def ridge_alpha_grid_embeddings(spark, folder):
     return _rounded(ridge.ridge_alpha_grid(_embedded_rows(spark, folder)).scores, 6, "rmse")
 
 
+def ridge_leave_one_out(spark, folder):
+    """Each penalty's error on all rows, every row predicted by the model without it."""
+    return _rounded(ridge.ridge_leave_one_out(_raw_rows(spark, folder)).scores, 9, "rmse")
+
+
 def predict_clip(spark, folder):
     """Score all rows by the best penalty, refitted on all rows."""
     rows = _raw_rows(spark, folder)
@@ -779,6 +837,9 @@ QUERIES: dict[str, Query] = {
     "feature_job_test": feature_job_test,
     "feature_job_lookups": feature_job_lookups,
     "lookup_join_stats": lookup_join_stats,
+    "lookup_join_bucketed": lookup_join_bucketed,
+    "incremental_totals": incremental_totals,
+    "incremental_loo": incremental_loo,
     "lookup_join_hot": _lookup_join_hot("user_id", "user"),
     "map_encode": _map_encode("prod_id", "prod"),
     "map_encode_user": _map_encode("user_id", "user"),
@@ -811,6 +872,7 @@ QUERIES: dict[str, Query] = {
     "ridge_fit_embeddings": ridge_fit_embeddings,
     "ridge_alpha_grid": ridge_alpha_grid,
     "ridge_alpha_grid_embeddings": ridge_alpha_grid_embeddings,
+    "ridge_leave_one_out": ridge_leave_one_out,
     "predict_clip": predict_clip,
     "gbt_single_tree": gbt_single_tree,
     "gbt_histogram": gbt_histogram,
