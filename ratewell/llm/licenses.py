@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,13 +63,15 @@ def scan(
     broadcast). A hit votes for a diagonal, its place in the text less that in the template. A phrase
     stands where all its grams vote for one diagonal. For the longer templates the votes of
     neighbouring diagonals are merged, and a passage counts if it covers enough of the template
-    without being much longer. ``score`` is the largest coverage, 1 for a phrase.
+    without being much longer, or if one of its diagonals does so alone, whatever stray grams stand
+    beside it. ``score`` is the largest coverage of such a passage or diagonal, 1 for a phrase.
+    Only A-Z are lower-cased.
 
     Null text counts as empty: no words, null places, empty labels, score 0. Repeated rows give
     repeated results: a row is told apart by its place in the input. Columns other than ``doc_id``
     and ``text`` are ignored.
     """
-    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), ascii_uppercase, ascii_lowercase)
     words = F.array_remove(F.split(text, SEPARATORS), "")
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words.alias("words"))
     rows = rows.withColumn("n_words", F.size("words").cast("bigint"))
@@ -85,6 +89,9 @@ def scan(
     diagonals = hits.groupBy(*facts, (F.col("at") - F.col("place")).alias("diagonal")).agg(
         F.countDistinct("at").alias("votes"), F.min("at").alias("low"), F.max("at").alias("high")
     )
+    longest = F.ceil(F.col("grams") * STRETCH)
+    short = (F.col("high") - F.col("low") + 1) <= longest
+    diagonals = diagonals.withColumn("alone", F.when(short, F.col("votes")).otherwise(0))
     along = Window.partitionBy("row", "template").orderBy("diagonal")
     # Phrases keep their diagonals apart: each is a place of its own.
     gap = F.col("diagonal") - F.lag("diagonal").over(along)
@@ -93,15 +100,16 @@ def scan(
     passages = passages.withColumn("passage", F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
     passages = passages.groupBy(*facts, "passage").agg(
         F.sum("votes").alias("votes"),
+        F.max("alone").alias("alone"),
         F.min("low").alias("low"),
         F.max("high").alias("high"),
         F.min("diagonal").alias("start"),
     )
-    share = F.least(F.col("votes") / F.col("grams"), F.lit(1.0))
-    fits = (F.col("high") - F.col("low") + 1) <= F.ceil(F.col("grams") * STRETCH)
     base = F.coalesce(F.col("exact") & (F.col("votes") == F.col("grams")), F.lit(False))
-    similar = F.coalesce(~F.col("exact") & fits & (share >= COVERAGE), F.lit(False))
-    cover = F.when(base | (~F.col("exact") & fits), share).otherwise(0.0)
+    together = F.when(F.col("high") - F.col("low") + 1 <= longest, F.col("votes")).otherwise(0)
+    covered = F.when(F.col("exact"), 0).otherwise(F.greatest(together, F.col("alone")))
+    share = F.least(F.coalesce(covered, F.lit(0)) / F.coalesce("grams", F.lit(1)), F.lit(1.0))
+    similar, cover = share >= COVERAGE, F.when(base, 1.0).otherwise(share)
     return (
         passages.withColumns({"base": base, "similar": similar, "cover": cover})
         .groupBy("row", "doc_id", "n_words")

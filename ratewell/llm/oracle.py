@@ -26,14 +26,16 @@ gaps AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY row, template ORD
 numbered AS (SELECT *, sum(CASE WHEN exact OR gap IS NULL OR gap > {licenses.NEIGHBOURS} THEN 1 ELSE 0 END)
     OVER (PARTITION BY row, template ORDER BY diagonal) AS passage FROM gaps),
 passages AS (SELECT row, template, label, exact, grams, passage, sum(votes) AS votes, min(low) AS low,
-    max(high) AS high, min(diagonal) AS start FROM numbered GROUP BY ALL),
-judged AS (SELECT *, exact AND votes = grams AS base, least(votes / grams, 1.0) AS share,
-    NOT exact AND high - low + 1 <= ceil(grams * {licenses.STRETCH}) AS fits FROM passages),
+    max(high) AS high, min(diagonal) AS start,
+    max(CASE WHEN high - low + 1 <= ceil(grams * {licenses.STRETCH}) THEN votes ELSE 0 END) AS alone
+  FROM numbered GROUP BY ALL),
+judged AS (SELECT *, exact AND votes = grams AS base, CASE WHEN exact THEN 0.0 ELSE least(1.0, greatest(alone,
+    CASE WHEN high - low + 1 <= ceil(grams * {licenses.STRETCH}) THEN votes ELSE 0 END) / grams) END AS share FROM passages),
 found AS (SELECT row, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
     max(start) FILTER (base) AS last_word,
     array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
-    array_to_string(list_sort(list(DISTINCT label) FILTER (base OR (fits AND share >= {licenses.COVERAGE}))), ',') AS labels,
-    max(CASE WHEN base OR fits THEN share ELSE 0.0 END) AS score FROM judged GROUP BY row)
+    array_to_string(list_sort(list(DISTINCT label) FILTER (base OR share >= {licenses.COVERAGE})), ',') AS labels,
+    max(CASE WHEN base THEN 1.0 ELSE share END) AS score FROM judged GROUP BY row)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
   last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
   coalesce(score, 0.0)::DOUBLE AS score

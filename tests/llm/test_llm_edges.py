@@ -77,6 +77,61 @@ def test_licenses_merge_neighbouring_diagonals(spark):
     assert found[1].labels == "mit-text" and 0.8 <= found[1].score < 1 and found[2].labels == ""
 
 
+@pytest.mark.parametrize(
+    "text, labels, score",
+    [
+        ("all rights reserved rights reserved", "all-rights-reserved", 1.0),
+        ("rights reserved all rights reserved", "all-rights-reserved", 1.0),
+        ("license mozilla public license public license", "mpl", 1.0),
+        ("all rights are reserved", "", 0.5),
+        ("all rights", "", 0.5),
+        ("reserved rights all", "", 0.0),
+        ("MIT LICENSE, all rights reserved reserved", "all-rights-reserved,mit", 1.0),
+        # A-Z only: the Kelvin sign is no k, so it stays another word's letter.
+        ("apache license \u212a", "apache", 1.0),
+    ],
+)
+def test_licenses_with_stray_grams(spark, text, labels, score):
+    frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    (found,) = licenses.scan(frame).collect()
+    assert (found.labels, found.score) == (labels, score)
+
+
+def test_licenses_equal_brute_force(spark):
+    """Every labelled passage must hold enough of a template's grams on one diagonal or on close ones."""
+    random = np.random.default_rng(3)
+    templates = {"a b c d e f": "six", "a c": "two"}
+    texts = [" ".join(random.choice(list("abcdefx"), size=random.integers(0, 14))) for _ in range(300)]
+    texts += ["a b c d e f c d", "a b x c d e f", "c d a b c d e f e f", "a b c d e"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {row.doc_id: row for row in licenses.scan(frame, {}, templates).collect()}
+    for doc_id, text in enumerate(texts):
+        words, best, labels = text.split(), 0.0, set()
+        for template, label in templates.items():
+            own = template.split()
+            grams = [*zip(own, own[1:])]
+            lines = {}
+            for at, gram in enumerate(zip(words, words[1:])):
+                for place, other in enumerate(grams):
+                    if gram == other:
+                        lines.setdefault(at - place, set()).add(at)
+            runs = [[d] for d in lines]
+            merged = []
+            for d in sorted(lines):
+                if merged and d - merged[-1][-1] <= licenses.NEIGHBOURS:
+                    merged[-1].append(d)
+                else:
+                    merged.append([d])
+            for run in runs + merged:
+                places = [at for d in run for at in lines[d]]
+                if max(places) - min(places) + 1 <= np.ceil(len(grams) * licenses.STRETCH):
+                    share = min(1.0, sum(len(lines[d]) for d in run) / len(grams))
+                    best = max(best, share)
+                    if share >= licenses.COVERAGE:
+                        labels.add(label)
+        assert (got[doc_id].labels, got[doc_id].score) == (",".join(sorted(labels)), pytest.approx(best)), text
+
+
 def test_byte_bpe(docs):
     file = path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode_rows(docs, file, PATTERN)
