@@ -123,3 +123,23 @@ def tfidf_embeddings(
         F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at("_values", i), F.lit(0.0)).cast("float")
     )
     return filled.select(row_id, values.alias("embedding"))
+
+
+def tfidf_slots(
+    rows: DataFrame, dim: int = 1 << 18, row_id: str = "id", text: str = "text", fit_on: DataFrame | None = None
+) -> DataFrame:
+    """``(id, slots, values)``: the weights of ``tfidf_embeddings`` in as many slots as a sparse model
+    can use, listed in ascending order for the slots a text has. A text without words has empty lists.
+    """
+    source = rows if fit_on is None else fit_on
+    total = source.agg(F.count(F.lit(1))).scalar()
+    counts = _slots(source, dim, row_id, text).groupBy("slot").agg(F.count(F.lit(1)).alias("df"))
+    weights = counts.select("slot", F.log((total + 1) / (F.col("df") + 1)).alias("idf"))
+    found = _slots(rows, dim, row_id, text).join(weights, "slot")
+    entries = F.sort_array(F.collect_list(F.struct("slot", (F.col("tf") * F.col("idf")).alias("value"))))
+    listed = rows.select(row_id).join(found.groupBy(row_id).agg(entries.alias("_entries")), row_id, "left")
+    return listed.select(
+        row_id,
+        F.coalesce(F.col("_entries.slot"), F.array().cast("array<int>")).alias("slots"),
+        F.coalesce(F.col("_entries.value"), F.array().cast("array<double>")).alias("values"),
+    )

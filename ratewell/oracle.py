@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from ratewell.schemas import BLEND_WEIGHTS, KEY_PREFIXES, RIDGE_ALPHAS
 
 REVIEWS = """reviews AS (
@@ -428,6 +430,58 @@ def _per_key(name: str) -> list[tuple[str, str, str]]:
     return [(name if p == "prod" else f"{name}_{p}", k, p) for k, p in KEY_PREFIXES.items()]
 
 
+PART = f"""'part-' || ({HASH.format("'7:' || id::VARCHAR")} % 100 % 3)"""
+SHARES = "(0.0), (0.01), (0.25), (0.5), (0.75), (0.95), (1.0)"
+
+SIMPLEX = f"""{REVIEWS}, {_loo('reviews')},
+errors AS (SELECT id, rating, greatest(1.0, least(5.0, user_loo_avg))::DOUBLE AS pa, greatest(1.0, least(5.0, prod_loo_avg))::DOUBLE AS pb,
+  greatest(1.0, least(5.0, parent_loo_avg))::DOUBLE AS pc, pa - rating AS a, pb - rating AS b, pc - rating AS c FROM encoded),
+s AS (SELECT avg(a * a) AS aa, avg(b * b) AS bb, avg(c * c) AS cc, avg(a * b) AS ab, avg(a * c) AS ac, avg(b * c) AS bc FROM errors),
+edges AS (
+  SELECT 1.0 - t AS wa, t AS wb, 0.0 AS wc FROM (SELECT greatest(0.0, least(1.0, (aa - ab) / (aa + bb - 2 * ab))) AS t FROM s)
+  UNION ALL SELECT 1.0 - t, 0.0, t FROM (SELECT greatest(0.0, least(1.0, (aa - ac) / (aa + cc - 2 * ac))) AS t FROM s)
+  UNION ALL SELECT 0.0, 1.0 - t, t FROM (SELECT greatest(0.0, least(1.0, (bb - bc) / (bb + cc - 2 * bc))) AS t FROM s)),
+inner_d AS (SELECT aa + cc - 2 * ac AS d11, bb + cc - 2 * bc AS d22, ab - ac - bc + cc AS d12, ac - cc AS e1, bc - cc AS e2 FROM s),
+inside AS (SELECT (d12 * e2 - d22 * e1) / (d11 * d22 - d12 * d12) AS wa, (d12 * e1 - d11 * e2) / (d11 * d22 - d12 * d12) AS wb FROM inner_d),
+candidates AS (SELECT wa, wb, wc FROM edges UNION ALL
+  SELECT wa, wb, 1.0 - wa - wb FROM inside WHERE wa >= 0 AND wb >= 0 AND wa + wb <= 1),
+best AS (SELECT wa, wb, wc, wa * wa * aa + wb * wb * bb + wc * wc * cc + 2 * (wa * wb * ab + wa * wc * ac + wb * wc * bc) AS mse
+  FROM candidates CROSS JOIN s ORDER BY mse LIMIT 1)"""
+
+
+def _replicates(predictions: dict[str, str], rows: str, count: int) -> str:
+    """CTE ``sums``: weights and squared errors per Poisson replicate; replicate 0 has every row once."""
+    steps = []
+    share = 0.0
+    for k in range(8):
+        share += math.exp(-1) / math.factorial(k)
+        steps.append(math.floor(65536 * share))
+    weight = " + ".join(f"(h >= {step})::INTEGER" for step in steps)
+    models = " UNION ALL ".join(
+        f"SELECT r AS replicate, '{name}' AS model, sum(w)::BIGINT AS weight, sum(w * pow(greatest(1.0, least(5.0, {p})) - y, 2)) AS squared FROM drawn GROUP BY 1"
+        for name, p in predictions.items()
+    )
+    return f"""digests AS (SELECT scored.*, d, md5('42:' || d || ':' || id) AS digest FROM {rows} AS scored CROSS JOIN range({count // 8}) t(d)),
+slots AS (SELECT digests.*, d * 8 + k + 1 AS r, ('0x' || substr(digest, (k * 4 + 1)::INTEGER, 4))::BIGINT AS h FROM digests CROSS JOIN range(8) u(k)),
+drawn AS (SELECT * EXCLUDE (d, digest, h), {weight} AS w FROM slots WHERE {weight} > 0
+  UNION ALL SELECT *, 0, 1 FROM {rows}),
+sums AS ({models})"""
+
+
+def _intervals(against: str, digits: int) -> str:
+    return f"""SELECT s.model, round(max(CASE WHEN replicate = 0 THEN s.rmse END), {digits}) + 0.0 AS rmse,
+  round(max(CASE WHEN replicate = 0 THEN s.rmse - o.rmse END), {digits}) + 0.0 AS difference,
+  round(quantile_cont(CASE WHEN replicate > 0 THEN s.rmse - o.rmse END, 0.025), {digits}) + 0.0 AS low,
+  round(quantile_cont(CASE WHEN replicate > 0 THEN s.rmse - o.rmse END, 0.975), {digits}) + 0.0 AS high
+FROM (SELECT replicate, model, sqrt(squared / weight) AS rmse FROM sums) s
+JOIN (SELECT replicate, sqrt(squared / weight) AS rmse FROM sums WHERE model = '{against}') o USING (replicate) GROUP BY 1"""
+
+
+BASELINE_SUMS = f"""{REVIEWS}, {_loo('reviews')}, mean AS (SELECT avg(rating) AS m FROM reviews),
+predicted AS (SELECT id, rating AS y, m, user_loo_avg AS u, prod_loo_avg AS p, parent_loo_avg AS q FROM encoded CROSS JOIN mean),
+{_replicates({"prior": "m", "user": "u", "prod": "p", "parent": "q"}, "predicted", 40)}"""
+
+
 ORACLE: dict[str, str] = {
     "scan_csv_reviews": f"WITH {REVIEWS} SELECT * FROM reviews",
     "scan_csv_texts": f"WITH {TEXTS} SELECT * FROM texts",
@@ -625,4 +679,24 @@ SELECT word, j::INTEGER AS pos, round(sum(weight * CASE WHEN ('0x' || substr(md5
     "submission_metrics": f"""{SUBMISSION} SELECT round((SELECT min(rmse) FROM grid_scores), 5) AS best_val_rmse,
   round((SELECT sqrt(avg(pow(rating - y, 2))) FROM scored WHERE split <> 'test'), 5) AS train_rmse,
   round(min(rating), 5) AS min, round(max(rating), 5) AS max, round(avg(rating), 5) AS mean FROM scored WHERE split = 'test'""",
+    "distinct_sketches": f"""WITH {REVIEWS}, parted AS (SELECT *, unnest([{PART}, 'all']) AS part_name FROM reviews),
+flat AS (SELECT part_name, unnest(['user_id', 'prod_id', 'parent_prod_id']) AS key_name,
+  unnest([user_id, prod_id, parent_prod_id]) AS key FROM parted)
+SELECT part_name, key_name, count(*) AS row_count, count(DISTINCT key) + max((key IS NULL)::BIGINT) AS exact_count,
+  true AS within_bound FROM flat GROUP BY 1, 2""",
+    "quantile_summaries": f"""WITH {REVIEWS}, {WORDS}, sizes AS (SELECT 'time' AS measure, count(time) AS n_rows FROM reviews
+  UNION ALL SELECT 'characters', count(length(text)) FROM joined UNION ALL SELECT 'words', count(len(words)) FROM words)
+SELECT measure, share::DOUBLE AS share, n_rows, true AS within_bound FROM sizes CROSS JOIN (VALUES {SHARES}) v(share)""",
+    "blend_simplex": f"""WITH {SIMPLEX}, rows AS (SELECT unnest(['user', 'prod', 'parent']) AS predictor,
+  unnest([wa, wb, wc])::DOUBLE AS weight, sqrt(mse) AS rmse FROM best)
+SELECT predictor, round(weight, 6) + 0.0 AS weight, round(rmse, 6) + 0.0 AS rmse FROM rows""",
+    "blend_simplex_predictions": f"""WITH {SIMPLEX} SELECT id,
+  round(greatest(1.0::DOUBLE, least(5.0::DOUBLE, wa * pa + wb * pb + wc * pc)), 5) + 0.0 AS rating FROM errors CROSS JOIN best""",
+    "bootstrap_sums": f"""WITH {BASELINE_SUMS} SELECT replicate::INTEGER AS replicate, model, weight, round(squared, 3) + 0.0 AS squared FROM sums""",
+    "bootstrap_intervals": f"WITH {BASELINE_SUMS} {_intervals('prior', 8)}",
+    "encode_tfidf_slots": f"""WITH {WORDS},
+counts AS (SELECT id, {HASH.format('word')} % 262144 AS slot, count(*) AS tf
+  FROM (SELECT id, unnest(words) AS word FROM words) GROUP BY 1, 2),
+weights AS (SELECT slot, ln(((SELECT count(*) FROM words) + 1)::DOUBLE / (count(*) + 1)) AS idf FROM counts GROUP BY 1)
+SELECT id, slot::INTEGER AS slot, round(tf * idf, 6) + 0.0 AS value FROM counts JOIN weights USING (slot)""",
 }

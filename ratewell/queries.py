@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewell.functions import numeric, text as text_fn
-from ratewell.operators import blend, encode, encoders, evaluate, features, histogram_trees, joins, pooling, ridge, split, stats
+from ratewell.functions import hashing, numeric, text as text_fn
+from ratewell.operators import blend, bootstrap, encode, encoders, evaluate, features, histogram_trees, joins, pooling
+from ratewell.operators import ridge, ridge_sparse, split, stats
 from ratewell.operators import text as text_op
 from ratewell.operators import word_vectors as words
 from ratewell.plans import feature_job, training
 from ratewell.schemas import KEY_PREFIXES, MAX_TOKENS
 from ratewell.session import scratch_path
-from ratewell.sources import bucketed, embeddings, files, increments, tables
+from ratewell.sources import bucketed, embeddings, files, increments, rank_summaries, sketches, tables
 from ratewell.sources import reviews as source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -786,6 +787,143 @@ def ablation_table(spark, folder):
     return _rounded(training.ablation_table(joined, tree_subsets=("raw",), trees=1, depth=1), 6, "rmse")
 
 
+# Stored summaries
+
+
+PARTS = 3
+
+
+def _parts(rows):
+    """Rows by part, as three loads would bring them."""
+    return [(f"part-{k}", rows.where(hashing.split_bucket("id", TEST_SEED) % PARTS == k)) for k in range(PARTS)]
+
+
+def distinct_sketches(spark, folder):
+    """Per key of the reviews, for each part and for all: rows, exact distinct values, and whether the
+    stored sketches, united, come within their bound."""
+    rows, store = _narrow(spark, folder), scratch_path(spark, "sketches")
+    keys = tuple(KEY_PREFIXES)
+    for name, part in _parts(rows):
+        sketches.add_part(part, store, name, keys)
+    united = sketches.distinct_counts(spark, store).withColumn("part_name", F.lit("all"))
+    estimates = sketches.part_counts(spark, store).unionByName(united)
+    number = F.concat(F.lit("part-"), (hashing.split_bucket("id", TEST_SEED) % PARTS).cast("string"))
+    values = F.inline(F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).alias("key")) for k in keys]))
+    pairs = rows.select(F.explode(F.array(number, F.lit("all"))).alias("part_name"), *keys).select("part_name", values)
+    counted = pairs.distinct().groupBy("part_name", "key_name").agg(F.count(F.lit(1)).alias("exact_count"))
+    off = F.abs(F.col("distinct_count") - F.col("exact_count"))
+    within = off <= F.col("exact_count") * sketches.ERROR_BOUND
+    compared = estimates.join(counted, ["part_name", "key_name"])
+    return compared.select("part_name", "key_name", "row_count", "exact_count", within.alias("within_bound"))
+
+
+QUANTILE_SHARES = (0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 1.0)
+
+
+def quantile_summaries(spark, folder):
+    """Quantiles of text lengths in characters and words and of the reviews' times, from stored
+    summaries of three parts each: how many rows there are, the exact quantile, and whether the
+    stored one's rank is within the bound."""
+    texts = concat_review_text(spark, folder)
+    words_of = F.size(text_fn.word_tokens("text"))
+    measures = {
+        "characters": texts.select("id", F.length("text").alias("x")),
+        "words": texts.select("id", words_of.alias("x")),
+        "time": source.reviews(spark, folder).select("id", F.col("time").alias("x")),
+    }
+    result = None
+    for name, rows in measures.items():
+        store = scratch_path(spark, "rank-summaries")
+        for part_name, part in _parts(rows):
+            rank_summaries.add_part(part, store, part_name, "x", error=0.01, block_values=1000, fan=4)
+        found = rank_summaries.quantiles(spark, store, QUANTILE_SHARES)
+        counted = rows.groupBy(F.col("x").cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+        target = F.greatest(F.lit(1), F.ceil(F.col("share") * F.col("n_rows")))
+        # The few quantiles travel as one array beside each distinct value.
+        asked = found.agg(F.collect_list(F.struct("share", "n_rows", "slack", "value"))).scalar()
+        against = counted.select("x", "n", F.inline(asked)).groupBy("share", "n_rows", "slack").agg(
+            F.sum(F.when(F.col("x") <= F.col("value"), F.col("n"))).alias("upto"),
+            F.coalesce(F.sum(F.when(F.col("x") < F.col("value"), F.col("n"))), F.lit(0)).alias("below"),
+        )
+        within = (F.col("upto") >= target) & (F.col("below") < target + F.col("slack"))
+        within = within & (F.col("slack") <= 0.01 * F.col("n_rows") * (1 + 1e-9))
+        part = against.select(F.lit(name).alias("measure"), "share", "n_rows", within.alias("within_bound"))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+# Models at scale, comparisons
+
+
+def _prediction_sets(spark, folder):
+    """The leave-one-out predictions of every key, and the rating."""
+    sets = {p: _predictions(spark, folder, k) for k, p in KEY_PREFIXES.items()}
+    joined = blend.join_prediction_sets(sets)
+    return joined.join(source.reviews(spark, folder).select("id", "rating"), "id")
+
+
+def blend_simplex(spark, folder):
+    """The best weights of the three keys' predictions, and the blend's error."""
+    found = blend.simplex_blend(_prediction_sets(spark, folder), list(KEY_PREFIXES.values()))
+    rows = [(name, weight, found.rmse) for name, weight in found.weights.items()]
+    return _rounded(spark.createDataFrame(rows, "predictor string, weight double, rmse double"), 6, "weight", "rmse")
+
+
+def blend_simplex_predictions(spark, folder):
+    rows = _prediction_sets(spark, folder)
+    found = blend.simplex_blend(rows, list(KEY_PREFIXES.values()))
+    return _rounded(blend.blend_sets(rows, found.weights), 5, "rating")
+
+
+REPLICATES = 40
+
+
+def _baseline_replicates(spark, folder):
+    rows = _narrow(spark, folder)
+    predictors = {"prior": stats.prior_of(rows), **{p: F.col(f"{p}_loo_avg") for p in KEY_PREFIXES.values()}}
+    return bootstrap.replicate_sums(encode.loo_all_keys(rows), predictors, REPLICATES)
+
+
+def bootstrap_sums(spark, folder):
+    """Weights and squared errors of the four baselines in each of forty replicates of the reviews."""
+    return _rounded(_baseline_replicates(spark, folder), 3, "squared")
+
+
+def bootstrap_intervals(spark, folder):
+    """How far each baseline's error is above that of the prior, with its interval."""
+    found = bootstrap.difference_intervals(_baseline_replicates(spark, folder), "prior")
+    return _rounded(found, 8, "rmse", "difference", "low", "high")
+
+
+def ablation_intervals(spark, folder):
+    """Ridge on the subsets without embedding: how far each is above all numeric features."""
+    table = training.feature_table(source.reviews(spark, folder), keep=("id", "rating"))
+    subsets = ("raw", "stats", "stats_raw")
+    found = training.ablation_intervals(table, subsets, against="stats_raw", replicates=REPLICATES)
+    return _rounded(found, 6, "rmse", "difference", "low", "high")
+
+
+def encode_tfidf_slots(spark, folder):
+    """The sparse vector of every text in 2^18 slots."""
+    vectors = encoders.tfidf_slots(concat_review_text(spark, folder))
+    entries = vectors.select("id", F.inline(F.arrays_zip("slots", "values")).alias("slot", "value"))
+    return _rounded(entries, 6, "value")
+
+
+def ridge_tfidf(spark, folder):
+    """Every penalty's error of reviews predicted from their product's text in 2^18 slots."""
+    texts = encoders.tfidf_slots(source.product_texts(spark, folder)).withColumnRenamed("id", "parent_prod_id")
+    rows = split.fraction_split(source.reviews(spark, folder)).select("id", "parent_prod_id", "rating", "split")
+    rows = tables.write_table(joins.lookup_join(rows, texts, "parent_prod_id"), scratch_path(spark, "sparse"), "rows")
+    models = ridge_sparse.fit_sparse(rows.where("split = 'train'"), 1 << 18)
+    scored = ridge_sparse.score_sparse(rows.where("split = 'val'"), models)
+    entries = [
+        F.struct(F.lit(m.alpha).alias("alpha"), evaluate.rmse_of(F.col("scores")[i]).alias("rmse"))
+        for i, m in enumerate(models)
+    ]
+    return _rounded(scored.agg(F.array(*entries).alias("grid")).select(F.inline("grid")), 6, "rmse")
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv_reviews": scan_csv_reviews,
     "scan_csv_texts": scan_csv_texts,
@@ -885,4 +1023,13 @@ QUERIES: dict[str, Query] = {
     "weighted_blend": weighted_blend,
     "blend_final": blend_final,
     "ablation_table": ablation_table,
+    "distinct_sketches": distinct_sketches,
+    "quantile_summaries": quantile_summaries,
+    "blend_simplex": blend_simplex,
+    "blend_simplex_predictions": blend_simplex_predictions,
+    "bootstrap_sums": bootstrap_sums,
+    "bootstrap_intervals": bootstrap_intervals,
+    "ablation_intervals": ablation_intervals,
+    "encode_tfidf_slots": encode_tfidf_slots,
+    "ridge_tfidf": ridge_tfidf,
 }
