@@ -36,7 +36,8 @@ def word_ids(path: str):
     A word is encoded by the units that the tokenizer's own pattern cuts it into, and each distinct
     unit once. That needs words whose normal form and lower case are plain: visible ASCII and the
     letters of Latin-1, where every character stands for itself, and a file with the pattern that is
-    stated below. Other words, and all words of other files, go to the tokenizer.
+    stated below. Other words, and all words of other files, go to the tokenizer. Units are in normal form
+    and lower case already, so they are only written in the tokenizer's letters for bytes and merged.
     """
     import json
     import re
@@ -47,6 +48,7 @@ def word_ids(path: str):
     import pyarrow as pa
     import pyarrow.compute as pc
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
     cache = worker_cache(path)
     if "tokenizer" not in cache:
@@ -58,6 +60,10 @@ def word_ids(path: str):
         cache["ends"] = ends
         found = json.dumps(json.loads(tokenizer.to_str())["pre_tokenizer"])
         cache["by_units"] = json.dumps(UNITS)[1:-1] in found
+        cache["as_read"] = tokenizer.normalizer, tokenizer.pre_tokenizer
+        letters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        signs = [*map(chr, range(33, 127)), *map(chr, range(192, 256))]
+        cache["letters"] = {ord(sign): letters(sign)[0][0] for sign in signs}
         cache["raw"] = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
     tokenizer, known, unit_ids, ends = (cache[name] for name in ("tokenizer", "words", "units", "ends"))
     plain = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch if cache["by_units"] else lambda word: None
@@ -70,7 +76,12 @@ def word_ids(path: str):
 
     def learn_units(units):
         """Many units share a call and are told apart by the tokens that end a unit."""
-        ids = np.array(tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, np.uint32)
+        try:
+            tokenizer.normalizer, tokenizer.pre_tokenizer = None, WhitespaceSplit()
+            text = " ".join(units).translate(cache["letters"])
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        finally:
+            tokenizer.normalizer, tokenizer.pre_tokenizer = cache["as_read"]
         cuts = (np.flatnonzero(ends[ids]) + 1).tolist() if len(ids) else []
         if len(cuts) != len(units):
             raise ValueError("each unit must end in one token that ends a word")
