@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratewell.llm import shingles
 from ratewell.llm.common import saved
+from ratewell.llm.packing import text_blocks
 
 #: Buckets of up to so many nodes are compared pair by pair, by sketch, in a small part of a second.
 SMALL = 2048
@@ -33,9 +34,16 @@ def nodes(docs: DataFrame, functions: int) -> tuple[DataFrame, DataFrame]:
 
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
+        def small(batches):
+            """Slices of about ``shingles.CHUNK`` bytes of text, so that few shingle sets are in memory."""
+            for batch in batches:
+                texts = pc.fill_null(batch.column("text"), "")
+                for first, part in text_blocks(texts, shingles.CHUNK):
+                    yield batch.slice(first, len(part)), part.to_pylist()
+
+        for batch, texts in small(batches):
             sets = shingles.shingle_sets(texts)
             prints = shingles.signatures(texts, functions)
             columns = [

@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 #: Words of a shingle.
 WIDTH = 5
-CHUNK = 1 << 20
+#: Bytes of text that are hashed at a time; numpy holds about 60 bytes for each of them.
+CHUNK = 1 << 19
 ODD, ODD_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 STEP = 0xC2B2AE3D27D4EB4F
 
@@ -26,7 +27,7 @@ def shingle_blocks(texts: list[str], width: int = WIDTH) -> Iterator[tuple]:
 
     Words are runs of letters a-z (A-Z lower-cased), digits and non-ASCII characters. A text of
     fewer words than ``width`` has one shingle of all of them, a text without words none. A block
-    holds whole texts, about a megabyte or one longer text.
+    holds whole texts of about ``CHUNK`` bytes, or one longer text.
     """
     import numpy as np
 
