@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewell.llm import shingles
-from ratewell.llm.common import saved
-from ratewell.llm.packing import text_blocks
+from ratewell.llm.common import saved, text_slices
 
 #: Buckets of up to so many nodes are compared pair by pair, by sketch, in a small part of a second.
 SMALL = 2048
@@ -34,16 +33,9 @@ def nodes(docs: DataFrame, functions: int) -> tuple[DataFrame, DataFrame]:
 
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
-
-        def small(batches):
-            """Slices of about ``shingles.CHUNK`` bytes of text, so that few shingle sets are in memory."""
-            for batch in batches:
-                texts = pc.fill_null(batch.column("text"), "")
-                for first, part in text_blocks(texts, shingles.CHUNK):
-                    yield batch.slice(first, len(part)), part.to_pylist()
 
-        for batch, texts in small(batches):
+        for batch in text_slices(batches, shingles.CHUNK):
+            texts = [text or "" for text in batch.column("text").to_pylist()]
             sets = shingles.shingle_sets(texts)
             prints = shingles.signatures(texts, functions)
             columns = [
@@ -287,7 +279,7 @@ def linked_sets(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for batch in batches:
+        for batch in text_slices(batches, shingles.CHUNK):
             sets = [s.tobytes() for s in shingles.shingle_sets(batch.column("text").to_pylist())]
             right = [hashlib.blake2b(s, digest_size=16).hexdigest() for s in sets]
             keep = pc.equal(batch.column("set_id"), pa.array(right, pa.string()))
@@ -302,30 +294,36 @@ def linked_sets(docs: DataFrame, nodes: DataFrame, edges: DataFrame, similarity:
 
     def verify(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
+
+        def table(found):
+            kinds = {"node": pa.int64(), "root": pa.int64(), "links": pa.int64(), "split": pa.bool_()}
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found), kinds.values())], [*kinds])
 
         def links(key, rows):
             # Repeated rows of one id bring a node's set twice.
             once = list({row[1]: row for row in rows}.values())
             return [(*found, key[3] > 1) for found in block_links(once, similarity, key[1] != key[2])]
 
-        last, rows, names = None, [], ["node", "root", "links", "split"]
+        last, rows = None, []
         for batch in batches:
             found = []
-            columns = (batch[c] for c in ("root", "low", "high", "blocks", "block", "node", "copies", "hashes"))
-            for *key, block, node, copies, hashes in zip(*columns):
+            columns = (batch.column(c).to_pylist() for c in ("root", "low", "high", "blocks", "block", "node", "copies"))
+            for *key, block, node, copies, hashes in zip(*columns, batch.column("hashes")):
                 if key != last and rows:
                     found += links(last, rows)
                     rows = []
                 last = key
-                rows.append((block, node, copies, np.frombuffer(hashes, np.uint64)))
-            yield pd.DataFrame(found, columns=names)
+                # A view of the batch, not a copy.
+                rows.append((block, node, copies, np.frombuffer(hashes.as_buffer(), np.uint64)))
+            if found:
+                yield table(found)
         if rows:
-            yield pd.DataFrame(links(last, rows), columns=names)
+            yield table(links(last, rows))
 
     dealt = tasks.select("root", "low", "high", "blocks", "block", "node", "copies", "hashes")
     dealt = dealt.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
-    found = saved(dealt.mapInPandas(verify, "node bigint, root bigint, links bigint, split boolean"), "links")
+    found = saved(dealt.mapInArrow(verify, "node bigint, root bigint, links bigint, split boolean"), "links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     whole = found.where(~F.col("split")).select("node", "root")
     # Only groups that were split among tasks have parts to connect.

@@ -7,7 +7,7 @@ from bisect import bisect_left, bisect_right
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import saved, worker_cache
+from ratewell.llm.common import saved, text_blocks, worker_cache
 
 SEQUENCE = 2048
 #: Id after the last token of each document.
@@ -15,7 +15,7 @@ END_ID = 0
 #: Fixed value: the pattern of the vocabulary file whose words can be encoded by their units.
 UNITS = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 #: Bytes of text that are encoded at a time.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 #: Words, and units of words, whose ids a worker remembers; the memory starts anew beyond that.
 REMEMBERED = 400_000
 #: Ranks within a length are counted in so many parts at least, each of so many pieces at most on average.
@@ -132,20 +132,6 @@ def word_ids(path: str):
     return encode
 
 
-def text_blocks(texts, size: int = BLOCK_BYTES):
-    """Slices of an Arrow array of texts of about ``size`` bytes, a longer text on its own."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(texts):
-        before = upto[start - 1] if start else 0
-        stop = max(int(np.searchsorted(upto, before + size, "right")), start + 1)
-        yield start, texts.slice(start, stop - start)
-        start = stop
-
-
 def tokenize(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: a document's ids and the end id, cut only if longer than
     a sequence. ``ids`` are little-endian 32-bit integers. Null text counts as empty: its one piece is
@@ -159,7 +145,7 @@ def tokenize(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataF
         encode = word_ids(tokenizer)
         for batch in batches:
             doc_ids = batch.column("doc_id")
-            for first, texts in text_blocks(pc.fill_null(batch.column("text"), "")):
+            for first, texts in text_blocks(pc.fill_null(batch.column("text"), ""), BLOCK_BYTES):
                 ids, stops = encode(texts)
                 ids = np.insert(ids, stops, END_ID).astype("<u4")
                 stops = stops + np.arange(1, len(texts) + 1)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import majority_labels, platt, saved
+from ratewell.llm.common import majority_labels, platt, saved, text_slices
 
 FEATURES = (
     "bytes words word_length upper symbols points digits marks distinct repeated_lines line_length capitals nonascii"
 ).split()
 #: Share of the pooled covariance, and of a diagonal one, in each class covariance.
 POOLED, DIAGONAL = 0.1, 0.05
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def statistics(texts: list[str | None]):
@@ -91,7 +91,7 @@ def statistics_rows(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in text_slices(batches, CHUNK):
             x = statistics(batch.column("text").to_pylist())
             offsets = pa.array(range(0, x.size + 1, x.shape[1]), pa.int32())
             columns = [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))]
@@ -180,7 +180,7 @@ class Discriminant:
             import numpy as np
             import pyarrow as pa
 
-            for batch in batches:
+            for batch in text_slices(batches, CHUNK):
                 found = margins(statistics(batch.column("text").to_pylist()))
                 score = 1 / (1 + np.exp(-np.clip(found * slope + intercept, -30, 30)))
                 yield batch.filter(pa.array(decide(score)))

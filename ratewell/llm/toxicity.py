@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewell.llm.common import majority_labels, platt, saved
+from ratewell.llm.common import majority_labels, platt, saved, text_slices
 
 #: Hashed subword vectors, and their width.
 BUCKET_BITS, WIDTH = 16, 8
@@ -20,7 +20,7 @@ BLANKS = 80
 #: The embeddings are fitted to windows of at most so many labelled documents of each class, in so many
 #: rounds: after each, a document's worst window under the model so far takes part.
 FIT_DOCS, ROUNDS = 2000, 3
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def subwords(texts: list[str]) -> Iterator[tuple]:
@@ -28,7 +28,7 @@ def subwords(texts: list[str]) -> Iterator[tuple]:
 
     ``buckets`` has a row per n-gram length and a column per byte; ``valid`` marks the n-grams that
     lie in one word. A text without words has one window without subwords. A block holds whole
-    texts, about a megabyte or one longer text.
+    texts, about half a megabyte or one longer text.
     """
     import numpy as np
 
@@ -191,7 +191,7 @@ class Classifier:
         def run(batches):
             import pyarrow as pa
 
-            for batch in batches:
+            for batch in text_slices(batches, CHUNK):
                 found = margins(batch.column("text").to_pylist(), weights, bias)
                 columns = [batch.column("doc_id"), pa.array(found, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "margin"])
@@ -211,7 +211,7 @@ class Classifier:
             import numpy as np
             import pyarrow as pa
 
-            for batch in batches:
+            for batch in text_slices(batches, CHUNK):
                 found = np.array(margins(batch.column("text").to_pylist(), weights, bias), float)
                 score = 1 / (1 + np.exp(-np.clip(found * slope + intercept, -30, 30)))
                 yield batch.filter(pa.array(decide(score)))
