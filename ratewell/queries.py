@@ -480,8 +480,9 @@ def embedding_alignment(spark, folder):
     return joins.alignment(source.text_reviews(spark, folder), source.embedded(spark, folder))
 
 
-def _predictions(spark, folder, key: str):
-    encoded = encode.loo_encode(_narrow(spark, folder), key, prefix="key")
+def _predictions(spark, folder, key: str, rows: DataFrame | None = None):
+    """The leave-one-out predictions of one key; ``rows`` are the reviews where those are written already."""
+    encoded = encode.loo_encode(_narrow(spark, folder) if rows is None else rows, key, prefix="key")
     return encoded.select("id", numeric.clip_rating("key_loo_avg").alias("rating"))
 
 
@@ -856,10 +857,13 @@ def quantile_summaries(spark, folder):
 
 
 def _prediction_sets(spark, folder):
-    """The leave-one-out predictions of every key, and the rating."""
-    sets = {p: _predictions(spark, folder, k) for k, p in KEY_PREFIXES.items()}
+    """The leave-one-out predictions of every key, and the rating. The reviews, each set and the result are
+    written, so that no more than one step's shuffles are there at a time."""
+    out = scratch_path(spark, "prediction-sets")
+    rows = tables.write_table(_narrow(spark, folder), out, "reviews")
+    sets = {p: tables.write_table(_predictions(spark, folder, k, rows), out, p) for k, p in KEY_PREFIXES.items()}
     joined = blend.join_prediction_sets(sets)
-    return joined.join(source.reviews(spark, folder).select("id", "rating"), "id")
+    return tables.write_table(joined.join(rows.select("id", "rating"), "id"), out, "joined")
 
 
 def blend_simplex(spark, folder):

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ratewell.session import shuffles_released
+
 PRIOR_TABLE = "global_avg.parquet"
 
 
 def write_table(table: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write (replacing an older one) and return the written table, which cuts the lineage."""
+    """Write (replacing an older one) and return the written table, which cuts the lineage. The write's
+    shuffle files go with it, so that a plan of several tables has the disk of one step at a time."""
     path = f"{folder}/{name}"
-    table.write.mode("overwrite").parquet(path)
+    with shuffles_released(table.sparkSession):
+        table.write.mode("overwrite").parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 

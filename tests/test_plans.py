@@ -1,14 +1,18 @@
 """What the plans must look like to hold at scale."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from ratewell import queries
 from ratewell.operators import encode, joins, split, stats, text
 from ratewell.plans import feature_job
 from ratewell.queries import QUERIES
+from ratewell.session import shuffles_released
 from ratewell.sources import reviews as source
+from ratewell.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
 LAZY = [
@@ -34,6 +38,19 @@ def executed(frame):
     return planned(frame)
 
 
+def shuffles_on_disk(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    return {int(number) for number in re.findall(r"shuffle_(\d+)_", blocks)}
+
+
+def left_on_disk(spark, before):
+    """The shuffles since ``before`` whose files are still there after some time to delete them."""
+    until = time.time() + 20
+    while (left := shuffles_on_disk(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_no_global_top_k_and_no_python(spark, name):
     plan = planned(QUERIES[name](spark, SMALL))
@@ -133,3 +150,23 @@ def test_no_text_moves_in_the_feature_job(spark, tmp_path):
     written = feature_job.run_feature_job(train, train.drop("rating"), f"{tmp_path}/out")
     assert not {"title", "comment"} & {c for table in written.values() for c in table.columns}
     assert written["train"].count() == written["test"].count() == rows.count()
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffles_on_disk(spark), spark.conf.get(setting, None)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    written = tables.write_table(counted, str(tmp_path), "counted")
+    assert not left_on_disk(spark, before)
+    assert written.count() == 7
+    assert spark.conf.get(setting, None) == was
+    with pytest.raises(ValueError), shuffles_released(spark):
+        raise ValueError
+    assert spark.conf.get(setting, None) == was
+
+
+def test_prediction_sets_shuffle_one_step_at_a_time(spark):
+    before = shuffles_on_disk(spark)
+    sets = queries._prediction_sets(spark, SMALL)
+    assert "Exchange" not in planned(sets)
+    assert not left_on_disk(spark, before)
