@@ -43,10 +43,10 @@ def shuffles_on_disk(spark):
     return {int(number) for number in re.findall(r"shuffle_(\d+)_", blocks)}
 
 
-def left_on_disk(spark, before):
-    """The shuffles since ``before`` whose files are still there after some time to delete them."""
+def left_on_disk(spark, before, few=0):
+    """The shuffles since ``before`` whose files are still there after some time to delete them, or ``few``."""
     until = time.time() + 20
-    while (left := shuffles_on_disk(spark) - before) and time.time() < until:
+    while len(left := shuffles_on_disk(spark) - before) > few and time.time() < until:
         time.sleep(0.2)
     return left
 
@@ -170,3 +170,10 @@ def test_prediction_sets_shuffle_one_step_at_a_time(spark):
     sets = queries._prediction_sets(spark, SMALL)
     assert "Exchange" not in planned(sets)
     assert not left_on_disk(spark, before)
+
+
+def test_simplex_blend_leaves_only_the_last_step_on_disk(spark):
+    before = shuffles_on_disk(spark)
+    assert QUERIES["blend_simplex"](spark, SMALL).count() == 3
+    # The widest row and the products of errors are fetched, a shuffle of a few rows each.
+    assert len(left_on_disk(spark, before, few=3)) <= 3
