@@ -106,14 +106,16 @@ def lookup_join(
     """
     source = rows if source is None else source
     hot, cold = hot_and_cold(source, table, key, weight, total, share, min_rows, counts)
-    probe = spread_hot_rows(rows, hot, key, row_id)
+    # The probe key is the key of cold rows, so these travel without a second copy of it.
+    probe = spread_hot_rows(rows, hot, key, row_id).drop(key)
     joined = probe.join(cold, F.col("_probe_key") == F.col("_cold_key"), "left")
+    own = F.when(F.col("_is_cold"), F.col("_probe_key")).otherwise(F.col("_hot_key")).alias(key)
     found = [
         F.when(F.col("_is_cold"), F.col("_cold")[c]).otherwise(F.col("_hot")[c]).alias(c)
         for c in table.columns
         if c != key
     ]
-    return joined.select(*rows.columns, *found)
+    return joined.select(*[own if c == key else c for c in rows.columns], *found)
 
 
 def join_on_id(left: DataFrame, right: DataFrame, row_id: str = "id") -> DataFrame:

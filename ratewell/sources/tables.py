@@ -18,6 +18,12 @@ def write_table(table: DataFrame, folder: str, name: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def drop_table(spark: SparkSession, folder: str, name: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 

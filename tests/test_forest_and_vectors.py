@@ -127,6 +127,19 @@ def test_information_equals_loops(texts):
     assert found.keys() == weights.keys() and all(found[p] == pytest.approx(w) for p, w in weights.items())
 
 
+def test_pairs_of_a_word_with_itself_and_counts_in_both_directions(spark):
+    frame = spark.createDataFrame([(0, "a a a b"), (1, "b A"), (2, None)], "id int, text string")
+    found = {(r.word, r.other): r.n for r in words.cooccurrences(frame).collect()}
+    # Of "a a a b": a-a thrice, each in both directions, and a-b twice; of "b a": once.
+    assert found == {("a", "a"): 6, ("a", "b"): 3, ("b", "a"): 3}
+
+
+def test_information_is_read_without_a_join(texts):
+    found = words.positive_information(words.cooccurrences(texts))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Join" not in plan
+
+
 def test_word_vectors_are_leading_eigenvectors(spark):
     rng = np.random.default_rng(2)
     made = [" ".join(f"w{rng.integers(0, 6) + 6 * (i % 3)}" for _ in range(30)) for i in range(60)]
