@@ -174,6 +174,13 @@ def test_vectors_of_one_step_and_of_texts(spark, texts):
     assert found[0] == pytest.approx([2 / 3, 2 / 3], abs=1e-6) and found[3] == found[4] == found[5] == [0.0, 0.0] and len(found) == len(TEXTS)
 
 
+def test_text_vectors_keep_only_the_pooled_rows(spark, texts):
+    vectors = spark.createDataFrame([("a", [1.0, 0.0])], "word string, embedding array<double>")
+    found = words.text_vectors(texts, vectors, 2)
+    assert "text-vectors" in found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_vectors_of_nothing(spark, texts):
     assert words.word_vectors(texts.limit(0), 2, steps=1).count() == 0
     assert words.word_vectors(texts.where("id = 2"), 2, steps=1).count() == 0
