@@ -2,6 +2,7 @@
 
 import collections
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -174,6 +175,16 @@ def test_vectors_of_one_step_and_of_texts(spark, texts):
     assert found[0] == pytest.approx([2 / 3, 2 / 3], abs=1e-6) and found[3] == found[4] == found[5] == [0.0, 0.0] and len(found) == len(TEXTS)
 
 
+def beside(frame):
+    """The folders beside the one that a written frame is read from."""
+    folder = Path(frame.inputFiles()[0].removeprefix("file:")).parent.parent
+    return sorted(p.name for p in folder.iterdir() if any(p.rglob("*.parquet")))
+
+
+def test_word_vectors_leave_no_table_but_themselves(texts):
+    assert beside(words.word_vectors(texts, 2, steps=2)) == ["vectors"]
+
+
 def test_text_vectors_keep_only_the_pooled_rows(spark, texts):
     vectors = spark.createDataFrame([("a", [1.0, 0.0])], "word string, embedding array<double>")
     found = words.text_vectors(texts, vectors, 2)
