@@ -185,6 +185,14 @@ def test_word_vectors_leave_no_table_but_themselves(texts):
     assert beside(words.word_vectors(texts, 2, steps=2)) == ["vectors"]
 
 
+def test_a_product_is_written_and_its_parts_are_gone(spark):
+    matrix = spark.createDataFrame([("a", "b", 2.0), ("b", "a", 2.0), ("b", "b", 0.5), ("c", None, 1.0)], "word string, other string, weight double")
+    block = spark.createDataFrame([("a", 1.0, -1.0), ("b", 3.0, 0.0)], "word string, v0 double, v1 double")
+    product = words.multiplied(matrix, block, 2)
+    assert sorted(product.collect()) == [("a", 6.0, 0.0), ("b", 3.5, -2.0), ("c", None, None)]
+    assert beside(product) == ["product"]
+
+
 def test_text_vectors_keep_only_the_pooled_rows(spark, texts):
     vectors = spark.createDataFrame([("a", [1.0, 0.0])], "word string, embedding array<double>")
     found = words.text_vectors(texts, vectors, 2)
