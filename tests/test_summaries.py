@@ -119,6 +119,29 @@ def test_replicates_by_plain_loops(spark):
     assert bootstrap.replicate_sums(frame.limit(0), models, 20).collect() == []
 
 
+def test_replicates_copy_no_row_and_keep_odd_errors_where_they_are_drawn(spark, monkeypatch):
+    rows = [(i, 3, float("nan") if i % 5 == 0 else 2.0, 4.0) for i in range(40)] + [(0, 3, 1.0, 4.0)]
+    frame = spark.createDataFrame(rows, "id long, rating int, a double, b double")
+    models = {"a": F.col("a"), "b": F.col("b")}
+
+    def found(replicates):
+        sums = bootstrap.replicate_sums(frame, models, replicates)
+        # The old plan made a row per digest and one per replicate: two generators after another.
+        assert sums._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") <= 1
+        return {(r.replicate, r.model): (r.weight, repr(r.squared)) for r in sums.collect()}
+
+    whole = found(50)
+    assert whole[0, "a"] == (41, "nan") and whole[0, "b"] == (41, "41.0")
+    assert all(squared == repr(float(weight)) for (_, model), (weight, squared) in whole.items() if model == "b")
+    # Digests come in several groups, and their numbers stay the same.
+    monkeypatch.setattr(bootstrap, "DIGESTS", 3)
+    monkeypatch.setattr(bootstrap, "BLOCK", 7)
+    assert found(50) == whole
+    one = spark.createDataFrame(rows[:1], frame.schema)
+    drawn = {r.replicate: r.weight for r in bootstrap.replicate_sums(one, models, 50).collect()}
+    assert 0 in drawn and 0 not in drawn.values() and len(drawn) < 51
+
+
 def best_on_grid(squares, steps=20):
     count = len(squares)
     return min(
