@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewell.operators.stats import ALL_ROWS, by_all_keys
+from ratewell.session import shuffles_released
 
 ADDITIVE = ["rating_sum", "rating_count", "row_count"]
 COMPACTED = "compacted"
@@ -25,7 +26,8 @@ def create_store(spark: SparkSession, folder: str) -> None:
 
 
 def _write_covered(loads: DataFrame, folder: str) -> None:
-    loads.write.mode("overwrite").parquet(f"{folder}/covered")
+    with shuffles_released(loads.sparkSession):
+        loads.write.mode("overwrite").parquet(f"{folder}/covered")
 
 
 def _covered(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,7 +68,8 @@ def add_load(
 
 
 def _write_load(totals: DataFrame, folder: str, load: str) -> None:
-    totals.write.mode("overwrite").partitionBy("key_name").parquet(f"{folder}/loads/load={load}")
+    with shuffles_released(totals.sparkSession):
+        totals.write.mode("overwrite").partitionBy("key_name").parquet(f"{folder}/loads/load={load}")
 
 
 def _added(loads: DataFrame) -> DataFrame:
@@ -91,7 +94,8 @@ def current_totals(spark: SparkSession, folder: str) -> DataFrame:
 def write_current(spark: SparkSession, store: str, folder: str) -> None:
     """Write the totals over all loads in the layout of the feature job's, whose ``read_totals`` gives the
     table of each key and the prior."""
-    current_totals(spark, store).write.mode("overwrite").partitionBy("key_name").parquet(folder)
+    with shuffles_released(spark):
+        current_totals(spark, store).write.mode("overwrite").partitionBy("key_name").parquet(folder)
 
 
 def load_names(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratewell.operators import encode, stats
+from ratewell.schemas import KEY_PREFIXES
 
 # A key with a third of all rows, many null keys, singletons, and null ratings.
 ROWS = (
@@ -117,3 +118,17 @@ def test_chained_keys_keep_every_row(spark):
     joined = {r["id"]: r.asDict() for r in encode.loo_all_keys(frame).collect()}
     window = {r["id"]: r.asDict() for r in encode.loo_all_keys(frame, encoder=encode.loo_encode_window).collect()}
     assert joined == window and len(joined) == 200
+
+
+def test_keys_one_after_another_keep_every_row_and_one_table(spark, tmp_path):
+    data = [(i % 190, f"u{i % 7}", f"p{i % 50}", None if i % 3 else "g", i % 5 + 1) for i in range(200)]
+    frame = spark.createDataFrame(
+        data, "id long, user_id string, prod_id string, parent_prod_id string, rating int"
+    )
+    folder = tmp_path.as_uri()
+    frame.write.parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    totals, prior = stats.written_totals(frame, f"{folder}/totals", tuple(KEY_PREFIXES))
+    found = encode.loo_all_keys(rows, prior=prior, totals=totals, folder=folder, earlier="rows")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["by-prod", "totals"]
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, encode.loo_all_keys(frame).collect()))

@@ -2,13 +2,14 @@
 
 import re
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratewell import queries
 from ratewell.operators import encode, joins, split, stats, text
-from ratewell.plans import feature_job
+from ratewell.plans import feature_job, training
 from ratewell.queries import QUERIES
 from ratewell.session import shuffles_released
 from ratewell.sources import reviews as source
@@ -177,3 +178,19 @@ def test_simplex_blend_leaves_only_the_last_step_on_disk(spark):
     assert QUERIES["blend_simplex"](spark, SMALL).count() == 3
     # The widest row and the products of errors are fetched, a shuffle of a few rows each.
     assert len(left_on_disk(spark, before, few=3)) <= 3
+
+
+def test_loads_read_written_reviews_and_leave_no_shuffles(spark):
+    before = shuffles_on_disk(spark)
+    encoded = QUERIES["incremental_loo"](spark, SMALL)
+    assert not any("testdata" in path for path in encoded.inputFiles())
+    assert len(left_on_disk(spark, before, few=2)) <= 2
+
+
+def test_a_feature_table_leaves_no_shuffles_and_no_unscaled_features(spark):
+    before = shuffles_on_disk(spark)
+    table = training.feature_table(source.reviews(spark, SMALL))
+    assert not left_on_disk(spark, before)
+    folder = Path(table.inputFiles()[0].removeprefix("file:")).parent.parent
+    assert sorted(p.name for p in folder.iterdir() if any(p.rglob("*.parquet"))) == ["moments.parquet", "scaled.parquet", "stats.parquet"]
+    assert table.count() == 6_000
