@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ratewell import queries
 from ratewell.operators import blend, bootstrap, encoders, ridge_sparse
 from ratewell.sources import rank_summaries, sketches
 
@@ -142,6 +143,11 @@ def test_replicates_copy_no_row_and_keep_odd_errors_where_they_are_drawn(spark,
     assert 0 in drawn and 0 not in drawn.values() and len(drawn) < 51
 
 
+def test_intervals_read_written_sums(spark):
+    found = queries.bootstrap_intervals(spark, "/root/testdata/sf0.001")
+    assert all("replicates" in path for path in found.inputFiles()) and "lineitem" not in str(found.inputFiles())
+
+
 def best_on_grid(squares, steps=20):
     count = len(squares)
     return min(
